@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rillsync.llm import language_id, secret_scan, toxicity
 from rillsync.llm.packing import pack_documents
 from rillsync.llm.subwords import vocabulary_path
 from rillsync.llm.token_counts import count_tokens
@@ -13,6 +14,11 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return secret_scan.scan(documents, secret_scan.fit_from_documents(documents))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_read(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
@@ -21,8 +27,18 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return language_id.identify(documents, language_id.fit_from_documents(documents))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _read(spark, sf_dir, "documents")
+    return toxicity.score_documents(documents, toxicity.fit_from_labels(documents, _read(spark, sf_dir, "labels")))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_packing, op5_token_counts)}
+    return {f.__name__: f for f in (op2_secret_scan, op3_packing, op4_language_id, op5_token_counts, op7_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillsync.llm import language_id, secret_scan, toxicity
+from rillsync.llm import language_id, ngram_join, secret_scan, substring_dedup, toxicity
 from rillsync.llm.packing import pack_documents
 from rillsync.llm.subwords import vocabulary_path
 from rillsync.llm.token_counts import count_tokens
@@ -14,6 +14,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_spans(_read(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents")
     return secret_scan.scan(documents, secret_scan.fit_from_documents(documents))
@@ -32,13 +36,17 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(documents, language_id.fit_from_documents(documents))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_links(_read(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _read(spark, sf_dir, "documents")
     return toxicity.score_documents(documents, toxicity.fit_from_labels(documents, _read(spark, sf_dir, "labels")))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_secret_scan, op3_packing, op4_language_id, op5_token_counts, op7_toxicity)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_secret_scan, op3_packing, op4_language_id, op5_token_counts, op6_ngram_join, op7_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

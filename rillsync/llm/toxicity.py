@@ -98,9 +98,10 @@ def fit(texts: list[str], labels: list[int], bits: int = 18, dims: int = 2, size
 
 def fit_from_labels(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most `rows` labelled texts outside the held-out fold. Null labels and texts are left out."""
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null").dropDuplicates(["doc_id"]).where(~is_held_out())
-    chosen = documents.select("doc_id", "text").where("text is not null").join(known, "doc_id")
-    got = sample_rows(chosen, "doc_id", rows).collect()
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null").where(~is_held_out()).dropDuplicates(["doc_id"])
+    # a bounded sample of the labels is broadcast: the texts are filtered where they lie
+    chosen = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(sample_rows(known, "doc_id", rows)), "doc_id")
+    got = chosen.limit(2 * rows).collect()
     return fit([r.text for r in got], [r.toxic for r in got])
 
 

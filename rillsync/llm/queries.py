@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillsync.llm import decontamination, embedding_dedup, language_id, ngram_join, secret_scan, substring_dedup, toxicity
+from rillsync.llm import decontamination, embedding_dedup, language_id, ngram_join, secret_scan, substring_dedup, token_codec, toxicity
 from rillsync.llm.packing import pack_documents
 from rillsync.llm.subwords import vocabulary_path
 from rillsync.llm.token_counts import count_tokens
@@ -49,12 +49,16 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_codec.round_trip(_read(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op2_secret_scan, op3_packing, op4_language_id, op5_token_counts, op6_ngram_join, op7_toxicity, op8_decontamination, op10_embedding_dedup)}
+    return {f.__name__: f for f in (op1_substring_dedup, op2_secret_scan, op3_packing, op4_language_id, op5_token_counts, op6_ngram_join, op7_toxicity, op8_decontamination, op9_token_output, op10_embedding_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

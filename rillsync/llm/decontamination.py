@@ -107,7 +107,7 @@ class Index:
             for j in range(int(wanted.max()) + 1):
                 symbol = padded[rows, at]
                 for t, s in zip(*np.nonzero(wanted == j), strict=True):
-                    out[:, w, t] = (out[:, w, t] * np.uint64(0x9E3779B97F4A7C15)) ^ (symbol + np.uint64((s + 1) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF))
+                    out[:, w, t] = (out[:, w, t] * np.uint64(0x9E3779B97F4A7C15)) ^ (symbol + np.uint64((int(s) + 1) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF))
                 mixed = (symbol ^ (symbol >> np.uint64(31))) * self.salt[w, j % 4096]
                 at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), n)
             out[:, w] ^= (np.arange(TABLES, dtype=np.uint64) + np.uint64(w * TABLES + 1)) * np.uint64(0x94D049BB133111EB)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {t.simpleString(): t for t in (T.LongType(), T.IntegerType(), T.ShortType(), T.StringType(), T.BooleanType(), T.BinaryType(), T.DateType(), T.TimestampType(), T.TimestampNTZType(), T.FloatType(), T.DoubleType())}
+
+
+def columns_of(ddl: str) -> T.StructType:
+    """A schema of "name type, ..." without a session."""
+    out = T.StructType()
+    for part in re.split(r",(?![^(]*\))", ddl):
+        name, kind = part.split(maxsplit=1)
+        size = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", kind.strip())
+        out.add(name, T.DecimalType(int(size[1]), int(size[2])) if size else _TYPES[kind.strip()])
+    return out
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A target table. The target drives the projection: its columns, their order and their types. A bit column is a
@@ -27,7 +41,7 @@ class TableSpec:
 
     @staticmethod
     def of(name: str, ddl: str, *keys: str) -> TableSpec:
-        return TableSpec(name, T.StructType.fromDDL(ddl), keys)
+        return TableSpec(name, columns_of(ddl), keys)
 
     @property
     def columns(self) -> list[str]:

@@ -49,7 +49,7 @@ class Synchroniser:
         try:
             heads = envelopes.maxwell_headers if self.kind == "maxwell" else envelopes.debezium_headers
             routed = envelopes.routed(heads(records, self.name), self.tables)
-            facts = routed.agg(F.count("*").alias("n"), F.max("produced_ms").alias("latest"), F.count_if("op is null or data is null").alias("bad")).first()
+            facts = routed.agg(F.count("*").alias("n"), F.max("produced_ms").alias("latest"), F.count_if(F.expr("op is null or data is null")).alias("bad")).first()
             if facts.bad:
                 if self.quarantine is None:
                     raise ValueError(f"{facts.bad} changes of batch {number} are of an unknown kind or without a row")

@@ -24,15 +24,18 @@ from pyspark.sql import functions as F
 from rillsync.llm.common import block_pairs, components, forest, map_arrow, materialize, texts_of
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
-#: Signature agreement below which a bucket's member and its centre are not tied. It lies far under the threshold:
-#: two members that link with each other are both this like any third text that links with either.
-TIE = 0.4
+#: Signature agreement from which a bucket's member is tied to its centre, and from which it needs no other centre. By
+#: the triangle inequality of the Jaccard distance, of two members with a similarity of 0.8 either both are tied or
+#: both are under 0.6, so that they stay together in the bucket's rest; 0.65 leaves room for the estimate's error.
+TIE, SURE = 0.4, 0.65
+#: The rest of a bucket is compared pair by pair up to this size, and gets another centre beyond it.
+SMALL_BUCKET = 64
 #: Shingle sets in a block; a task holds two blocks.
 BLOCK_ROWS = 1024
 _WORD = re.compile(r"\w+")
 
 
-def banding(threshold: float, recall: float, rows: int = 6) -> tuple[int, int]:
+def banding(threshold: float, recall: float, rows: int = 8) -> tuple[int, int]:
     """(bands, rows): the fewest bands of so many rows with which a pair at the threshold meets with this probability."""
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)), rows
 
@@ -72,7 +75,7 @@ def signature(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _signatures(documents: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, c1, c2: the set's digest, bands: hash of each band, mins: the signature) of each row; no digest and
+    """(doc_id, c1, c2: the set's digest, bands: hash of each band, mins: a byte of each least hash) of each row; no digest and
     no bands without a word."""
     a, b = permutations(bands * rows)
 
@@ -87,35 +90,47 @@ def _signatures(documents: DataFrame, words: int, bands: int, rows: int) -> Data
             c1.append((d >> 64) - (1 << 63)), c2.append((d & (1 << 64) - 1) - (1 << 63))
             m = signature(s, a, b)
             found_bands.append([xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=i) - (1 << 63) for i in range(bands)])
-            mins.append(m.tobytes())
+            mins.append((m >> np.uint32(13)).astype(np.uint8).tobytes())
         return pa.table({"doc_id": table.column("doc_id"), "c1": pa.array(c1, pa.int64()), "c2": pa.array(c2, pa.int64()), "bands": pa.array(found_bands, pa.list_(pa.int64())), "mins": pa.array(mins, pa.binary())})
 
     return map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, c1 long, c2 long, bands array<long>, mins binary", rows=512)
 
 
 def _ties(representatives: DataFrame) -> DataFrame:
-    """Edges (a, b) of bucket members with their buckets' centres, until every member is tied or alone."""
+    """Edges (a, b) of bucket members with their buckets' centres, until every member is surely tied or alone."""
 
     @F.pandas_udf("double")
     def agreement(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([float(np.mean(np.frombuffer(p, np.uint32) == np.frombuffer(q, np.uint32))) for p, q in zip(x, y, strict=True)], dtype="float64")
+        def one(p: bytes, q: bytes) -> float:
+            return float((np.mean(np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)) - 1 / 256) * 256 / 255)
+
+        return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
 
     mins = representatives.select("rep", "mins")
-    left = representatives.select("rep", F.explode("bands").alias("band"))
-    counts = left.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
-    rest, done = materialize(left.join(counts, "band").select("band", "rep", "centre"), "buckets"), None
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        other = mins.select(F.col("rep").alias("centre"), F.col("mins").alias("mins2"))
+        return materialize(pairs.distinct().join(mins, "rep").join(other, "centre").select("rep", "centre", agreement("mins", "mins2").alias("score")), "ties")
+
+    left = representatives.select("rep", F.explode("bands").alias("band")).withColumn("was", F.lit(None).cast("long"))
+    done = []
     while True:
-        pairs = rest.where("rep <> centre").select("rep", "centre").distinct()
-        scored = pairs.join(mins, "rep").join(mins.select(F.col("rep").alias("centre"), F.col("mins").alias("mins2")), "centre").select("rep", "centre", (agreement("mins", "mins2") >= TIE).alias("tied"))
-        scored = materialize(scored, "ties")
-        edges = scored.where("tied").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
-        done = edges if done is None else done.union(edges)
-        loose = scored.where(~F.col("tied")).select("rep", "centre")
-        if not loose.limit(1).count():
-            return done
-        again = rest.join(loose, ["rep", "centre"]).select("band", "rep", F.col("centre").alias("was"))
-        centres = again.groupBy("band", "was").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
-        rest = materialize(again.join(centres, ["band", "was"]).select("band", "rep", "centre"), "buckets")
+        same = ["band"] if not done else ["band", "was"]
+        sizes = left.groupBy(*same).agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
+        held = materialize(left.join(sizes, same).select("band", "was", "rep", "centre", "n"), "buckets")
+        small = held.where(f"n <= {SMALL_BUCKET}").select(*same, "rep") if done else held.where("false").select(*same, "rep")
+        pairs = small.join(small.withColumnRenamed("rep", "centre"), same).where("rep > centre").select("rep", "centre")
+        large = held.where(f"n > {SMALL_BUCKET}") if done else held
+        near = scored(large.where("rep <> centre").select("rep", "centre").union(pairs))
+        done.append(near.where(F.col("score") >= TIE).select(F.col("rep").alias("a"), F.col("centre").alias("b")))
+        loose = near.where(F.col("score") < SURE).select("rep", "centre")
+        left = large.join(loose, ["rep", "centre"]).select("band", "rep", F.col("centre").alias("was"))
+        left = materialize(left, "rest")
+        if not left.limit(1).count():
+            edges = done[0]
+            for more in done[1:]:
+                edges = edges.union(more)
+            return edges.distinct()
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

@@ -5,9 +5,10 @@ of at most a share of the item's words from it. The CGK random walk embeds a seq
 Hamming distance; bit-sampling hashes of the embeddings of item-sized windows, repeated over walks and samples for a
 target recall, give the candidates, and an exact edit distance against the stretch around a candidate decides.
 
-Windows are taken where they can match at all: by the pigeonhole principle, d edits leave one of d + 1 parts of an
-item whole, so a leak holds a run of words of the item, and the window starts where that run puts the item's start.
-Documents without such a run cost one pass over their words.
+Windows are taken where they can match at all. d edits spoil at most q times d of an item's runs of q words, and
+the others lie on neighbouring diagonals, d apart at most; so a window is looked at where enough runs agree, and
+starts where one of them puts the item's start. This loses nothing: it is a lower bound for every leak. Documents
+without such runs cost one pass over their words.
 
 The benchmark is dealt out in blocks of bounded size, each of which is sent to the executors for one scan of the
 documents: what is broadcast is bounded however large the benchmark is.
@@ -29,7 +30,7 @@ from rillsync.llm.common import map_arrow, texts_of
 
 SIMILARITY = 0.8
 RUN = 3
-WALKS, TABLES, SAMPLE = 8, 8, 2
+WALKS, TABLES, SAMPLE = 4, 16, 2
 #: Bytes of benchmark text that are broadcast at once.
 BLOCK_BYTES = 8_000_000
 _WORD = re.compile(r"\w+")
@@ -73,24 +74,30 @@ class Index:
         rng = np.random.default_rng(seed)
         self.salt = rng.integers(1, 2**63, (WALKS, 4096), np.uint64) | np.uint64(1)
         self.samples = rng.random((WALKS, TABLES, SAMPLE))
-        self.runs: dict[int, dict[tuple, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         self.keys: list[set] = []
         self.lexicon: dict[str, int] = {}
-        for k, (_, text) in enumerate((i, t) for i, t in items if words(t)):
-            found = words(text)
-            for w in found:
-                self.lexicon.setdefault(w, len(self.lexicon) + 1)
-            own = [self.lexicon[w] for w in found]
-            q = min(RUN, -(-(len(found) - self.most[k]) // (self.most[k] + 1)))
-            for at in range(len(own) - q + 1):
-                self.runs[q][self._number(own[at : at + q])].append((k, at))
+        self.least: list[int] = []  # runs that must agree
+        runs: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # by q: number, item, offset
+        for k, text in enumerate(t for _, t in items if words(t)):
+            found, most = words(text), self.most[k]
+            own = [self.lexicon.setdefault(w, len(self.lexicon) + 1) for w in found]
+            q = min(RUN, -(-(len(found) - most) // (most + 1)))
+            self.least.append(max(1, len(own) - q + 1 - q * most))
+            runs[q] += [(self._number(own[at : at + q]), k, at) for at in range(len(own) - q + 1)]
             self.keys.append(set(self.tables(self.items[k][1][None])[0].ravel().tolist()))
-        self.sorted = {q: np.sort(np.array(list(r), np.int64)) for q, r in self.runs.items()}
-
-    def _number(self, run: list[int]) -> int:
+        self.runs = {}
+        for q, found in runs.items():
+            table = np.array(sorted(found), np.int64)
+            numbers, first, count = np.unique(table[:, 0], return_index=True, return_counts=True)
+            self.runs[q] = numbers, first, count, table[:, 1], table[:, 2]
+        self.bounds = np.array(self.most, np.int64), np.array(self.least, np.int64)
+
+    @staticmethod
+    def _number(run: list[int]) -> int:
+        """A run of three words at most as a number; a lexicon has fewer than 2**20 words, its block being bounded."""
         out = 0
         for x in run:
-            out = (out * 1_048_573 + x) % (1 << 61)
+            out = (out << 20) | x
         return out
 
     def tables(self, windows: np.ndarray) -> np.ndarray:
@@ -113,58 +120,75 @@ class Index:
             out[:, w] ^= (np.arange(TABLES, dtype=np.uint64) + np.uint64(w * TABLES + 1)) * np.uint64(0x94D049BB133111EB)
         return out.reshape(count, -1)
 
-    def leaks(self, text: str) -> list[tuple[int, int, int, int]]:
-        """(item, distance, first word, end word) of the nearest stretch of each item that leaks into the text."""
-        found = words(text)
-        if not found or not self.items:
-            return []
-        get = self.lexicon.get
-        ids = np.fromiter((get(w, 0) for w in found), np.int64, len(found))
-        starts: dict[int, set[int]] = defaultdict(set)
-        for q, known in self.sorted.items():
-            if len(ids) < q:
+    def _windows(self, ids: np.ndarray, starts: np.ndarray) -> dict[tuple[int, int], list[int]]:
+        """For (text, item): where in the text's words the item's window may start."""
+        out: dict[tuple[int, int], list[int]] = {}
+        if not self.items:
+            return out
+        most, least = self.bounds
+        for q, (numbers, first, count, item, offset) in self.runs.items():
+            n = len(ids) - q + 1
+            if n < 1:
                 continue
-            all_known = ids[: len(ids) - q + 1] > 0
+            ok = ids[:n] > 0
             for k in range(1, q):
-                all_known &= ids[k : len(ids) - q + 1 + k] > 0
-            at = np.flatnonzero(all_known)
+                ok &= ids[k : n + k] > 0
+            at = np.flatnonzero(ok)
+            number = np.zeros(len(at), np.int64)
+            for k in range(q):
+                number = (number << 20) | ids[at + k]
+            place = np.minimum(np.searchsorted(numbers, number), len(numbers) - 1)
+            hit = numbers[place] == number
+            at, place = at[hit], place[hit]
             if not len(at):
                 continue
-            number = np.zeros(len(at), object if q > 3 else np.int64)
-            for k in range(q):
-                number = (number * 1_048_573 + ids[at + k]) % (1 << 61)
-            hit = known[np.minimum(np.searchsorted(known, number), len(known) - 1)] == number
-            for p, x in zip(at[hit].tolist(), number[hit].tolist(), strict=True):
-                for item, offset in self.runs[q][x]:
-                    starts[item].add(p - offset)
-        if not starts:
-            return []
-        hashes: dict[int, int] = {}
+            # a row for every item and offset that has the run
+            times = count[place]
+            row = np.repeat(first[place] + times - np.cumsum(times), times) + np.arange(int(times.sum()))
+            at = np.repeat(at, times)
+            text = np.searchsorted(starts, at, "right") - 1
+            diagonal = at - starts[text] - offset[row] + (1 << 12)
+            key = ((text * len(self.items) + item[row]) << 32) + diagonal
+            order = np.argsort(key)
+            key, own = key[order], item[row][order]
+            agree = np.searchsorted(key, key + most[own], "right") - np.arange(len(key))
+            # from a diagonal that has enough runs on the next ones on, all of them are starts
+            good = np.flatnonzero(agree >= least[own])
+            for g in good.tolist():
+                pair = divmod(int(key[g] >> 32), len(self.items))
+                mine = out.setdefault(pair, [])
+                mine += [int(x & 0xFFFFFFFF) - (1 << 12) for x in key[g : g + int(agree[g])].tolist()] if not mine or mine[-1] < int(key[g] & 0xFFFFFFFF) - (1 << 12) else []
+        return out
+
+    def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
+        """(text, item, distance, first word, end word) of the nearest stretch of each item that leaks into a text."""
+        found = [words(t) for t in texts]
+        get, sizes = self.lexicon.get, [len(f) + 1 for f in found]
+        starts = np.cumsum([0, *sizes])
+        ids = np.zeros(int(starts[-1]), np.int64)
+        for f, at in zip(found, starts.tolist(), strict=False):
+            ids[at : at + len(f)] = [get(w, 0) for w in f]
         out = []
-        for item, places in starts.items():
-            item_id, own = self.items[item]
-            n, most = len(own), self.most[item]
-            places = sorted({max(0, min(p, max(0, len(found) - n))) for p in places})
+        for (text, item), places in self._windows(ids, starts[:-1]).items():
+            own, most, mine = self.items[item][1], self.most[item], found[text]
+            n = len(own)
+            places = sorted({max(0, min(p, max(0, len(mine) - n))) for p in places})
+            low = places[0] - most if places[0] > most else 0
+            hashes = np.array([word_hash(w) for w in mine[low : places[-1] + n + most]], np.uint64)
             windows = np.zeros((len(places), n), np.uint64)
             for r, p in enumerate(places):
-                part = found[p : p + n]
-                for c, w in enumerate(part):
-                    h = hashes.get(w)
-                    if h is None:
-                        h = hashes[w] = word_hash(w)
-                    windows[r, c] = h
+                part = hashes[p - low : p - low + n]
+                windows[r, : len(part)] = part
             near = [p for p, row in zip(places, self.tables(windows), strict=True) if not self.keys[item].isdisjoint(row.tolist())]
-            best = None
-            last = -1
+            best, seen = None, -1
             for p in near:
-                if p <= last:
+                if p + n <= seen:
                     continue  # inside the stretch already compared
-                lo, hi = max(0, p - most), min(len(found), p + n + most)
-                last = p
-                stretch = np.array([hashes.get(w) or hashes.setdefault(w, word_hash(w)) for w in found[lo:hi]], np.uint64)
-                d, a, b = edit_distance(own, stretch)
-                if d <= most and (best is None or d < best[1]):
-                    best = (item_id, d, lo + a, lo + b)
+                lo, hi = max(0, p - most), min(len(mine), p + n + 2 * most)
+                seen = hi - most
+                d, a, b = edit_distance(own, hashes[lo - low : hi - low])
+                if d <= most and (best is None or d < best[2]):
+                    best = (text, self.items[item][0], d, lo + a, lo + b)
             if best:
                 out.append(best)
         return out
@@ -186,13 +210,12 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = S
         shared = spark.sparkContext.broadcast(items)
 
         def run(table: pa.Table) -> pa.Table:
-            index, rows = _index(shared.value, similarity), []
-            for i, text in zip(table.column("doc_id").to_pylist(), texts_of(table), strict=True):
-                rows += [(i, *x) for x in index.leaks(text)]
+            ids = table.column("doc_id").to_pylist()
+            rows = [(ids[i], *x) for i, *x in _index(shared.value, similarity).leaks(texts_of(table))]
             c = list(zip(*rows, strict=True)) if rows else [[]] * 5
             return pa.table([pa.array(c[0], pa.int64()), pa.array(c[1], pa.int64()), *[pa.array(x, pa.int32()) for x in c[2:]]], names=["doc_id", "item_id", "distance", "first_word", "end_word"])
 
-        return map_arrow(source, run, schema, rows=512)
+        return map_arrow(source, run, schema, rows=256)
 
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null").orderBy("item_id", "text").toLocalIterator():
         if block and size + len(r.text) > block_bytes:

@@ -67,21 +67,27 @@ def is_held_out(key: str = "doc_id") -> F.Column:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the undirected edges (a, b): rows (node, component), component the least node.
 
-    Labels spread to neighbours and then jump to the label's own label, so rounds grow with the logarithm of a
-    chain's length. Every round is written to the shared folder; nothing but a count of changes reaches the driver.
+    In each round every node gives way to its neighbour of least rank, or to itself, and the edges are contracted;
+    ranks are hashes that change from round to round, so a share of the nodes goes each time however they are
+    chained, and the edges left shrink. Afterwards the steps are put together and each component is named by its
+    least node. Every round is written to the shared folder; only whether edges are left reaches the driver.
     """
-    both = materialize(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(), "cc-edges")
-    labels = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")), "cc-labels")
-    while True:
-        near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("component").alias("least"))
-        spread = labels.join(near, labels.node == near.a, "left").select("node", F.least("component", F.coalesce("least", "component")).alias("c"), F.col("component").alias("was"))
-        spread = materialize(spread, "cc-spread")
-        jump = spread.select(F.col("node").alias("j"), F.col("c").alias("jc"))
-        now = materialize(spread.join(jump, spread.c == jump.j, "left").select("node", F.least("c", F.coalesce("jc", "c")).alias("component"), "was"), "cc-labels")
-        changed = now.where("component <> was").limit(1).count()
-        labels = now.select("node", "component")
-        if not changed:
-            return labels
+    left = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges")
+    steps: list[DataFrame] = []
+    while not steps or left.limit(1).count():
+        rank = lambda c, n=len(steps): F.struct(F.xxhash64(c, F.lit(n)).alias("rank"), F.col(c).alias("node"))
+        ends = left.select(F.col("a").alias("node"), rank("b").alias("near"), rank("a").alias("own")).union(left.select("b", rank("a"), rank("b")))
+        best = ends.groupBy("node").agg(F.least(F.min("near"), F.min("own")).alias("best"))
+        step = materialize(best.select("node", F.col("best.node").alias("to")), "cc-step")
+        steps.append(step)
+        moved = left.join(step.withColumnsRenamed({"node": "a", "to": "x"}), "a").join(step.withColumnsRenamed({"node": "b", "to": "y"}), "b")
+        left = materialize(moved.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "cc-edges")
+    labels = steps[0].withColumnRenamed("to", "c")
+    for step in steps[1:]:
+        labels = labels.join(step.withColumnRenamed("node", "c"), "c", "left").select("node", F.coalesce("to", "c").alias("c"))
+    labels = materialize(labels, "cc-labels")
+    least = labels.groupBy("c").agg(F.min("node").alias("component"))
+    return materialize(labels.join(least, "c").select("node", "component"), "cc-labels")
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

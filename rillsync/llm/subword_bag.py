@@ -87,7 +87,7 @@ def train(data: np.ndarray, at: np.ndarray, end: int, target: np.ndarray, weight
     # neighbouring segments are drawn together, so that their bytes are hashed in one go
     run = 16
     groups = np.arange(0, len(at), run)
-    size = (1024 if len(at) > 50_000 else 256) // run
+    size = (1024 if len(at) > 50_000 else 256 if len(at) > 10_000 else 64) // run
     for _ in range(epochs):
         for chosen_groups in np.array_split(rng.permutation(groups), max(1, len(groups) // size)):
             ids, owner, chosen, n_before = [], [], [], 0

@@ -73,7 +73,7 @@ def fit(texts: list[str], labels: list[int], bits: int = 18, dims: int = 2, size
     end, target = int(starts[-1]), label[owner]
     share = max(1e-3, target.mean())
     weight = np.where(target == 1, min(10.0, 0.5 / share), 1.0)
-    epochs = min(12, max(3, math.ceil(300_000 / max(1, len(at)))))
+    epochs = min(40, max(3, math.ceil(300_000 / max(1, len(at)))))
     _, state = train(data, at, end, target, weight, 2, sizes, bits, dims, epochs, 0.3, seed)
     for _ in range(2):
         emb, out, bias, _seen = state

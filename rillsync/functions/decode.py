@@ -11,18 +11,18 @@ def field(entries: Column, name: str, required: bool = True) -> Column:
 
     A missing member is an error (null if not required); a JSON null is null.
     """
-    pairs = F.map_entries(entries)
-    exact = F.get(F.filter(pairs, lambda e: e["key"] == name), F.lit(0))
-    other = F.get(F.filter(pairs, lambda e: F.lower(e["key"]) == name.lower()), F.lit(0))
-    hit = F.coalesce(exact, other)
-    if not required:
-        return hit["value"]
-    return F.when(entries.isNull(), None).when(hit.isNull(), F.raise_error(F.lit(f"no member {name} in the change"))).otherwise(hit["value"])
+    loose = F.get(F.filter(F.map_entries(entries), lambda e: F.lower(e["key"]) == name.lower()), F.lit(0))
+    other = loose["value"]
+    if required:
+        other = F.when(loose.isNull(), F.raise_error(F.lit(f"no member {name} in the change"))).otherwise(other)
+    # the exact name is a plain lookup; the slower search runs only for rows without it
+    return F.when(entries.isNull(), None).when(F.map_contains_key(entries, name), F.try_element_at(entries, F.lit(name))).otherwise(other)
 
 
 def has_field(entries: Column, name: str) -> Column:
     """Whether the object has the member at all; a JSON null counts as there."""
-    return F.coalesce(F.exists(F.map_keys(entries), lambda k: F.lower(k) == name.lower()), F.lit(False))
+    found = F.map_contains_key(entries, name) | F.exists(F.map_keys(entries), lambda k: F.lower(k) == name.lower())
+    return F.coalesce(found, F.lit(False))
 
 
 def clean_text(x: Column) -> Column:
@@ -87,10 +87,15 @@ def time_of_nanos(x: Column, scale: int = 0) -> Column:
 
 def decimal_of_base64(x: Column, precision: int, scale: int) -> Column:
     """Decimal of a Base64 two's-complement big-endian unscaled value; over 38 digits is an error."""
+    digits = F.hex(F.unbase64(x))
+    # up to eight bytes: sign-extended to 64 bits and read at once
+    sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
+    short = F.conv(F.lpad(digits, F.lit(16), sign), 16, -10).cast("decimal(38,0)")
     octets = F.transform(_bytes(F.unbase64(x)), lambda h: F.conv(h, 16, 10).cast("decimal(38,0)"))
     raw = F.aggregate(octets, F.lit(0).cast("decimal(38,0)"), lambda a, b: (a * F.lit(256) + b).cast("decimal(38,0)"))
     span = F.aggregate(octets, F.lit(1).cast("decimal(38,0)"), lambda a, _: (a * F.lit(256)).cast("decimal(38,0)"))
-    value = F.when(F.get(octets, F.lit(0)) >= 128, raw - span).otherwise(raw).cast("decimal(38,0)")
+    long = F.when(F.get(octets, F.lit(0)) >= 128, raw - span).otherwise(raw).cast("decimal(38,0)")
+    value = F.when(F.length(digits) <= 16, short).otherwise(long)
     one = F.lit("0." + "0" * (scale - 1) + "1").cast(f"decimal({max(scale, 1)},{scale})")
     return (value.cast(f"decimal({max(precision, 1)},0)") * one).cast(f"decimal({precision},{scale})") if scale else value.cast(f"decimal({precision},0)")
 

@@ -19,6 +19,9 @@ from rillsync.llm.common import map_arrow, materialize
 
 #: A run has at least so many words.
 RUN_WORDS = 12
+#: A digest is hot with more occurrences than HOT_ROWS and than one HOT_DIGESTS-th of all runs, so there are fewer hot ones than
+#: HOT_DIGESTS, of 40 bytes each: these are joined by broadcast and no task gets all occurrences of one.
+HOT_ROWS, HOT_DIGESTS = 1000, 100_000
 _UNIT = re.compile(r"[^\n.!?]*(?:[.!?](?![\s])[^\n.!?]*)*[.!?]*")
 _SPACE = re.compile(r"\s+")
 
@@ -69,8 +72,11 @@ def repeated_spans(documents: DataFrame, least: int = RUN_WORDS) -> DataFrame:
 
     cut = materialize(map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null"), run, "doc_id long, start long, end long, h1 long, h2 long", rows=512), "runs")
     rank = F.struct("doc_id", "start")
-    first = cut.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = cut.join(first.select("h1", "h2", "first"), ["h1", "h2"]).where((F.col("first.start") != F.col("start")) | (F.col("first.doc_id") != F.col("doc_id")))
+    first = materialize(cut.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1"), "repeated")
+    hot = F.col("n") > max(HOT_ROWS, cut.count() // HOT_DIGESTS)
+    few, many = F.broadcast(first.where(hot).drop("n")), first.where(~hot).drop("n")
+    held = cut.join(few, ["h1", "h2"]).unionByName(cut.join(few.select("h1", "h2"), ["h1", "h2"], "left_anti").join(many, ["h1", "h2"]))
+    later = held.where((F.col("first.start") != F.col("start")) | (F.col("first.doc_id") != F.col("doc_id")))
     # the runs of one document are many at most; a document's spans are merged in one place
     spans = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end", F.col("first.doc_id").alias("keeper_id")))).alias("spans"))
 

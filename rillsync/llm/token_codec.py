@@ -262,7 +262,7 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
 
 
 def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) -> DataFrame:
-    """Segments (part, segment, n_ids, data) of all documents in ascending doc_id order: part, then segment.
+    """Segments (part, segment, before: ids of the part before it, n_ids, data) of all documents in ascending doc_id order: part, then segment.
 
     A null text counts as empty: its one id is end_id. Null doc_ids come first. Rows that repeat a doc_id are
     documents of their own, by text. Other columns are ignored; an empty table gives no segments. Texts are encoded
@@ -274,12 +274,12 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
         end = int(end_id).to_bytes(4, "little")
         names: list = []
         held: list[bytes] = []
-        total = 0
+        total = before = 0
 
         def flush() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), "<u4")
             data = pack_segment(names, [len(h) // 4 for h in held], ids)
-            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())], names=["part", "segment", "n_ids", "data"])
+            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())], names=["part", "segment", "before", "n_ids", "data"])
             names.clear(), held.clear()
             return out
 
@@ -292,13 +292,13 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
                     total += len(ids) // 4 + 1
                     if total >= BLOCK_IDS * LANES:
                         yield flush()
-                        segment, total = segment + 1, 0
+                        segment, before, total = segment + 1, before + total, 0
         if names:
             yield flush()
 
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return ordered.mapInArrow(run, "part int, segment int, n_ids long, data binary")
+    ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(partitions, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    return ordered.mapInArrow(run, "part int, segment int, before long, n_ids long, data binary")
 
 
 def write_ids(documents: DataFrame, path: str, vocabulary: str, end_id: int = 1) -> None:
@@ -309,26 +309,25 @@ def write_ids(documents: DataFrame, path: str, vocabulary: str, end_id: int = 1)
 def read_segments(segments: DataFrame) -> DataFrame:
     """Per document, decoded from the segments: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
     spark = segments.sparkSession
-    rows = segments.groupBy("part", "segment").agg(F.sum("n_ids").alias("n")).orderBy("part", "segment").collect()  # a row per some million ids
-    before, total = [], 0
-    for r in rows:
-        before.append((r.part, r.segment, total))
+    starts, total = [], 0
+    for r in segments.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():  # a row per partition
+        starts.append((r.part, total))
         total += r.n
-    starts = spark.createDataFrame(before, "part int, segment int, base long")
+    bases = F.broadcast(spark.createDataFrame(starts, "part int, base long"))
 
     def run(table: pa.Table) -> pa.Table:
         out = []
-        for part, segment, data in zip(*(table.column(c).to_pylist() for c in ("part", "segment", "data")), strict=True):
+        for part, before, data in zip(*(table.column(c).to_pylist() for c in ("part", "before", "data")), strict=True):
             doc_ids, lengths, ids = unpack_segment(data)
             raw, at = memoryview(ids.astype("<u4").tobytes()), 0
             for i, n in zip(doc_ids, lengths.tolist(), strict=True):
-                out.append((part, segment, i, at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
+                out.append((part, i, before + at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
                 at += n
-        kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 4]
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["part", "segment", "doc_id", "at", "n_tokens", "ids_crc32"])
+        kinds = [pa.int32(), *[pa.int64()] * 4]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
-    decoded = map_arrow(segments.select("part", "segment", "data"), run, "part int, segment int, doc_id long, at long, n_tokens long, ids_crc32 long", rows=1)
-    return decoded.join(F.broadcast(starts), ["part", "segment"]).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    decoded = map_arrow(segments.select("part", "before", "data"), run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long", rows=1)
+    return decoded.join(bases, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def round_trip(documents: DataFrame, vocabulary: str, end_id: int = 1) -> DataFrame:

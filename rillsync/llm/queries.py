@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillsync.llm import decontamination, embedding_dedup, language_id, ngram_join, secret_scan, substring_dedup, token_codec, toxicity
+from rillsync.llm import decontamination, embedding_dedup, language_id, ngram_join, oracles, secret_scan, substring_dedup, token_codec, toxicity
 from rillsync.llm.packing import pack_documents
 from rillsync.llm.subwords import vocabulary_path
 from rillsync.llm.token_counts import count_tokens
@@ -62,4 +62,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)

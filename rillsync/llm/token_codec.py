@@ -30,14 +30,16 @@ from rillsync.llm.subwords import encoder
 
 # Fixed values of the format.
 MAGIC = b"RLSEG1\0\0"
-BLOCK_IDS, LANES = 4096, 1024
+BLOCK_IDS, LANES = 1024, 4096
 _MASK, _CONF = (1 << 26) - 1, 30
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_T1, _T2, _STATES = 1 << 11, 1 << 12, 32
+_T1, _T2, _STATES = 1 << 9, 1 << 10, 32
 _STEP, _FULL, _STEP0, _FULL0 = 24, 4000, 32, 16000
 
 _EDGE = np.array([(1 << e) + (s << (e - 1)) for e in range(4, 27) for s in range(2)], np.int64) - 16
 _SHIFT = np.array([e - 1 for e in range(4, 27) for s in range(2)], np.uint64)
+#: A class and the place in it are coded in one step up to so many bits of place: a range is 2**32 at least, a total below 2**15.
+_JOINT = 16
 
 
 class _Model:
@@ -45,6 +47,7 @@ class _Model:
 
     def __init__(self, lanes: int, classes: int):
         self.lane = np.arange(lanes)
+        self.base1, self.base2, self.base = self.lane * _T1, self.lane * _T2, self.lane * _STATES
         self.t1 = np.full(lanes * _T1, _MASK, np.uint32)
         self.t2 = np.full(lanes * _T2, _MASK, np.uint32)
         self.events = np.tile(np.array([8, 8, 48], np.int32), (lanes * _STATES, 1))
@@ -54,12 +57,12 @@ class _Model:
 
     def predict(self, n: int):
         a, b = self.prev1[:n], self.prev2[:n]
-        self.i1 = self.lane[:n] * _T1 + ((a * 0x9E3779B1 >> 12) & (_T1 - 1))
-        self.i2 = self.lane[:n] * _T2 + (((a * 0x85EBCA6B + b * 0xC2B2AE35) >> 13) & (_T2 - 1))
+        self.i1 = self.base1[:n] + ((a * 0x9E3779B1 >> 12) & (_T1 - 1))
+        self.i2 = self.base2[:n] + (((a * 0x85EBCA6B + b * 0xC2B2AE35) >> 13) & (_T2 - 1))
         self.g1, self.g2 = self.t1[self.i1], self.t2[self.i2]
         p1, p2 = (self.g1 & _MASK).astype(np.int64), (self.g2 & _MASK).astype(np.int64)
         state = ((self.g2 >> _CONF) * 4 + (self.g1 >> _CONF)) * 2 + (p1 == p2)
-        self.row = self.lane[:n] * _STATES + state.astype(np.int64)
+        self.row = self.base[:n] + state.astype(np.int64)
         return p1, p2, self.events[self.row]
 
     def learn(self, n: int, x: np.ndarray, event: np.ndarray, total: np.ndarray) -> None:
@@ -81,14 +84,15 @@ class _Model:
             self.classes[rows] = (self.classes[rows] + 1) >> 1
 
 
-def _unit(rng, total, shift):
-    """The range's share of one count: of a total, or of a power of two."""
-    return rng >> shift if total is None else rng // total.astype(np.uint64)
-
-
-def _narrow(low, rng, cum, freq, total, shift):
-    r = _unit(rng, total, shift)
-    return low + cum.astype(np.uint64) * r, r if freq is None else freq.astype(np.uint64) * r
+def _narrow(low, rng, cum, freq, total, place, shift):
+    """The range of a count, of a place among 2**shift, or of a place within a count."""
+    if total is not None:
+        r = rng // total.astype(np.uint64)
+        low, rng = low + cum.astype(np.uint64) * r, freq.astype(np.uint64) * r
+    if place is not None:
+        rng = rng >> shift
+        low = low + place.astype(np.uint64) * rng
+    return low, rng
 
 
 def _due(low, rng):
@@ -104,8 +108,8 @@ class _Writer:
     def __init__(self, lanes: int, room: int):
         self.words, self.at = np.zeros((lanes, room), np.uint16), np.zeros(lanes, np.int64)
 
-    def code(self, m: _Model, lanes, cum, freq, total, shift=None) -> None:
-        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, shift)
+    def code(self, m: _Model, lanes, cum, freq, total, place=None, shift=None) -> None:
+        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, place, shift)
         index = m.lane[lanes]
         while (due := _due(low, rng)).any():
             rows = index[due]
@@ -129,13 +133,18 @@ class _Reader:
             self.value = (self.value << np.uint64(16)) | self.words[self.at]
             self.at += 1
 
-    def target(self, m: _Model, lanes, total, shift=None) -> np.ndarray:
-        r = _unit(m.range[lanes], total, shift)
-        most = (np.int64(1) << shift.astype(np.int64)) if total is None else total
-        return np.minimum(((self.value[lanes] - m.low[lanes]) // r).astype(np.int64), most - 1)
+    def target(self, m: _Model, lanes, total) -> np.ndarray:
+        """The count below which the lanes' values fall, of the total."""
+        r = m.range[lanes] // total.astype(np.uint64)
+        return np.minimum(((self.value[lanes] - m.low[lanes]) // r).astype(np.int64), total - 1)
+
+    def place(self, m: _Model, lanes, cum, freq, total, shift) -> np.ndarray:
+        """The place among 2**shift, within a count where a total is given."""
+        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, None, None)
+        return np.minimum(((self.value[lanes] - low) // (rng >> shift)).astype(np.int64), (np.int64(1) << shift.astype(np.int64)) - 1)
 
-    def skip(self, m: _Model, lanes, cum, freq, total, shift=None) -> None:
-        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, shift)
+    def skip(self, m: _Model, lanes, cum, freq, total, place=None, shift=None) -> None:
+        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, place, shift)
         index = m.lane[lanes]
         while (due := _due(low, rng)).any():
             rows = index[due]
@@ -148,7 +157,7 @@ class _Reader:
 
 def _code_lanes(ids: np.ndarray, sizes: np.ndarray, classes: int) -> list[np.ndarray]:
     """Words of each block. ids: (longest, lanes), lanes by falling size."""
-    lanes = ids.shape[1]
+    lanes, joint = ids.shape[1], _SHIFT[classes - 1] <= _JOINT
     m, out = _Model(lanes, classes), _Writer(lanes, 3 * ids.shape[0] + 16)
     active = np.searchsorted(-sizes, -np.arange(ids.shape[0]), "left")
     for t in range(ids.shape[0]):
@@ -168,8 +177,11 @@ def _code_lanes(ids: np.ndarray, sizes: np.ndarray, classes: int) -> list[np.nda
             sums = counts.cumsum(1, dtype=np.int32)
             here = np.arange(len(miss))
             freq, whole = counts[here, k], sums[:, -1]
-            out.code(m, miss, sums[here, k] - freq, freq, whole)
-            out.code(m, miss, v - _EDGE[k], None, None, _SHIFT[k])
+            if joint:
+                out.code(m, miss, sums[here, k] - freq, freq, whole, v - _EDGE[k], _SHIFT[k])
+            else:
+                out.code(m, miss, sums[here, k] - freq, freq, whole)
+                out.code(m, miss, None, None, None, v - _EDGE[k], _SHIFT[k])
             m.learn_class(miss, k, whole)
         m.learn(n, x, event, total)
     out.close(m)
@@ -207,9 +219,12 @@ def _read_class(m, source, miss, counts, sums, whole):
     k = (sums <= v[:, None]).sum(1)
     here = np.arange(len(miss))
     freq = counts[here, k]
-    source.skip(m, miss, sums[here, k] - freq, freq, whole)
-    place = source.target(m, miss, None, _SHIFT[k])
-    source.skip(m, miss, place, None, None, _SHIFT[k])
+    below, shift = sums[here, k] - freq, _SHIFT[k]
+    if _SHIFT[counts.shape[1] - 1] > _JOINT:
+        source.skip(m, miss, below, freq, whole)
+        below = freq = whole = None
+    place = source.place(m, miss, below, freq, whole, shift)
+    source.skip(m, miss, below, freq, whole, place, shift)
     return k, place
 
 

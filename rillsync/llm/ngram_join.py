@@ -59,6 +59,12 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(out)
 
 
+def _digest(found: bytes) -> tuple[int, int]:
+    """128 bits of a set, as two signed numbers."""
+    d = xxhash.xxh3_128_intdigest(found)
+    return (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
+
+
 def permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
     return rng.integers(1, 2**32, n, np.uint64).astype(np.uint32) | np.uint32(1), rng.integers(0, 2**32, n, np.uint64).astype(np.uint32)
@@ -86,8 +92,8 @@ def _signatures(documents: DataFrame, words: int, bands: int, rows: int) -> Data
             if not len(s):
                 c1.append(None), c2.append(None), found_bands.append(None), mins.append(None)
                 continue
-            d = xxhash.xxh3_128_intdigest(s.tobytes())
-            c1.append((d >> 64) - (1 << 63)), c2.append((d & (1 << 64) - 1) - (1 << 63))
+            high, low = _digest(s.tobytes())
+            c1.append(high), c2.append(low)
             m = signature(s, a, b)
             found_bands.append([xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=i) - (1 << 63) for i in range(bands)])
             mins.append((m >> np.uint32(13)).astype(np.uint8).tobytes())
@@ -186,7 +192,8 @@ def _verify(key: tuple, group: pd.DataFrame, threshold: float) -> pd.DataFrame:
         k = len(reps[0])
         both = np.concatenate(reps)
         rows += [(int(both[i]), int(both[j]), 0) for i, j in forest(k + len(reps[1]), a, b + k)]
-    return pd.DataFrame(rows, columns=["rep", "other", "links"]).astype({"rep": "int64", "other": "Int64", "links": "int64"})
+    rep, other, counts = zip(*rows, strict=True) if rows else [()] * 3
+    return pd.DataFrame({"rep": np.array(rep, np.int64), "other": pd.array(list(other), "Int64"), "links": np.array(counts, np.int64)})
 
 
 def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS) -> DataFrame:
@@ -196,36 +203,38 @@ def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, recall: fl
 
     Null, empty and wordless texts have no shingles, link with nothing and are their own class. A text of fewer words
     than a shingle is one shingle of all its words. Rows with a null doc_id have no name to link by: they come back
-    with nulls and no links. Rows that repeat a doc_id count as rows of their own; where one
-    names two sets as the least id of both, one of the two takes part. Other columns are ignored; an empty
-    table gives no rows.
+    with nulls and no links. Rows that repeat a doc_id count as rows of their own, with equal texts or not. Other
+    columns are ignored; an empty table gives no rows. Sets are told apart by 64 bits of their digests.
     """
     bands, rows = banding(threshold, recall)
     signed = materialize(_signatures(documents, words, bands, rows), "signatures")
     named = signed.where("doc_id is not null and c1 is not null")
-    classes = materialize(named.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_rows"), F.first("bands").alias("bands"), F.first("mins").alias("mins")).dropDuplicates(["rep"]), "classes")
+    classes = materialize(named.groupBy("c1", "c2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"), F.first("bands").alias("bands"), F.first("mins").alias("mins")).withColumn("rep", F.col("c1")).dropDuplicates(["rep"]), "classes")
     groups = components(_ties(classes)).withColumnRenamed("node", "rep").withColumnRenamed("component", "cluster")
-    members = classes.select("rep", "c1", "c2", "n_rows").join(groups, "rep")
+    members = classes.select("rep", "least", "n_rows").join(groups, "rep")
 
     def sets(table: pa.Table) -> pa.Table:
         found = [shingles(t, words).tobytes() for t in texts_of(table)]
-        return pa.table({k: table.column(k) for k in ("rep", "cluster", "n_rows")} | {"found": pa.array(found, pa.binary())})
+        own = pa.array([_digest(s)[0] == r for s, r in zip(found, table.column("rep").to_pylist(), strict=True)], pa.bool_())
+        return pa.table({k: table.column(k) for k in ("rep", "cluster", "n_rows")} | {"found": pa.array(found, pa.binary())}).filter(own)
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("rep"), "text").join(members.drop("c1", "c2"), "rep").select("rep", "cluster", "n_rows", "text")
+    texts = documents.select(F.col("doc_id").cast("long").alias("least"), "text").join(members, "least").select("rep", "cluster", "n_rows", "text")
     full = materialize(map_arrow(texts, sets, "rep long, cluster long, n_rows long, found binary", rows=512).dropDuplicates(["rep"]), "sets")
     dealt = block_pairs(full, "cluster", "rep", BLOCK_ROWS)
     found = materialize(dealt.groupBy("pair").applyInPandas(lambda key, g: _verify(key, g, threshold), "rep long, other long, links long"), "links")
     linked = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "rep")
     counted = found.where("other is null").groupBy("rep").agg(F.sum("links").alias("links"))
-    per_class = classes.select("c1", "c2", "rep", "n_rows").join(counted, "rep", "left").join(linked, "rep", "left")
-    per_class = per_class.select("c1", "c2", "rep", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n_rows") - 1).alias("n_links"))
+    names = linked.join(classes.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("name"))
+    per_class = classes.select("c1", "c2", "rep", "least", "n_rows").join(counted, "rep", "left").join(linked, "rep", "left").join(names, "component", "left")
+    per_class = per_class.select("c1", "c2", "least", F.coalesce("name", "least").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n_rows") - 1).alias("n_links"))
     shown = signed.select("doc_id", "c1", "c2").join(per_class, ["c1", "c2"], "left")
     real = F.col("doc_id").isNotNull()
-    return shown.select("doc_id", F.when(real, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(real, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"), F.when(real, F.coalesce("rep", "doc_id")).alias("copy_id"))
+    return shown.select("doc_id", F.when(real, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(real, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"), F.when(real, F.coalesce("least", "doc_id")).alias("copy_id"))
 
 
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS) -> DataFrame:
-    """`documents` with one document of each class: the one of least doc_id. Rows with a null doc_id stay."""
+    """`documents` with one document of each class: the one of least doc_id, with the rows that repeat it. Rows with a null
+    doc_id stay, and a row goes with its doc_id."""
     links = jaccard_links(documents.select("doc_id", "text"), threshold, recall, words)
     gone = links.where("doc_id <> class_id").select("doc_id").distinct()
     return documents.join(gone, "doc_id", "left_anti")

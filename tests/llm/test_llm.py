@@ -119,6 +119,16 @@ def test_jaccard_links(spark, docs):
     assert ngram_join.jaccard_links(docs.where("false")).count() == 0
 
 
+def test_repeated_ids(spark):
+    other = prose(90)
+    near = " ".join([*other.split(" ")[:85], "changed", *other.split(" ")[86:]])
+    got = ngram_join.jaccard_links(frame(spark, [BASE, other, BASE, near, prose(50)], [1, 1, 2, 3, 1])).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == [(1, 1, 0), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+    x = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [1.0, 0.1, 0.0], [0.0, 1.0, 0.1]]
+    vectors = spark.createDataFrame(list(zip([5, 5, 6, 7], x, strict=True)), "vec_id long, embedding array<float>")
+    assert sorted((r.vec_id, r.component_id, r.n_links) for r in embedding_dedup.near_duplicates(vectors).collect()) == [(5, 5, 1), (5, 5, 1), (6, 5, 1), (7, 5, 1)]
+
+
 def test_large_group_by_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 8)
     rng, base = random.Random(8), prose(200).split(" ")

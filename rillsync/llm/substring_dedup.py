@@ -4,15 +4,20 @@ A text's units are its lines, long lines cut further at the ends of sentences, n
 Units may be short, so what is hashed is a run of consecutive units with some words in all; a run's 128-bit digest
 is grouped globally, the earliest occurrence by (document, position) is kept, and the units of every later one are
 removed. Offsets are code points of the original text.
+
+Two choices of runs: `runs` is what the operator's SQL states (the shortest run forward from each unit), `whole_runs`
+adds what that loses: lines of fewer words than a run.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillsync.llm.common import map_arrow, materialize
@@ -22,6 +27,8 @@ RUN_WORDS = 12
 #: A digest is hot with more occurrences than HOT_ROWS and than one HOT_DIGESTS-th of all runs, so there are fewer hot ones than
 #: HOT_DIGESTS, of 40 bytes each: these are joined by broadcast and no task gets all occurrences of one.
 HOT_ROWS, HOT_DIGESTS = 1000, 100_000
+#: Only digests whose bucket has as many rows as a hot digest are counted one by one.
+BUCKETS = 1 << 18
 _UNIT = re.compile(r"[^\n.!?]*(?:[.!?](?![\s])[^\n.!?]*)*[.!?]*")
 _SPACE = re.compile(r"\s+")
 
@@ -53,12 +60,41 @@ def runs(text: str, least: int = RUN_WORDS) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def repeated_spans(documents: DataFrame, least: int = RUN_WORDS) -> DataFrame:
+def whole_runs(text: str, least: int = RUN_WORDS) -> list[tuple[int, int, int, int]]:
+    """(start, end, digest high, digest low) of each line of fewer than `least` words, and of the shortest runs of at least so
+    many words forward from each unit."""
+    found, ranges, line, words = [], set(), 0, 0
+    for u in units(text):
+        if found and text.find("\n", found[-1][1], u[0]) >= 0:
+            if words < least:
+                ranges.add((line, len(found)))
+            line, words = len(found), 0
+        found.append(u)
+        words += u[3]
+    if found and words < least:
+        ranges.add((line, len(found)))
+    i, ahead, words = 0, 0, 0
+    for j, u in enumerate(found, 1):
+        words += u[3]
+        while words - found[i][3] >= least:
+            words -= found[i][3]
+            i += 1
+        if words >= least:
+            ranges.update((k, j) for k in range(ahead, i + 1))
+            ahead = i + 1
+    out = []
+    for i, j in sorted(ranges):
+        d = xxhash.xxh3_128_intdigest("\n".join(u[2] for u in found[i:j]))
+        out.append((found[i][0], found[j - 1][1], (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)))
+    return out
+
+
+def repeated_spans(documents: DataFrame, least: int = RUN_WORDS, cut_text: Callable[[str, int], list[tuple[int, int, int, int]]] = runs) -> DataFrame:
     """Rows (doc_id, start, end, keeper_id): the merged spans to remove from each document, and the least document
     that keeps an earlier occurrence of a part of it.
 
     The rank is (doc_id, start). Rows with a null doc_id cannot be named or ranked and are left out. Null, empty and
-    short texts have no runs and no rows; rows that repeat a doc_id repeat its text, so they are taken for one document;
+    short texts have no runs and no rows (with whole_runs, short texts have their lines); rows that repeat a doc_id repeat its text, so they are taken for one document;
     other columns are ignored; an empty table gives no rows. Texts of any length are cut whole.
     """
 
@@ -66,19 +102,28 @@ def repeated_spans(documents: DataFrame, least: int = RUN_WORDS) -> DataFrame:
         ids, rows = table.column("doc_id").to_pylist(), []
         for i, text in zip(ids, table.column("text").to_pylist(), strict=True):
             if text:
-                rows += [(i, *r) for r in runs(text, least)]
+                rows += [(i, a, b - a, *h) for a, b, *h in cut_text(text, least)]
         columns = zip(*rows, strict=True) if rows else [[]] * 5
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "end", "h1", "h2"])
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "size", "h1", "h2"])
 
-    cut = materialize(map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null"), run, "doc_id long, start long, end long, h1 long, h2 long", rows=512), "runs")
+    cut = materialize(map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null"), run, "doc_id long, start long, size long, h1 long, h2 long", rows=512), "runs")
     rank = F.struct("doc_id", "start")
-    first = materialize(cut.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where("n > 1"), "repeated")
-    hot = F.col("n") > max(HOT_ROWS, cut.count() // HOT_DIGESTS)
-    few, many = F.broadcast(first.where(hot).drop("n")), first.where(~hot).drop("n")
-    held = cut.join(few, ["h1", "h2"]).unionByName(cut.join(few.select("h1", "h2"), ["h1", "h2"], "left_anti").join(many, ["h1", "h2"]))
+    bucket, hot = F.pmod("h2", F.lit(BUCKETS)), F.col("n") > max(HOT_ROWS, cut.count() // HOT_DIGESTS)
+    full = np.zeros(BUCKETS, bool)
+    for r in cut.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(hot).select("bucket").toLocalIterator():  # fewer than HOT_DIGESTS
+        full[r.bucket] = True
+
+    def crowded(table: pa.Table) -> pa.Table:
+        return table.filter(pa.array(full[table.column("h2").to_numpy() % BUCKETS]))
+
+    few = map_arrow(cut.select("doc_id", "start", "h1", "h2"), crowded, "doc_id long, start long, h1 long, h2 long", rows=10_000)
+    few = F.broadcast(materialize(few.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where(hot).drop("n"), "hot"))
+    # occurrences of a hot digest are dealt out one by one, as their first is known
+    held = cut.join(few, ["h1", "h2"], "left").withColumn("deal", F.when(F.col("first").isNotNull(), F.xxhash64("doc_id", "start")))
+    held = held.withColumn("first", F.coalesce("first", F.min(rank).over(Window.partitionBy("h1", "h2", "deal"))))
     later = held.where((F.col("first.start") != F.col("start")) | (F.col("first.doc_id") != F.col("doc_id")))
     # the runs of one document are many at most; a document's spans are merged in one place
-    spans = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end", F.col("first.doc_id").alias("keeper_id")))).alias("spans"))
+    spans = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end"), F.col("first.doc_id").alias("keeper_id")))).alias("spans"))
 
     def merge(table: pa.Table) -> pa.Table:
         rows = []

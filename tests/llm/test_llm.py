@@ -155,6 +155,22 @@ def test_substring_dedup(spark):
     assert substring_dedup.repeated_spans(frame(spark, [])).count() == 0
 
 
+def test_whole_dedup(spark, monkeypatch):
+    rng = random.Random(8)
+    clean = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
+    line = clean(8)
+    texts = [f"{clean(20)}\n{line}\n{clean(20)}", f"{clean(16)}\n {line.upper()} \n{clean(16)}", "two words", "Two  words"]
+
+    def removed():
+        spans = substring_dedup.repeated_spans(frame(spark, texts), cut_text=substring_dedup.whole_runs).collect()
+        return {(r.doc_id, r.keeper_id): texts[r.doc_id][r.start : r.end] for r in spans}
+
+    got = removed()
+    assert got == {(1, 0): line.upper(), (3, 2): texts[3]}
+    monkeypatch.setattr(substring_dedup, "HOT_ROWS", 1)  # every repeated digest by broadcast
+    assert removed() == got
+
+
 def test_leaks(spark):
     item = prose(40)
     w = item.split(" ")

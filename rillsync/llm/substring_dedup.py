@@ -6,7 +6,7 @@ is grouped globally, the earliest occurrence by (document, position) is kept, an
 removed. Offsets are code points of the original text.
 
 Two choices of runs: `runs` is what the operator's SQL states (the shortest run forward from each unit), `whole_runs`
-adds what that loses: lines of fewer words than a run.
+adds what that loses: lines of fewer words than a run, the ends of passages, and passages inside long units.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ RUN_WORDS = 12
 HOT_ROWS, HOT_DIGESTS = 1000, 100_000
 #: Only digests whose bucket has as many rows as a hot digest are counted one by one.
 BUCKETS = 1 << 18
+#: whole_runs() cuts units of over twice a run's words between two words whose hash is a multiple of this.
+CUT_EVERY = 6
 _UNIT = re.compile(r"[^\n.!?]*(?:[.!?](?![\s])[^\n.!?]*)*[.!?]*")
 _SPACE = re.compile(r"\s+")
+_WORD = re.compile(r"\S+")
 
 
 def units(text: str) -> list[tuple[int, int, str, int]]:
@@ -60,16 +63,30 @@ def runs(text: str, least: int = RUN_WORDS) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def _pieces(unit: tuple[int, int, str, int], text: str, least: int) -> list[tuple[int, int, str, int]]:
+    """The unit, cut where it has over twice `least` words at places that follow from the two words around them alone, so that
+    a passage is cut alike wherever it stands."""
+    if unit[3] <= 2 * least:
+        return [unit]
+    found, out, k = [m.span() for m in _WORD.finditer(text, unit[0], unit[1])], [], 0
+    words = [text[a:b].lower() for a, b in found]
+    for i in range(1, len(words) + 1):
+        if i == len(words) or xxhash.xxh3_64_intdigest(f"{words[i - 1]} {words[i]}") % CUT_EVERY == 0:
+            out.append((found[k][0], found[i - 1][1], " ".join(words[k:i]), i - k))
+            k = i
+    return out
+
+
 def whole_runs(text: str, least: int = RUN_WORDS) -> list[tuple[int, int, int, int]]:
     """(start, end, digest high, digest low) of each line of fewer than `least` words, and of the shortest runs of at least so
-    many words forward from each unit."""
+    many words forward and backward from each unit, long units being cut. Every line is covered by runs inside it."""
     found, ranges, line, words = [], set(), 0, 0
     for u in units(text):
         if found and text.find("\n", found[-1][1], u[0]) >= 0:
             if words < least:
                 ranges.add((line, len(found)))
             line, words = len(found), 0
-        found.append(u)
+        found += _pieces(u, text, least)
         words += u[3]
     if found and words < least:
         ranges.add((line, len(found)))
@@ -80,7 +97,8 @@ def whole_runs(text: str, least: int = RUN_WORDS) -> list[tuple[int, int, int, i
             words -= found[i][3]
             i += 1
         if words >= least:
-            ranges.update((k, j) for k in range(ahead, i + 1))
+            ranges.add((i, j))  # backward from the unit before j, and forward from those that have the least here first
+            ranges.update((k, j) for k in range(ahead, i))
             ahead = i + 1
     out = []
     for i, j in sorted(ranges):

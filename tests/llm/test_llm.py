@@ -158,15 +158,20 @@ def test_substring_dedup(spark):
 def test_whole_dedup(spark, monkeypatch):
     rng = random.Random(8)
     clean = lambda n: " ".join(rng.choice(WORDS) for _ in range(n))
-    line = clean(8)
-    texts = [f"{clean(20)}\n{line}\n{clean(20)}", f"{clean(16)}\n {line.upper()} \n{clean(16)}", "two words", "Two  words"]
+    line, passage, inner, tail = clean(8), f"{clean(14)}. {clean(9)}", clean(60), f"{clean(30)}. {clean(5)}"
+    texts = [
+        f"{clean(20)}\n{line}\n{clean(20)}", f"{clean(16)}\n {line.upper()} \n{clean(16)}", "two words", "Two  words", tail, tail,
+        f"{clean(15)}. {passage}. {clean(15)}", f"{clean(18)}. {passage}. {clean(13)}", f"{clean(30)} {inner} {clean(30)}", f"{clean(17)} {inner} {clean(41)}",
+    ]
 
     def removed():
         spans = substring_dedup.repeated_spans(frame(spark, texts), cut_text=substring_dedup.whole_runs).collect()
         return {(r.doc_id, r.keeper_id): texts[r.doc_id][r.start : r.end] for r in spans}
 
     got = removed()
-    assert got == {(1, 0): line.upper(), (3, 2): texts[3]}
+    assert set(got) == {(1, 0), (3, 2), (5, 4), (7, 6), (9, 8)}
+    assert got[1, 0] == line.upper() and got[3, 2] == texts[3] and got[5, 4] == texts[5] and got[7, 6] == passage + "."
+    assert got[9, 8] in inner and len(got[9, 8]) > 0.5 * len(inner)
     monkeypatch.setattr(substring_dedup, "HOT_ROWS", 1)  # every repeated digest by broadcast
     assert removed() == got
 

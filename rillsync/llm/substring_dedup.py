@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -126,16 +125,12 @@ def repeated_spans(documents: DataFrame, least: int = RUN_WORDS, cut_text: Calla
 
     cut = materialize(map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null"), run, "doc_id long, start long, size long, h1 long, h2 long", rows=512), "runs")
     rank = F.struct("doc_id", "start")
-    bucket, hot = F.pmod("h2", F.lit(BUCKETS)), F.col("n") > max(HOT_ROWS, cut.count() // HOT_DIGESTS)
-    full = np.zeros(BUCKETS, bool)
-    for r in cut.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).where(hot).select("bucket").toLocalIterator():  # fewer than HOT_DIGESTS
-        full[r.bucket] = True
-
-    def crowded(table: pa.Table) -> pa.Table:
-        return table.filter(pa.array(full[table.column("h2").to_numpy() % BUCKETS]))
-
-    few = map_arrow(cut.select("doc_id", "start", "h1", "h2"), crowded, "doc_id long, start long, h1 long, h2 long", rows=10_000)
-    few = F.broadcast(materialize(few.groupBy("h1", "h2").agg(F.min(rank).alias("first"), F.count("*").alias("n")).where(hot).drop("n"), "hot"))
+    cut, hot = cut.withColumn("bucket", F.pmod("h2", F.lit(BUCKETS))), F.col("n") > max(HOT_ROWS, cut.count() // HOT_DIGESTS)
+    full = F.broadcast(cut.groupBy("bucket").agg(F.count("*").alias("n")).where(hot).select("bucket", F.lit(True).alias("full")))
+    # the rows of other buckets are one group without a digest, which joins with nothing
+    few = cut.join(full, "bucket", "left").groupBy(F.when(F.col("full"), F.col("h1")).alias("h1"), F.when(F.col("full"), F.col("h2")).alias("h2"))
+    few = F.broadcast(materialize(few.agg(F.min(rank).alias("first"), F.count("*").alias("n")).where(hot).drop("n"), "hot"))
+    cut = cut.drop("bucket")
     # occurrences of a hot digest are dealt out one by one, as their first is known
     held = cut.join(few, ["h1", "h2"], "left").withColumn("deal", F.when(F.col("first").isNotNull(), F.xxhash64("doc_id", "start")))
     held = held.withColumn("first", F.coalesce("first", F.min(rank).over(Window.partitionBy("h1", "h2", "deal"))))

@@ -89,6 +89,28 @@ def test_packer_holds_all_limits():
     assert all(sum(s for _, s, _ in b) <= 64 and len(b) <= 4 and sum(x for *_, x in b) <= 32 for b in bins.values())
 
 
+def test_short_examples_leave_no_padding():
+    packer, pieces, rng = Packer(), [], random.Random(6)
+    for k in range(10_000):
+        pieces += packer.add(k, rng.randint(2, 6))
+    pieces += packer.finish()
+    filled = {}
+    for _, _, size, sequence, _ in pieces:
+        filled[sequence] = filled.get(sequence, 0) + size
+    padding = sum(0 if n & (n - 1) == 0 else 1024 - n for n in filled.values())
+    assert padding <= 0.02 * sum(filled.values())
+
+
+def test_loss_limit_binds(docs):
+    got = pack_documents(docs, vocabulary_path("byte_bpe_50k.json"), limits=Limits(tokens=64, loss_tokens=56)).collect()
+    loss, size = {}, {}
+    for r in got:
+        loss[r.sequence_id] = loss.get(r.sequence_id, 0) + r.loss_length
+        size[r.sequence_id] = size.get(r.sequence_id, 0) + r.length
+    assert max(loss.values()) == 56 and all(n <= 64 for n in size.values())
+    assert sum(loss.values()) < sum(size.values()) and all(n == 64 or n & (n - 1) == 0 for n in size.values())
+
+
 def test_token_output(docs, spark):
     encode, start = library("word_bpe_49k.json"), 0
     got = {r.doc_id: r for r in token_codec.round_trip(docs, vocabulary_path("word_bpe_49k.json")).collect()}

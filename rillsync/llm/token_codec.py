@@ -1,16 +1,25 @@
 """Token ids in a compressed binary file (operator 9): an adaptive context-mixing range coder.
 
-Ids are cut into blocks that are reset and checksummed by themselves. Three predictors mix: after the last two ids
-and after the last one, a table of the block holds the id that came next before, with a confidence; the id is coded
-as a hit of the first, a hit of the second or a miss, with counts that adapt for every pair of confidences, so the
-mix follows what has proved right. A miss is coded by order 0: adaptive counts of classes of ids of similar size,
-and the place within the class. The coder is a carry-less range coder on 64-bit registers that emits 16-bit words.
-
-The blocks of a segment are coded side by side, a lane each, so every step of the coder is a numpy operation over
-lanes; the bytes of a block do not depend on the others. A segment holds whole documents and a directory of them.
-
-Layout, little-endian: magic, ids in a block, blocks, documents, directory bytes, classes of ids; directory (zlib: null marks,
-document ids, lengths); per block ids, words, crc32 of the ids; the blocks' words; crc32 of all before.
+Ids are cut into blocks of up to 2**20, each reset and checksummed by itself, and coded over the block's own
+alphabet. Three orders predict:
+
+- order 2: a table by the last two ids holds the id that came next, with a count;
+- order 1: a table by the last id holds the two ids that came next most, with counts;
+- order 0: adaptive frequencies of all ids, in a few latent classes; a way codes with the class that has fitted its
+  latest ids best, so the classes come to stand for what the corpus mixes (languages, say).
+
+The predicted ids are tried one after another. The probability of a hit is mixed in the logistic domain from what
+each order says about that id, by weights that learn; a miss of all is coded by the order-0 frequencies.
+
+A block is coded in up to 1,024 ways, each a run of neighbouring ids with a range coder of its own. All ways share the
+block's model and take a step at once, after which the model learns from all of them: every step is a handful of
+numpy operations over the ways, for the coder and for the decoder. Arithmetic is on integers only, so any machine
+decodes what another has written. The coder is a carry-less range coder on 64-bit registers that emits 16-bit words.
+
+A segment holds whole documents, a directory of them and their blocks. Layout, little-endian: magic, blocks,
+documents, directory bytes; directory (zlib: null marks, document ids, lengths); per block: ids, ways, alphabet bytes,
+words, crc32 of the ids; then per block the alphabet (zlib: steps between its ids), words of each way, the words; at
+the end the crc32 of all before.
 """
 
 from __future__ import annotations
@@ -29,225 +38,299 @@ from rillsync.llm.common import map_arrow, materialize
 from rillsync.llm.subwords import encoder
 
 # Fixed values of the format.
-MAGIC = b"RLSEG1\0\0"
-BLOCK_IDS, LANES = 1024, 4096
-_MASK, _CONF = (1 << 26) - 1, 30
-_TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_T1, _T2, _STATES = 1 << 9, 1 << 10, 32
-_STEP, _FULL, _STEP0, _FULL0 = 24, 4000, 32, 16000
-
-_EDGE = np.array([(1 << e) + (s << (e - 1)) for e in range(4, 27) for s in range(2)], np.int64) - 16
-_SHIFT = np.array([e - 1 for e in range(4, 27) for s in range(2)], np.uint64)
-#: A class and the place in it are coded in one step up to so many bits of place: a range is 2**32 at least, a total below 2**15.
-_JOINT = 16
+MAGIC = b"RLSEG2\0\0"
+BLOCK_IDS, SEGMENT_IDS = 1 << 20, 1 << 22
+WAYS, WAY_IDS = 1024, 512
+CLASSES, STEP, FULL = 6, 32, 1 << 18
+_TOP, _BOT, _WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
+_TOP_SHIFT = np.uint64(48)
+_ONE = np.uint64(12)  # bits of a hit's probability
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logistic function of x / 256 in 12 bits for x in -2047..2047, its inverse, and 64 * log2(n), all by integers."""
+    # e**(1/256) in 32 bits of fraction, raised by steps
+    unit, power, squash = 4311778051, 1 << 32, [2048]
+    for _ in range(2047):
+        power = power * unit >> 32
+        squash.append(min(4095, 4096 * power // (power + (1 << 32))))
+    squash = np.array([*(max(1, 4096 - s) for s in squash[:0:-1]), *squash], np.int64)
+    stretch = np.searchsorted(squash, np.arange(4096)).clip(0, len(squash) - 1) - 2047
+    n = np.arange(FULL * 2, dtype=np.int64)
+    high = np.zeros(len(n), np.int64)
+    for e in range(1, 20):
+        high[1 << e :] = e
+    log = 64 * high + ((n << 6) >> high) - 64  # linear between powers of two
+    return squash, stretch, log
+
+
+_SQUASH, _STRETCH, _LOG = _tables()
+
+
+class _Hits:
+    """Probabilities of one candidate's hits: counts by two states, mixed with the order-0 probability."""
+
+    def __init__(self, first: int, second: int):
+        self.hits = [np.ones(first, np.int64), np.ones(second, np.int64)]
+        self.seen = [np.full(first, 3, np.int64), np.full(second, 3, np.int64)]
+        self.weights = np.array([26000, 20000, 20000], np.int64)
+
+    def mix(self, first: np.ndarray, second: np.ndarray, order0: np.ndarray) -> np.ndarray:
+        said = [_STRETCH[h * 4096 // s] for h, s in zip(self.hits, self.seen, strict=True)]
+        self.at = first, second
+        self.said = said[0][first], said[1][second], _STRETCH[order0]
+        w = self.weights
+        total = (self.said[0] * w[0] + self.said[1] * w[1] + self.said[2] * w[2]) >> 16
+        self.p = _SQUASH[total.clip(-2047, 2047) + 2047]
+        return self.p
+
+    def learn(self, tried: np.ndarray, hit: np.ndarray) -> None:
+        """hit: 0 or 1 of each way; only ways in which the candidate was tried teach."""
+        n = int(tried.sum())
+        if not n:
+            return
+        for k, at in enumerate(self.at):
+            size = len(self.hits[k])
+            self.hits[k] += np.bincount(at, hit, size).astype(np.int64)
+            self.seen[k] += np.bincount(at, tried, size).astype(np.int64)
+            if (full := self.seen[k] > 1 << 14).any():
+                self.hits[k][full] = (self.hits[k][full] + 1) >> 1
+                self.seen[k][full] = (self.seen[k][full] + 3) >> 1
+        error = ((hit << 12) - self.p) * tried
+        for i in range(3):
+            self.weights[i] += int(error @ self.said[i]) * 64 // (n << 13)
 
 
 class _Model:
-    """What coder and decoder keep for each lane."""
-
-    def __init__(self, lanes: int, classes: int):
-        self.lane = np.arange(lanes)
-        self.base1, self.base2, self.base = self.lane * _T1, self.lane * _T2, self.lane * _STATES
-        self.t1 = np.full(lanes * _T1, _MASK, np.uint32)
-        self.t2 = np.full(lanes * _T2, _MASK, np.uint32)
-        self.events = np.tile(np.array([8, 8, 48], np.int32), (lanes * _STATES, 1))
-        self.classes = np.ones((lanes, classes), np.int32)
-        self.prev1, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-
-    def predict(self, n: int):
-        a, b = self.prev1[:n], self.prev2[:n]
-        self.i1 = self.base1[:n] + ((a * 0x9E3779B1 >> 12) & (_T1 - 1))
-        self.i2 = self.base2[:n] + (((a * 0x85EBCA6B + b * 0xC2B2AE35) >> 13) & (_T2 - 1))
-        self.g1, self.g2 = self.t1[self.i1], self.t2[self.i2]
-        p1, p2 = (self.g1 & _MASK).astype(np.int64), (self.g2 & _MASK).astype(np.int64)
-        state = ((self.g2 >> _CONF) * 4 + (self.g1 >> _CONF)) * 2 + (p1 == p2)
-        self.row = self.base[:n] + state.astype(np.int64)
-        return p1, p2, self.events[self.row]
-
-    def learn(self, n: int, x: np.ndarray, event: np.ndarray, total: np.ndarray) -> None:
-        self.events[self.row, event] += _STEP
-        if (full := total > _FULL).any():
-            rows = self.row[full]
-            self.events[rows] = (self.events[rows] + 1) >> 1
-        for table, at, g in ((self.t1, self.i1, self.g1), (self.t2, self.i2, self.g2)):
-            conf, right = g >> _CONF, (g & _MASK) == x
-            one = np.uint32(1 << _CONF)
-            table[at] = np.where(right, np.where(conf < 3, g + one, g), np.where(conf > 0, g - one, x.astype(np.uint32)))
-        self.prev2[:n] = self.prev1[:n]
-        self.prev1[:n] = x
-
-    def learn_class(self, lanes: np.ndarray, k: np.ndarray, total: np.ndarray) -> None:
-        self.classes[lanes, k] += _STEP0
-        if (full := total > _FULL0).any():
-            rows = lanes[full]
-            self.classes[rows] = (self.classes[rows] + 1) >> 1
-
-
-def _narrow(low, rng, cum, freq, total, place, shift):
-    """The range of a count, of a place among 2**shift, or of a place within a count."""
-    if total is not None:
-        r = rng // total.astype(np.uint64)
-        low, rng = low + cum.astype(np.uint64) * r, freq.astype(np.uint64) * r
-    if place is not None:
-        rng = rng >> shift
-        low = low + place.astype(np.uint64) * rng
-    return low, rng
-
-
-def _due(low, rng):
-    """Lanes that emit a word now; where the range is small and the top bits differ, the range is cut short."""
+    """What coder and decoder share: predictions over the ways, and what they learn from a step. Ids are places in
+    the block's alphabet."""
+
+    def __init__(self, ways: int, alphabet: int, ids: int):
+        self.size = alphabet
+        spread = np.arange(CLASSES * alphabet, dtype=np.int64) * 2654435761 >> 11
+        self.counts = 4 + (spread & 3)  # classes begin a little unlike, so that they can part
+        self.scores = np.zeros((ways, CLASSES), np.int64)
+        self.mask = (1 << min(20, max(10, ids.bit_length()))) - 1
+        self.t2, self.n2 = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int64)
+        self.t1, self.n1 = np.full(2 * alphabet, -1, np.int64), np.zeros(2 * alphabet, np.int64)
+        self.a, self.b = np.zeros(ways, np.int64), np.zeros(ways, np.int64)
+        self.hits = [_Hits(16, 32), _Hits(256, 16), _Hits(256, 16)]
+        self.base = np.arange(CLASSES, dtype=np.int64) * alphabet
+
+    def predict(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For the first n ways: the candidates (-1: none) and the cumulated probabilities, of 4096, up to each."""
+        a, b, size = self.a[:n], self.b[:n], self.size
+        self.flat = self.counts.cumsum()
+        ends = self.flat[size - 1 :: size]
+        self.below = np.append(0, ends[:-1])
+        self.totals = ends - self.below
+        self.cls = self.scores[:n].argmax(1)
+        self.h2 = ((a * 0x9E3779B1 + b * 0x85EBCA6B) >> 5) & self.mask
+        self.s0, self.s1 = 2 * a, 2 * a + 1
+        c2, c1, c0 = self.t2[self.h2], self.t1[self.s0], self.t1[self.s1]
+        m2, m1, m0 = self.n2[self.h2], self.n1[self.s0], self.n1[self.s1]
+        known2 = np.minimum(m2, 15)
+        sum1 = _LOG[np.minimum(m1 + m0 + 1, 1 << 15)] >> 6
+        c1 = np.where(c1 == c2, -1, c1)
+        c0 = np.where(c0 == c2, -1, c0)
+        same = np.where(c1 < 0, m1, np.where(c0 < 0, m0, 0))
+        states = (
+            (known2, np.minimum(same, 15) + 16 * (c1 < 0)),
+            (np.minimum(_LOG[np.minimum(m1 + 1, 1 << 15)] >> 6, 15) * 16 + np.minimum(sum1, 15), known2),
+            (np.minimum(_LOG[np.minimum(m0 + 1, 1 << 15)] >> 6, 15) * 16 + np.minimum(sum1, 15), known2),
+        )
+        own, total = self.base[self.cls], self.totals[self.cls]
+        upto, left, self.tried = [], np.full(n, 4096, np.int64), []
+        for hits, c, (x, y) in zip(self.hits, (c2, c1, c0), states, strict=True):
+            there = c >= 0
+            p0 = (self.counts[own + c] * 4096 // total).clip(1, 4095)
+            p = np.where(there, hits.mix(x, y, p0), 0)
+            left = left - np.minimum((left * p) >> 12, left - 1)
+            upto.append(left)
+            self.tried.append(there)
+        self.candidates = np.stack([c2, c1, c0])
+        return self.candidates, 4096 - np.stack(upto)
+
+    def learn(self, x: np.ndarray, event: np.ndarray) -> None:
+        """x: the ids of the step; event: 0 to 2 for the candidate that was right, 3 for none."""
+        n = len(x)
+        for k, hits in enumerate(self.hits):
+            hits.learn((self.tried[k] & (event >= k)).astype(np.int64), (event == k).astype(np.int64))
+        freq = self.counts[self.base[:, None] + x]
+        shift = max(0, int(self.totals.max()).bit_length() - 18)
+        fit = _LOG[np.maximum(freq >> shift, 1)] - _LOG[np.maximum(self.totals >> shift, 1)][:, None]
+        was = self.scores[:n]
+        self.scores[:n] = was - (was >> 3) + fit.T
+        miss = event == 3
+        np.add.at(self.counts, self.base[self.cls[miss]] + x[miss], STEP)
+        if (full := self.totals > FULL + 8 * self.size).any():
+            wide = self.counts.reshape(CLASSES, self.size)
+            wide[full] = (wide[full] + 1) >> 1
+        # order 2: one place, which gives way when its count is used up
+        hit = self.candidates[0] == x
+        self.n2[self.h2] = np.where(hit, np.minimum(self.n2[self.h2] + 1, 255), np.maximum(self.n2[self.h2] - 1, 0))
+        free = self.n2[self.h2] == 0
+        at = self.h2[free]
+        self.t2[at], self.n2[at] = x[free], 1
+        # order 1: two places, the weaker of which gives way
+        first, second = self.t1[self.s0] == x, self.t1[self.s1] == x
+        np.add.at(self.n1, np.concatenate([self.s0[first], self.s1[second]]), 1)
+        none = ~(first | second)
+        s0, s1, new = self.s0[none], self.s1[none], x[none]
+        weak = np.where(self.n1[s0] <= self.n1[s1], s0, s1)
+        self.n1[weak] = np.maximum(self.n1[weak] - 1, 0)
+        free = self.n1[weak] == 0
+        at = weak[free]
+        self.t1[at], self.n1[at] = new[free], 1
+        self.b[:n] = self.a[:n]
+        self.a[:n] = x
+
+
+def _renew(low: np.ndarray, rng: np.ndarray) -> np.ndarray:
+    """Ways that are due to pass a word; where the range is small and the top bits differ, it is cut short."""
     same = (low ^ (low + rng)) < _TOP
     small = ~same & (rng < _BOT)
     if small.any():
         rng[small] = (np.uint64(0) - low[small]) & (_BOT - np.uint64(1))
-    return same | small
-
-
-class _Writer:
-    def __init__(self, lanes: int, room: int):
-        self.words, self.at = np.zeros((lanes, room), np.uint16), np.zeros(lanes, np.int64)
-
-    def code(self, m: _Model, lanes, cum, freq, total, place=None, shift=None) -> None:
-        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, place, shift)
-        index = m.lane[lanes]
-        while (due := _due(low, rng)).any():
-            rows = index[due]
-            self.words[rows, self.at[rows]] = (low[due] >> np.uint64(48)).astype(np.uint16)
-            self.at[rows] += 1
-            low[due] <<= np.uint64(16)
-            rng[due] <<= np.uint64(16)
-        m.low[lanes], m.range[lanes] = low, rng
-
-    def close(self, m: _Model) -> None:
-        for shift in (48, 32, 16, 0):
-            self.words[m.lane, self.at] = (m.low >> np.uint64(shift)).astype(np.uint16)
-            self.at += 1
-
-
-class _Reader:
-    def __init__(self, words: np.ndarray, starts: np.ndarray):
-        self.words, self.at = np.append(words, np.zeros(8, np.uint16)), starts.astype(np.int64)
-        self.value = np.zeros(len(starts), np.uint64)
-        for _ in range(4):
-            self.value = (self.value << np.uint64(16)) | self.words[self.at]
-            self.at += 1
-
-    def target(self, m: _Model, lanes, total) -> np.ndarray:
-        """The count below which the lanes' values fall, of the total."""
-        r = m.range[lanes] // total.astype(np.uint64)
-        return np.minimum(((self.value[lanes] - m.low[lanes]) // r).astype(np.int64), total - 1)
-
-    def place(self, m: _Model, lanes, cum, freq, total, shift) -> np.ndarray:
-        """The place among 2**shift, within a count where a total is given."""
-        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, None, None)
-        return np.minimum(((self.value[lanes] - low) // (rng >> shift)).astype(np.int64), (np.int64(1) << shift.astype(np.int64)) - 1)
-
-    def skip(self, m: _Model, lanes, cum, freq, total, place=None, shift=None) -> None:
-        low, rng = _narrow(m.low[lanes], m.range[lanes], cum, freq, total, place, shift)
-        index = m.lane[lanes]
-        while (due := _due(low, rng)).any():
-            rows = index[due]
-            self.value[rows] = (self.value[rows] << np.uint64(16)) | self.words[self.at[rows]]
-            self.at[rows] += 1
-            low[due] <<= np.uint64(16)
-            rng[due] <<= np.uint64(16)
-        m.low[lanes], m.range[lanes] = low, rng
-
-
-def _code_lanes(ids: np.ndarray, sizes: np.ndarray, classes: int) -> list[np.ndarray]:
-    """Words of each block. ids: (longest, lanes), lanes by falling size."""
-    lanes, joint = ids.shape[1], _SHIFT[classes - 1] <= _JOINT
-    m, out = _Model(lanes, classes), _Writer(lanes, 3 * ids.shape[0] + 16)
-    active = np.searchsorted(-sizes, -np.arange(ids.shape[0]), "left")
-    for t in range(ids.shape[0]):
-        n = int(active[t])
-        x = ids[t, :n].astype(np.int64)
-        p1, p2, c = m.predict(n)
-        first, second = x == p2, x == p1
-        event = np.where(first, 0, np.where(second, 1, 2))
-        n0, n1 = c[:, 0], c[:, 1]
-        total = n0 + n1 + c[:, 2]
-        cum = np.where(event == 0, 0, np.where(event == 1, n0, n0 + n1))
-        out.code(m, slice(0, n), cum, c[m.lane[:n], event], total)
-        if len(miss := np.flatnonzero(event == 2)):
-            v = x[miss]
-            k = np.searchsorted(_EDGE, v, "right") - 1
-            counts = m.classes[miss]
-            sums = counts.cumsum(1, dtype=np.int32)
-            here = np.arange(len(miss))
-            freq, whole = counts[here, k], sums[:, -1]
-            if joint:
-                out.code(m, miss, sums[here, k] - freq, freq, whole, v - _EDGE[k], _SHIFT[k])
-            else:
-                out.code(m, miss, sums[here, k] - freq, freq, whole)
-                out.code(m, miss, None, None, None, v - _EDGE[k], _SHIFT[k])
-            m.learn_class(miss, k, whole)
-        m.learn(n, x, event, total)
-    out.close(m)
-    return [out.words[i, : out.at[i]] for i in range(lanes)]
-
-
-def _decode_lanes(words: np.ndarray, starts: np.ndarray, sizes: np.ndarray, classes: int) -> np.ndarray:
-    longest, lanes = int(sizes.max()), len(sizes)
-    m, source, ids = _Model(lanes, classes), _Reader(words, starts), np.zeros((longest, lanes), np.uint32)
-    active = np.searchsorted(-sizes, -np.arange(longest), "left")
-    for t in range(longest):
-        n = int(active[t])
-        p1, p2, c = m.predict(n)
-        n0, n1 = c[:, 0], c[:, 1]
-        total = n0 + n1 + c[:, 2]
-        v = source.target(m, slice(0, n), total)
-        event = (v >= n0).astype(np.int64) + (v >= n0 + n1)
-        cum = np.where(event == 0, 0, np.where(event == 1, n0, n0 + n1))
-        source.skip(m, slice(0, n), cum, c[m.lane[:n], event], total)
-        x = np.where(event == 0, p2, p1)
-        if len(miss := np.flatnonzero(event == 2)):
-            counts = m.classes[miss]
-            sums = counts.cumsum(1, dtype=np.int32)
-            whole = sums[:, -1]
-            k, place = _read_class(m, source, miss, counts, sums, whole)
-            x[miss] = _EDGE[k] + place
-            m.learn_class(miss, k, whole)
-        ids[t, :n] = x
-        m.learn(n, x, event, total)
+    return np.flatnonzero(same | small)
+
+
+def _shape(n: int) -> np.ndarray:
+    """Ids of each way of a block of n ids, falling."""
+    ways = max(1, min(WAYS, n // WAY_IDS))
+    return n // ways + (np.arange(ways) < n % ways)
+
+
+def _runs(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """For each step: where the ways' ids lie in the block, and how many ways take part."""
+    first = np.cumsum(sizes) - sizes
+    for t in range(int(sizes[0])):
+        n = int(np.searchsorted(-sizes, -t, "left"))
+        yield first[:n] + t, n
+
+
+def _code_block(x: np.ndarray, alphabet: int) -> list[np.ndarray]:
+    """The words of each way; x are places in the alphabet."""
+    sizes = _shape(len(x))
+    ways = len(sizes)
+    m = _Model(ways, alphabet, len(x))
+    low, rng = np.zeros(ways, np.uint64), np.full(ways, (1 << 64) - 1, np.uint64)
+    words, at = np.zeros((ways, 3 * int(sizes[0]) + 8), np.uint16), np.zeros(ways, np.int64)
+    for places, n in _runs(sizes):
+        v = x[places]
+        candidates, upto = m.predict(n)
+        right = candidates == v
+        event = np.where(right.any(0), right.argmax(0), 3)
+        lane = np.arange(n)
+        start = np.where(event > 0, upto[np.maximum(event, 1) - 1, lane], 0)
+        end = np.where(event < 3, upto[np.minimum(event, 2), lane], 4096)
+        r = rng[:n] >> _ONE
+        lo, ra = low[:n] + start.astype(np.uint64) * r, (end - start).astype(np.uint64) * r
+        miss = np.flatnonzero(event == 3)
+        if len(miss):
+            own, c = m.base[m.cls[miss]] + v[miss], m.cls[miss]
+            freq = m.counts[own]
+            q = ra[miss] // m.totals[c].astype(np.uint64)
+            lo[miss] += (m.flat[own] - freq - m.below[c]).astype(np.uint64) * q
+            ra[miss] = freq.astype(np.uint64) * q
+        due = _renew(lo, ra)
+        while len(due):
+            words[due, at[due]] = (lo[due] >> _TOP_SHIFT).astype(np.uint16)
+            at[due] += 1
+            l2, r2 = lo[due] << _WORD, ra[due] << _WORD
+            more = _renew(l2, r2)
+            lo[due], ra[due] = l2, r2
+            due = due[more]
+        low[:n], rng[:n] = lo, ra
+        m.learn(v, event)
+    # a number with 32 low zero bits lies in every range that is left
+    last = (low + (_BOT - np.uint64(1))) >> np.uint64(32)
+    lane = np.arange(ways)
+    for shift in (16, 0):
+        words[lane, at] = (last >> np.uint64(shift)).astype(np.uint16)
+        at += 1
+    return [words[i, : at[i]] for i in range(ways)]
+
+
+def _decode_block(words: np.ndarray, lengths: np.ndarray, n_ids: int, alphabet: int) -> np.ndarray:
+    sizes = _shape(n_ids)
+    ways = len(sizes)
+    m, x = _Model(ways, alphabet, n_ids), np.zeros(n_ids, np.int64)
+    # every way's words stand in a row of their own, followed by zeros
+    rows = np.zeros((ways, int(lengths.max()) + 6), np.uint64)
+    rows[np.arange(rows.shape[1]) < lengths[:, None]] = words
+    low, rng = np.zeros(ways, np.uint64), np.full(ways, (1 << 64) - 1, np.uint64)
+    value, at = np.zeros(ways, np.uint64), np.full(ways, 4, np.int64)
+    for k in range(4):
+        value = (value << _WORD) | rows[:, k]
+    top = rows.shape[1] - 1
+    for places, n in _runs(sizes):
+        candidates, upto = m.predict(n)
+        r = rng[:n] >> _ONE
+        place = np.minimum((value[:n] - low[:n]) // r, np.uint64(4095)).astype(np.int64)
+        event = (place >= upto).sum(0)
+        lane = np.arange(n)
+        start = np.where(event > 0, upto[np.maximum(event, 1) - 1, lane], 0)
+        end = np.where(event < 3, upto[np.minimum(event, 2), lane], 4096)
+        v = candidates[np.minimum(event, 2), lane]
+        lo, ra = low[:n] + start.astype(np.uint64) * r, (end - start).astype(np.uint64) * r
+        miss = np.flatnonzero(event == 3)
+        if len(miss):
+            c = m.cls[miss]
+            total = m.totals[c]
+            q = ra[miss] // total.astype(np.uint64)
+            place = np.minimum(((value[miss] - lo[miss]) // q).astype(np.int64), total - 1)
+            own = np.minimum(np.searchsorted(m.flat, m.below[c] + place, "right"), len(m.flat) - 1)
+            v[miss] = own - m.base[c]
+            freq = m.counts[own]
+            lo[miss] += (m.flat[own] - freq - m.below[c]).astype(np.uint64) * q
+            ra[miss] = freq.astype(np.uint64) * q
+        due = _renew(lo, ra)
+        while len(due):
+            value[due] = (value[due] << _WORD) | rows[due, np.minimum(at[due], top)]
+            at[due] += 1
+            l2, r2 = lo[due] << _WORD, ra[due] << _WORD
+            more = _renew(l2, r2)
+            lo[due], ra[due] = l2, r2
+            due = due[more]
+        low[:n], rng[:n] = lo, ra
+        v = np.clip(v, 0, alphabet - 1)  # damaged words lead anywhere; the checksum tells
+        x[places] = v
+        m.learn(v, event)
+    return x
+
+
+def code_block(ids: np.ndarray) -> tuple[bytes, bytes]:
+    """(head, body) of one block of ids, at least one of them."""
+    alphabet, x = np.unique(ids, return_inverse=True)
+    words = _code_block(x.astype(np.int64), len(alphabet))
+    letters = zlib.compress(np.diff(alphabet.astype("<u4"), prepend=np.uint32(0)).astype("<u4").tobytes(), 6)
+    lengths = np.array([len(w) for w in words], "<u4")
+    head = struct.pack(
+        "<IIIII", len(ids), len(words), len(letters), int(lengths.sum()), zlib.crc32(ids.astype("<u4").tobytes())
+    )
+    return head, b"".join([letters, lengths.tobytes(), np.concatenate(words).astype("<u2").tobytes()])
+
+
+def decode_block(head: bytes, body: memoryview) -> np.ndarray:
+    n, ways, size, n_words, crc = struct.unpack("<IIIII", head)
+    alphabet = np.cumsum(np.frombuffer(zlib.decompress(body[:size]), "<u4"), dtype=np.uint32)
+    lengths = np.frombuffer(body, "<u4", ways, size).astype(np.int64)
+    words = np.frombuffer(body, "<u2", n_words, size + 4 * ways)
+    ids = alphabet[_decode_block(words, lengths, n, len(alphabet))]
+    if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
+        raise ValueError("a damaged block")
     return ids
 
 
-def _read_class(m, source, miss, counts, sums, whole):
-    v = source.target(m, miss, whole)
-    k = (sums <= v[:, None]).sum(1)
-    here = np.arange(len(miss))
-    freq = counts[here, k]
-    below, shift = sums[here, k] - freq, _SHIFT[k]
-    if _SHIFT[counts.shape[1] - 1] > _JOINT:
-        source.skip(m, miss, below, freq, whole)
-        below = freq = whole = None
-    place = source.place(m, miss, below, freq, whole, shift)
-    source.skip(m, miss, below, freq, whole, place, shift)
-    return k, place
-
-
 def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
-    """One segment of documents with so many ids each. Ids are below 2**26 - 16."""
-    n_blocks = -(-len(ids) // BLOCK_IDS)
-    sizes = np.full(n_blocks, BLOCK_IDS)
-    if n_blocks:
-        if int(ids.max()) >= _MASK - 16:
-            raise ValueError("an id is too large for the format")
-        sizes[-1] = len(ids) - BLOCK_IDS * (n_blocks - 1)
-    directory = zlib.compress(np.array([i is None for i in doc_ids], np.uint8).tobytes() + np.array([i or 0 for i in doc_ids], "<i8").tobytes() + np.array(lengths, "<u8").tobytes(), 6)
-    heads, bodies = [], []
-    classes = int(np.searchsorted(_EDGE, int(ids.max()) if n_blocks else 0, "right"))
-    for at in range(0, n_blocks, LANES):
-        group = sizes[at : at + LANES]
-        square = np.zeros((len(group), int(group[0])), np.uint32)
-        part = ids[at * BLOCK_IDS : (at + len(group)) * BLOCK_IDS]
-        square.ravel()[: len(part)] = part  # only the last block is short
-        for size, row, words in zip(group.tolist(), square, _code_lanes(np.ascontiguousarray(square.T), group, classes), strict=True):
-            heads.append(struct.pack("<III", size, len(words), zlib.crc32(row[:size].astype("<u4").tobytes())))
-            bodies.append(words.astype("<u2").tobytes())
-    out = MAGIC + struct.pack("<IIIII", BLOCK_IDS, n_blocks, len(doc_ids), len(directory), classes) + directory + b"".join(heads) + b"".join(bodies)
+    """One segment of documents with so many ids each."""
+    null = np.array([i is None for i in doc_ids], np.uint8).tobytes()
+    names = np.array([i or 0 for i in doc_ids], "<i8").tobytes()
+    directory = zlib.compress(null + names + np.array(lengths, "<u8").tobytes(), 6)
+    blocks = [code_block(ids[at : at + BLOCK_IDS]) for at in range(0, len(ids), BLOCK_IDS)]
+    head = MAGIC + struct.pack("<III", len(blocks), len(doc_ids), len(directory))
+    out = b"".join([head, directory, *(h for h, _ in blocks), *(b for _, b in blocks)])
     return out + struct.pack("<I", zlib.crc32(out))
 
 
@@ -255,23 +338,17 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
     """(document ids, lengths, all ids); an error where a checksum does not hold."""
     if data[:8] != MAGIC or zlib.crc32(data[:-4]) != struct.unpack("<I", data[-4:])[0]:
         raise ValueError("a damaged segment")
-    _, n_blocks, n_docs, size, classes = struct.unpack_from("<IIIII", data, 8)
-    directory = zlib.decompress(data[28 : 28 + size])
+    n_blocks, n_docs, size = struct.unpack_from("<III", data, 8)
+    directory = zlib.decompress(data[20 : 20 + size])
     null, doc_ids = np.frombuffer(directory, np.uint8, n_docs), np.frombuffer(directory, "<i8", n_docs, n_docs)
     lengths = np.frombuffer(directory, "<u8", n_docs, 9 * n_docs).astype(np.int64)
-    heads = np.frombuffer(data, "<u4", 3 * n_blocks, 28 + size).reshape(n_blocks, 3)
-    words = np.frombuffer(data[28 + size + 12 * n_blocks : -4], "<u2")
-    starts = np.cumsum(heads[:, 1], dtype=np.int64) - heads[:, 1]
-    parts = []
-    for at in range(0, n_blocks, LANES):
-        sizes = heads[at : at + LANES, 0].astype(np.int64)
-        first, last = int(starts[at]), int(starts[min(at + LANES, n_blocks) - 1] + heads[min(at + LANES, n_blocks) - 1, 1])
-        ids = _decode_lanes(words[first:last], starts[at : at + LANES] - first, sizes, classes).T
-        for i, n in enumerate(sizes.tolist()):
-            block = ids[i, :n]
-            if zlib.crc32(block.astype("<u4").tobytes()) != int(heads[at + i, 2]):
-                raise ValueError(f"a damaged block {at + i}")
-            parts.append(block)
+    view, at, parts = memoryview(data), 20 + size + 20 * n_blocks, []
+    for k in range(n_blocks):
+        head = data[20 + size + 20 * k : 40 + size + 20 * k]
+        _, ways, letters, n_words, _ = struct.unpack("<IIIII", head)
+        end = at + letters + 4 * ways + 2 * n_words
+        parts.append(decode_block(head, view[at:end]))
+        at = end
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
     return [None if z else int(i) for z, i in zip(null, doc_ids, strict=True)], lengths, flat
 
@@ -305,7 +382,7 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
                     names.append(i)
                     held.append(ids + end)
                     total += len(ids) // 4 + 1
-                    if total >= BLOCK_IDS * LANES:
+                    if total >= SEGMENT_IDS:
                         yield flush()
                         segment, before, total = segment + 1, before + total, 0
         if names:

@@ -41,7 +41,9 @@ from rillsync.llm.subwords import encoder
 MAGIC = b"RLSEG2\0\0"
 BLOCK_IDS, SEGMENT_IDS = 1 << 20, 1 << 22
 WAYS, WAY_IDS = 1024, 512
-CLASSES, STEP, FULL = 6, 32, 1 << 18
+CLASSES, STEP, FULL = 6, 8, 1 << 18
+#: Ids of a block at most that are told apart: totals stay below 2**20, the least range a total may divide.
+ALPHABET = 1 << 17
 _TOP, _BOT, _WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
 _TOP_SHIFT = np.uint64(48)
 _ONE = np.uint64(12)  # bits of a hit's probability
@@ -108,7 +110,7 @@ class _Model:
     def __init__(self, ways: int, alphabet: int, ids: int):
         self.size = alphabet
         spread = np.arange(CLASSES * alphabet, dtype=np.int64) * 2654435761 >> 11
-        self.counts = 4 + (spread & 3)  # classes begin a little unlike, so that they can part
+        self.counts = 1 + (spread & 1)  # classes begin a little unlike, so that they can part
         self.scores = np.zeros((ways, CLASSES), np.int64)
         self.mask = (1 << min(20, max(10, ids.bit_length()))) - 1
         self.t2, self.n2 = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int64)
@@ -141,11 +143,12 @@ class _Model:
         )
         own, total = self.base[self.cls], self.totals[self.cls]
         upto, left, self.tried = [], np.full(n, 4096, np.int64), []
-        for hits, c, (x, y) in zip(self.hits, (c2, c1, c0), states, strict=True):
+        for k, (hits, c, (x, y)) in enumerate(zip(self.hits, (c2, c1, c0), states, strict=True)):
             there = c >= 0
             p0 = (self.counts[own + c] * 4096 // total).clip(1, 4095)
-            p = np.where(there, hits.mix(x, y, p0), 0)
-            left = left - np.minimum((left * p) >> 12, left - 1)
+            # no outcome that can follow is left without a share
+            share = np.minimum(np.maximum((left * hits.mix(x, y, p0)) >> 12, 1), left - 3 + k)
+            left = left - np.where(there, share, 0)
             upto.append(left)
             self.tried.append(there)
         self.candidates = np.stack([c2, c1, c0])
@@ -163,7 +166,7 @@ class _Model:
         self.scores[:n] = was - (was >> 3) + fit.T
         miss = event == 3
         np.add.at(self.counts, self.base[self.cls[miss]] + x[miss], STEP)
-        if (full := self.totals > FULL + 8 * self.size).any():
+        if (full := self.totals > FULL + 2 * self.size).any():
             wide = self.counts.reshape(CLASSES, self.size)
             wide[full] = (wide[full] + 1) >> 1
         # order 2: one place, which gives way when its count is used up
@@ -328,7 +331,8 @@ def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray)
     null = np.array([i is None for i in doc_ids], np.uint8).tobytes()
     names = np.array([i or 0 for i in doc_ids], "<i8").tobytes()
     directory = zlib.compress(null + names + np.array(lengths, "<u8").tobytes(), 6)
-    blocks = [code_block(ids[at : at + BLOCK_IDS]) for at in range(0, len(ids), BLOCK_IDS)]
+    size_ids = BLOCK_IDS if len(np.unique(ids)) <= ALPHABET else min(ALPHABET, BLOCK_IDS)
+    blocks = [code_block(ids[at : at + size_ids]) for at in range(0, len(ids), size_ids)]
     head = MAGIC + struct.pack("<III", len(blocks), len(doc_ids), len(directory))
     out = b"".join([head, directory, *(h for h, _ in blocks), *(b for _, b in blocks)])
     return out + struct.pack("<I", zlib.crc32(out))

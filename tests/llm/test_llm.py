@@ -123,7 +123,8 @@ def test_token_output(docs, spark):
 
 def test_codec_blocks(monkeypatch):
     rng = np.random.default_rng(1)
-    for ids in ([], [7], [49_407] * 600, rng.integers(0, 49_408, 3000), rng.zipf(1.3, 9000) % 5000):
+    common = np.repeat(rng.integers(0, 900, 60), 100)  # hits that are all but certain, and then none
+    for ids in ([], [7], [49_407] * 600, rng.integers(0, 49_408, 3000), rng.zipf(1.3, 9000) % 5000, common):
         ids = np.array(ids, np.uint32)
         doc_ids, lengths, back = token_codec.unpack_segment(token_codec.pack_segment([1, None], [len(ids), 0], ids))
         assert doc_ids == [1, None] and lengths.tolist() == [len(ids), 0] and back.tolist() == ids.tolist()

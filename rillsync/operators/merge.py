@@ -27,10 +27,16 @@ def delete_set(net: DataFrame) -> DataFrame:
     return net.where("del").select("key.*")
 
 
+#: True of every row of compact(). A condition of both sets below, so that both need the same aggregates: the planner
+#: then evaluates the changelog once and reuses its exchange.
+_WHOLE = "kind is not null and del is not null and s is not null"
+
+
 def upsert_set(net: DataFrame) -> DataFrame:
-    return net.where("kind = 'put'").select("tuple.*")
+    return net.where(f"kind = 'put' and {_WHOLE}").select("tuple.*")
 
 
 def touched(net: DataFrame) -> DataFrame:
-    """Delete set and upsert keys together: what is taken out of the target before the upserts go in."""
-    return net.where("del or kind = 'put'").select("key.*")
+    """Delete set and upsert keys together: what is taken out of the target before the upserts go in. These are all
+    keys of net, since a key whose last event removes it is in the delete set."""
+    return net.where(_WHOLE).select("key.*")

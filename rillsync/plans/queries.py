@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,8 +17,11 @@ from rillsync.operators import verify as V
 from rillsync.plans.changelogs import ORDERS, ORDERS_SQL, orders_changes, orders_records
 from rillsync.sources import schema as S
 from rillsync.sources import transport as R
+from rillsync.sources.config import Config, SourceConfig
 from rillsync.sources.schema import TableSpec
+from rillsync.sources.scratch import materialize, scratch_root
 from rillsync.streaming.runner import Synchroniser
+from rillsync.streaming.state import State
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,6 +45,11 @@ def _net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.compact(orders_changes(_t(spark, sf_dir, "orders")))
 
 
+def _known_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The net changes, computed once for the operators that read them more than once."""
+    return materialize(_net(spark, sf_dir), "net")
+
+
 def _orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the target holds before the changes: every other order."""
     return _t(spark, sf_dir, "orders").where("o_orderkey % 2 = 0").select(*ORDERS.columns)
@@ -70,19 +77,19 @@ def cdc_upsert_set_orders(spark, sf_dir):
 
 @query(_APPLIED)
 def cdc_apply_orders(spark, sf_dir):
-    return A.apply_net(_orders_target(spark, sf_dir), _net(spark, sf_dir), ["o_orderkey"])
+    return A.apply_net(_orders_target(spark, sf_dir), _known_net(spark, sf_dir), ["o_orderkey"])
 
 
 @query(_APPLIED)
 def replay_idempotent(spark, sf_dir):
-    net = _net(spark, sf_dir)
+    net = _known_net(spark, sf_dir)
     once = A.apply_net(_orders_target(spark, sf_dir), net, ["o_orderkey"])
     return A.apply_net(once, net, ["o_orderkey"])
 
 
 @query(_APPLIED)
 def optimistic_apply_orders(spark, sf_dir):
-    net, target = _net(spark, sf_dir), _orders_target(spark, sf_dir)
+    net, target = _known_net(spark, sf_dir), _orders_target(spark, sf_dir)
     return target.join(A.optimistic_keys(net, target, ["o_orderkey"]), "o_orderkey", "left_anti").unionByName(M.upsert_set(net))
 
 
@@ -236,8 +243,10 @@ def limit_zero(spark, sf_dir):
 def micro_batch_windows(spark, sf_dir):
     """Four batches by range of order, each compacted by itself and applied in turn."""
     changes, target = orders_changes(_t(spark, sf_dir, "orders")), _orders_target(spark, sf_dir)
+    changes = materialize(changes, "changes")
     for i in range(4):
-        target = A.apply_net(target, M.compact(changes.where(F.pmod(F.floor(F.col("seq") / 10), F.lit(4)) == i)), ["o_orderkey"])
+        net = M.compact(changes.where(F.pmod(F.floor(F.col("seq") / 10), F.lit(4)) == i))
+        target = A.apply_net(target, net, ["o_orderkey"])
     return target
 
 
@@ -255,22 +264,95 @@ def newest_record(spark, sf_dir):
 
 @query("SELECT event_type AS source_name, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST((max(epoch_us(ts)) // 1000) % 1000 AS VARCHAR), 3, '0') || 'Z' AS latest FROM events GROUP BY 1")
 def pipeline_state(spark, sf_dir):
-    e = _t(spark, sf_dir, "events").groupBy(F.col("event_type").alias("source_name")).agg(F.max("ts").alias("t"))
-    return e.select("source_name", F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("latest"))
+    """What the state endpoint tells: the latest change of each source, one row each."""
+    found = newest_record(spark, sf_dir).collect()
+    state = State()
+    for r in found:
+        state.done(r.source, "maxwell", 0, r.n, r.latest // 1000)
+    return state.frame(spark).select("source_name", "latest")
 
 
-@query("SELECT o_orderkey%8 AS batch, count(DISTINCT o_orderstatus) AS expected, count(DISTINCT CASE WHEN o_orderkey%3<>0 THEN o_orderstatus END) AS done FROM orders GROUP BY 1")
-def loader_barrier(spark, sf_dir):
-    """For each batch, the targets it has changes for and those that have applied some."""
-    o = _t(spark, sf_dir, "orders")
-    return o.groupBy((F.col("o_orderkey") % 8).alias("batch")).agg(F.count_distinct("o_orderstatus").alias("expected"), F.count_distinct(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus"))).alias("done"))
+def _records(rows: DataFrame, offset, topic: str, value) -> DataFrame:
+    return rows.select(
+        F.lit(topic).alias("topic"), F.lit(0).alias("partition"), F.col(offset).cast("bigint").alias("offset"), value.alias("value")
+    )
+
 
+def _maxwell(table: str, kind, row, ts: int = 7):
+    doc = F.struct(F.lit("shop").alias("database"), F.lit(table).alias("table"), kind.alias("type"), F.lit(ts).alias("ts"), row.alias("data"))
+    return F.to_json(doc)
 
-@query("SELECT 'crm.customer' AS source, c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT 'erp.supplier', s_suppkey, s_name FROM supplier")
+
+def _store_root(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/store-{uuid.uuid4().hex}"
+
+
+@query(
+    "SELECT 'public.nation' AS target, count(DISTINCT n_nationkey%4) AS n_batches, count(*) AS n_rows FROM nation "
+    "UNION ALL SELECT 'public.region', count(DISTINCT r_regionkey%4), count(*) FROM region"
+)
+def loader_barrier(spark, sf_dir):
+    """Four batches into two targets side by side; a batch ends when each target has it. Batches and rows by target."""
+    parts = []
+    for table, key in (("nation", "n_nationkey"), ("region", "r_regionkey")):
+        parts.append(_records(_t(spark, sf_dir, table), key, "t", _maxwell(table, F.lit("insert"), F.struct(F.col(key)))))
+    records = parts[0].unionByName(parts[1])
+    specs = {f"public.{t}": TableSpec.of(f"public.{t}", f"{k} int", k) for t, k in (("nation", "n_nationkey"), ("region", "r_regionkey"))}
+    sync = Synchroniser(spark, _store_root(spark), "m", "maxwell", _MIXED, specs, loaders=2)
+    for number in range(4):
+        sync.batch(records.where(F.col("offset") % 4 == number), number)
+    rows = [(t, x["batches"], sync.stores[t].current().count()) for t, x in sync.state.sources["m"]["tables"].items()]
+    return spark.createDataFrame(rows, "target string, n_batches long, n_rows long")
+
+
+@query(
+    "SELECT 'crm.customer' AS source, c_custkey AS id, c_name AS name FROM customer "
+    "UNION ALL SELECT 'erp.supplier', s_suppkey, s_name FROM supplier"
+)
 def source_union(spark, sf_dir):
-    a = _t(spark, sf_dir, "customer").select(F.lit("crm.customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    b = _t(spark, sf_dir, "supplier").select(F.col("s_name").alias("name"), F.lit("erp.supplier").alias("source"), F.col("s_suppkey").alias("id"))
-    return a.unionByName(b)
+    """Two sources of unlike kinds, many to one: both streams' batches end in one target."""
+    spec = TableSpec.of("public.party", "source string, id bigint, name string", "source", "id")
+    crm_row = F.struct(F.lit("crm.customer").alias("source"), F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    crm = _records(_t(spark, sf_dir, "customer"), "c_custkey", "crm", _maxwell("customer", F.lit("insert"), crm_row))
+    erp_row = F.struct(F.col("s_name").alias("NAME"), F.lit("erp.supplier").alias("source"), F.col("s_suppkey").alias("id"))
+    body = F.struct(F.lit("c").alias("op"), F.lit(1).alias("ts_ms"), erp_row.alias("after"))
+    erp = _records(_t(spark, sf_dir, "supplier"), "s_suppkey", "ns.public.supplier", F.to_json(F.struct(body.alias("payload"))))
+    root, targets = _store_root(spark), {"public.party": spec}
+    first = Synchroniser(spark, root, "crm", "maxwell", {"crm.shop.customer": "public.party"}, targets)
+    second = Synchroniser(spark, root, "erp", "debezium", {"erp.public.supplier": "public.party"}, targets, stores=first.stores)
+    first.batch(crm, 0)
+    second.batch(erp, 0)
+    return first.stores["public.party"].current()
+
+
+@query(
+    "SELECT 'maxwell' AS kind, s_suppkey AS bad FROM supplier WHERE s_suppkey%6 IN (1,2,3) "
+    "UNION ALL SELECT 'debezium', s_suppkey FROM supplier WHERE s_suppkey%6 IN (1,2,3)"
+)
+def malformed_quarantine(spark, sf_dir):
+    """Offsets set aside: cut-off and foreign text and unknown kinds; not null messages, nor tables not mapped."""
+    rows = _t(spark, sf_dir, "supplier")
+    case, row = F.col("s_suppkey") % 6, F.struct("s_suppkey")
+
+    def values(good, unknown, other):
+        cut = F.substr(good, F.lit(1), F.length(good) - 9)
+        return F.when(case == 0, good).when(case == 1, cut).when(case == 2, "not json").when(case == 3, unknown).when(case == 4, other)
+
+    def payload(op: str):
+        body = F.struct(F.lit(op).alias("op"), F.lit(1).alias("ts_ms"), row.alias("after"))
+        return F.to_json(F.struct(body.alias("payload")))
+
+    shop = values(_maxwell("supplier", F.lit("insert"), row), _maxwell("supplier", F.lit("drop"), row), _maxwell("x", F.lit("insert"), row))
+    pg = values(payload("c"), payload("x"), F.lit('{"payload":null}'))
+    found = []
+    for kind, heads, topic, value in (
+        ("maxwell", E.maxwell_headers, "t", shop),
+        ("debezium", E.debezium_headers, "ns.shop.supplier", pg),
+    ):
+        records = _records(rows, "s_suppkey", topic, value)
+        bad = E.broken(E.routed(heads(records, "m"), {"m.shop.supplier": "public.supplier"}))
+        found.append(bad.select(F.lit(kind).alias("kind"), F.col("offset").alias("bad")))
+    return found[0].unionByName(found[1])
 
 
 @query("SELECT md5(string_agg(n_name || chr(9) || n_nationkey || chr(9) || n_regionkey, '' ORDER BY n_nationkey)) AS checksum, count(*) AS n_rows FROM nation")
@@ -278,19 +360,29 @@ def table_checksum(spark, sf_dir):
     return V.ordered_checksum(_t(spark, sf_dir, "nation"), ["n_nationkey"])
 
 
-_TWO = "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey%50=0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderkey%70<>0"
+_LINE = "concat_ws(chr(9), o_custkey, o_orderdate, o_orderkey, o_orderpriority, o_orderstatus, o_totalprice)"
+_DIGEST = f"CAST('0x' || substr(md5({_LINE}), 1, 15) AS BIGINT)"
+
+
+@query(f"SELECT CAST(sum({_DIGEST}) AS VARCHAR) AS sum_hash, bit_xor({_DIGEST}) AS xor_hash, count(*) AS n_rows FROM orders")
+def table_checksum_large(spark, sf_dir):
+    return V.checksum(_t(spark, sf_dir, "orders")).withColumn("sum_hash", F.col("sum_hash").cast("string"))
+
 
+_ONE = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"
+_TWO = f"SELECT * REPLACE (CASE WHEN o_orderkey%50=0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM ({_ONE}) WHERE o_orderkey%70<>0"
 
-@query(f"(SELECT *, 'left' AS side FROM (SELECT o_orderkey, o_custkey, o_orderstatus FROM orders EXCEPT ALL {_TWO})) UNION ALL (SELECT *, 'right' FROM ({_TWO} EXCEPT ALL SELECT o_orderkey, o_custkey, o_orderstatus FROM orders))")
+
+@query(f"(SELECT *, 'left' AS side FROM ({_ONE} EXCEPT ALL {_TWO})) UNION ALL (SELECT *, 'right' FROM ({_TWO} EXCEPT ALL {_ONE}))")
 def table_diff(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    o = _t(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
     other = o.where("o_orderkey % 70 <> 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 50 == 0, "X").otherwise(F.col("o_orderstatus")))
     return V.differences(o, other)
 
 
-@query("SELECT s_name || chr(9) || s_nationkey || chr(9) || s_suppkey AS line FROM supplier ORDER BY s_suppkey")
+@query("SELECT concat_ws(chr(9), s_acctbal, s_name, s_nationkey, s_suppkey) AS line FROM supplier ORDER BY s_suppkey")
 def dump_ordered(spark, sf_dir):
-    return V.dump(_t(spark, sf_dir, "supplier").drop("s_acctbal"), ["s_suppkey"])
+    return V.dump(_t(spark, sf_dir, "supplier"), ["s_suppkey"])
 
 
 @query("SELECT avg(l_linenumber) AS avg_linenumber, avg(l_partkey) AS avg_partkey, avg(l_suppkey) AS avg_suppkey FROM lineitem")
@@ -298,36 +390,56 @@ def avg_int_columns(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").agg(*[F.avg(f"l_{c}").alias(f"avg_{c}") for c in ("linenumber", "partkey", "suppkey")])
 
 
-_MAP_ROWS = [("m.shop.nation", "public.nation"), ("m.shop.region", "public.region"), ("p.crm.nation", "public.nation")]
+_MAPPED = Config(
+    [
+        SourceConfig("m", "maxwell", "h:1", "t", None, "g", tables={"shop.orders": "orders", "shop.lineitem": "lineitem"}),
+        SourceConfig("p", "debezium", "h:1", None, "ns", "g", tables={"crm.orders": "orders"}),
+    ]
+)
 
 
-@query("SELECT count(DISTINCT t) AS n_targets, least(10, count(DISTINCT t)) AS n_loaders FROM (VALUES ('public.nation'), ('public.region'), ('public.nation')) AS x(t)")
+@query("SELECT count(DISTINCT t) AS n_targets, least(10, count(DISTINCT t)) AS n_loaders FROM (VALUES ('orders'), ('lineitem'), ('orders')) AS x(t)")
 def distinct_targets(spark, sf_dir):
-    m = spark.createDataFrame(_MAP_ROWS, "source string, target string")
-    return m.agg(F.count_distinct("target").alias("n_targets"), F.least(F.lit(10).cast("bigint"), F.count_distinct("target")).alias("n_loaders"))
+    return spark.createDataFrame([(len(_MAPPED.targets()), _MAPPED.loaders())], "n_targets long, n_loaders long")
 
 
 @query("SELECT 2 AS n_keyed, 2 AS n_mapped, TRUE AS complete")
 def pk_size_check(spark, sf_dir):
-    keyed = pk_columns_by_table(spark, sf_dir).agg(F.count("*").cast("int").alias("n_keyed"))
-    return keyed.select("n_keyed", F.lit(2).alias("n_mapped"), (F.col("n_keyed") == 2).alias("complete"))
+    """The keys that the catalog gives, against the targets that the configuration maps; an error where one lacks."""
+    keyed = {r.table_name for r in pk_columns_by_table(spark, sf_dir).select("table_name").collect()}
+    S.require_keys(_MAPPED.targets(), keyed)
+    return spark.createDataFrame([(len(keyed), len(_MAPPED.targets()), keyed == _MAPPED.targets())], "n_keyed int, n_mapped int, complete boolean")
+
+
+_FOUR = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 
 
-@query("SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_partkey, l_suppkey, l_linenumber ORDER BY epoch_us(l_shipdate) DESC, l_returnflag DESC) AS rn FROM lineitem WHERE l_linestatus IS NOT NULL) WHERE rn=1 AND l_linestatus<>'F'")
+@query(f"""
+WITH late AS (
+  SELECT {_FOUR}, l_returnflag, l_linestatus FROM (SELECT *, row_number() OVER (PARTITION BY {_FOUR} ORDER BY epoch_us(l_shipdate) DESC, l_returnflag DESC) AS rn
+  FROM lineitem WHERE l_linestatus IS NOT NULL AND l_orderkey%3=0) WHERE rn=1)
+SELECT {_FOUR}, 'T' AS l_returnflag FROM (SELECT DISTINCT {_FOUR} FROM lineitem WHERE l_orderkey%2=0) AS t
+WHERE NOT EXISTS (SELECT 1 FROM late WHERE late.l_orderkey=t.l_orderkey AND late.l_partkey=t.l_partkey AND late.l_suppkey=t.l_suppkey AND late.l_linenumber=t.l_linenumber)
+UNION ALL SELECT {_FOUR}, l_returnflag FROM late WHERE l_linestatus<>'F'
+""")
 def composite_key_merge(spark, sf_dir):
+    """Changes of every third order, compacted by four key columns and applied to a target that holds every other."""
     keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    li = _t(spark, sf_dir, "lineitem").where("l_linestatus is not null")
+    items = _t(spark, sf_dir, "lineitem")
+    target = items.where("l_orderkey % 2 = 0").select(*keys).distinct().withColumn("l_returnflag", F.lit("T"))
+    li = items.where("l_linestatus is not null and l_orderkey % 3 = 0")
     op = F.when(F.col("l_linestatus") == "F", "D").otherwise("U")
     key = F.struct(*keys)
     seq = F.unix_micros(F.col("l_shipdate").cast("timestamp")) * 256 + F.ascii("l_returnflag")
-    changes = li.select(seq.alias("seq"), op.alias("op"), key.alias("key"), F.when(F.lit(False), key).alias("old_key"), F.struct(*keys, "l_returnflag").alias("tuple"))
-    return M.upsert_set(M.compact(changes))
+    old_key = F.when(F.lit(False), key).alias("old_key")
+    changes = li.select(seq.alias("seq"), op.alias("op"), key.alias("key"), old_key, F.struct(*keys, "l_returnflag").alias("tuple"))
+    return A.apply_net(target, M.compact(changes), keys)
 
 
 @query("SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'")
 def streaming_sync_events(spark, sf_dir):
     """A real stream over files of records, in micro-batches, into a snapshot store that is read back."""
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="rillsync-")).rstrip("/") + f"/stream-{uuid.uuid4().hex}"
+    root = _store_root(spark)
     events = _t(spark, sf_dir, "events")
     kind = F.when(F.col("event_type") == "signup", "insert").when(F.col("event_type") == "error", "delete").otherwise("update")
     doc = F.struct(F.lit("app").alias("database"), F.lit("users").alias("table"), kind.alias("type"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts"), F.struct("user_id", "event_type", "event_id").alias("data"))

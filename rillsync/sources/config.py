@@ -7,6 +7,8 @@ import re
 from dataclasses import dataclass, field
 
 KINDS = ("maxwell", "debezium")
+TRANSPORTS = ("kafka", "json")
+REPORTERS = ("console", "jmx", "none")
 
 
 @dataclass(frozen=True)
@@ -17,6 +19,8 @@ class SourceConfig:
     topic: str | None
     namespace: str | None
     group: str
+    transport: str = "kafka"
+    path: str | None = None  # of a json transport: a folder that files of records are put into
     tables: dict[str, str] = field(default_factory=dict)  # "<db or schema>.<table>" -> "<schema>.<table>"
 
     def full_map(self) -> dict[str, str]:
@@ -37,16 +41,15 @@ class Config:
     state_address: str = "0.0.0.0"
     state_port: int = 8080
     target: dict[str, str] = field(default_factory=dict)
+    loader_pool: int = 10
+    schemas: dict[str, str] = field(default_factory=dict)  # "<schema>.<table>" -> columns; "....key" -> its key
 
     def targets(self) -> set[str]:
         return {t for s in self.sources for t in s.tables.values()}
 
-    def loaders(self, pool: int = 10) -> int:
+    def loaders(self) -> int:
         """Tables applied side by side: not more than there are targets."""
-        return min(pool, len(self.targets()))
-
-    def trigger(self) -> dict[str, str]:
-        return {"processingTime": f"{self.interval_ms} milliseconds"}
+        return max(1, min(self.loader_pool, len(self.targets())))
 
     def kafka_limits(self) -> dict[str, str]:
         """A batch starts at so many rows or after the interval, whichever comes first."""
@@ -73,23 +76,62 @@ def table_map(text: str) -> dict[str, str]:
 
 
 def load_config(path: str) -> Config:
+    """The configuration of a properties file, with the files beside it: <source>.properties for each source's table
+    map, and tables.properties for the columns and keys of targets that are in no catalog."""
     with open(path) as f:
         p = parse_properties(f.read())
+    folder = os.path.dirname(path)
 
     def need(key: str) -> str:
         if not p.get(key):
             raise ValueError(f"{key} is missing")
         return p[key]
 
+    def number(key: str, default: int, least: int = 0) -> int:
+        value = int(p.get(key, default))
+        if value < least:
+            raise ValueError(f"{key} is {value}, which is below {least}")
+        return value
+
     sources = []
     for name in filter(None, re.sub(r"\s", "", need("data_source")).split(",")):
         kind = need(f"{name}.type").lower()
         if kind not in KINDS:
             raise ValueError(f"unknown type {kind} of source {name}")
-        with open(os.path.join(os.path.dirname(path), f"{name}.properties")) as f:
+        transport = p.get(f"{name}.transport", "kafka")
+        if transport not in TRANSPORTS:
+            raise ValueError(f"unknown transport {transport} of source {name}")
+        with open(os.path.join(folder, f"{name}.properties")) as f:
             tables = table_map(f.read())
-        topic = need(f"{name}.kafka.topic") if kind == "maxwell" else None
-        space = need(f"{name}.namespace") if kind == "debezium" else None
-        sources.append(SourceConfig(name, kind, need(f"{name}.kafka.server"), topic, space, p.get(f"{name}.kafka.groupid", "rillsync"), tables))
-    number = lambda key, default: int(p.get(key, default))
-    return Config(sources, number("merge.interval", 10_000), number("merge.batch.size", 50_000), p.get("metrics.reporter", "console"), number("metrics.reporter.console.interval", 15), p.get("state.server.addr", "0.0.0.0"), number("state.server.port", 8080), {k: p[f"target.{k}"] for k in ("url", "user", "passwd") if f"target.{k}" in p})
+        kafka = transport == "kafka"
+        sources.append(
+            SourceConfig(
+                name, kind,
+                server=need(f"{name}.kafka.server") if kafka else "",
+                topic=need(f"{name}.kafka.topic") if kafka and kind == "maxwell" else None,
+                namespace=need(f"{name}.namespace") if kafka and kind == "debezium" else None,
+                group=p.get(f"{name}.kafka.groupid", "rillsync"),
+                transport=transport,
+                path=None if kafka else need(f"{name}.json.path"),
+                tables=tables,
+            )
+        )
+    reporter = p.get("metrics.reporter", "console")
+    if reporter not in REPORTERS:
+        raise ValueError(f"unknown reporter {reporter}")
+    schemas = {}
+    if os.path.exists(os.path.join(folder, "tables.properties")):
+        with open(os.path.join(folder, "tables.properties")) as f:
+            schemas = parse_properties(f.read())
+    return Config(
+        sources,
+        interval_ms=number("merge.interval", 10_000, 1),
+        batch_rows=number("merge.batch.size", 50_000, 1),
+        reporter=reporter,
+        report_seconds=number("metrics.reporter.console.interval", 15, 1),
+        state_address=p.get("state.server.addr", "0.0.0.0"),
+        state_port=number("state.server.port", 8080),
+        target={k: p[f"target.{k}"] for k in ("url", "user", "passwd") if f"target.{k}" in p},
+        loader_pool=number("loader.conn_pool.size", 10, 1),
+        schemas=schemas,
+    )

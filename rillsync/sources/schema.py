@@ -57,6 +57,26 @@ def existing(spark: SparkSession, names: list[str]) -> list[str]:
     return [n for n in names if spark.catalog.tableExists(n)]
 
 
+def discover(spark: SparkSession, names: set[str], schemas: dict[str, str]) -> dict[str, TableSpec]:
+    """The targets' tables: those in the catalog by their schema and the table property primaryKey, the others by
+    their columns and "<table>.key" in `schemas`. A target without a key is an error."""
+    found, keyed = {}, set()
+    held = set(existing(spark, sorted(names)))
+    for name in sorted(names):
+        if name in held:
+            shown = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+            schema, keys = probe(spark.table(name)), shown.get("primaryKey", "")
+        elif name in schemas:
+            schema, keys = columns_of(schemas[name]), schemas.get(f"{name}.key", "")
+        else:
+            raise ValueError(f"no table {name}")
+        found[name] = schema, tuple(k.strip() for k in keys.split(",") if k.strip())
+        if found[name][1]:
+            keyed.add(name)
+    require_keys(names, keyed)
+    return {name: TableSpec(name, schema, keys) for name, (schema, keys) in found.items()}
+
+
 def primary_keys(classes: DataFrame, attributes: DataFrame, namespaces: DataFrame, indexes: DataFrame, tables: list[str], namespace: str = "public") -> DataFrame:
     """Primary-key columns by table in key order, from catalog relations: classes (oid, relname, relnamespace),
     attributes (attrelid, attname, attnum), namespaces (oid, nspname), indexes (indrelid, indexrelid, indisprimary, indkey

@@ -16,9 +16,22 @@ def json_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> D
     return spark.readStream.schema(RECORDS).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def kafka_stream(spark: SparkSession, servers: str, topics: list[str], limits: dict[str, str] | None = None) -> DataFrame:
-    """Needs the Kafka connector on the class path. Starts at the earliest offset where there is no checkpoint."""
-    reader = spark.readStream.format("kafka").options(**{"kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": "earliest"}, **(limits or {}))
+def kafka_options(servers: str, topics: list[str], group: str, limits: dict[str, str]) -> dict[str, str]:
+    """Starts at the earliest offset where there is no checkpoint; offsets are kept in the checkpoint, so the group
+    only names the readers."""
+    return {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": ",".join(topics),
+        "startingOffsets": "earliest",
+        "groupIdPrefix": group,
+        "kafka.session.timeout.ms": "60000",
+        **limits,
+    }
+
+
+def kafka_stream(spark: SparkSession, servers: str, topics: list[str], group: str, limits: dict[str, str]) -> DataFrame:
+    """Needs the Kafka connector on the class path."""
+    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topics, group, limits))
     return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 

@@ -28,7 +28,7 @@ def test_maxwell(spark):
     values = [json.dumps({"database": "d", "table": "b", "type": t, "ts": 5, "data": data | x, "old": o}) for t, x, o in (("insert", {}, None), ("update", {"id": 2, "s": ""}, {"id": 1}), ("update", {"s": None}, {"s": "x"}), ("delete", {}, None), ("truncate", {}, None))]
     values += [json.dumps({"database": "d", "table": "other", "type": "insert", "ts": 1, "data": {}}), "not json", None]
     heads = E.routed(E.maxwell_headers(rows(spark, values), "m"), {"m.d.b": "public.b"})
-    assert E.broken(heads).count() == 1
+    assert sorted(r.value for r in E.broken(heads).collect()) == sorted([values[4], "not json"])
     got = E.maxwell_changes(heads, SPEC).orderBy("seq").collect()
     assert [r.op for r in got] == ["I", "U", "U", "D"]
     t = got[0].tuple
@@ -46,6 +46,20 @@ def test_debezium(spark):
     assert (bytes(t.alpha), t.beta, t.gamma, t.n, str(t.d), t.s) == (b"\x00\xff", True, "110000011101100", Decimal("10.10"), "2017-09-18", "xy")
 
 
+def test_malformed_records_are_set_aside(spark):
+    good = json.dumps({"database": "d", "table": "b", "type": "insert", "ts": 1, "data": {"id": 1}})
+    shop = [good, good[:-9], "not json", "", "[]", '"x"', "{}", None, good.replace('"ts": 1', '"ts": "x"')]
+    shop += [good.replace('"data": {"id": 1}', '"data": 5'), good.replace('"table": "b"', '"table": "other"')]
+    heads = E.routed(E.maxwell_headers(rows(spark, shop), "m"), {"m.d.b": "public.b"})
+    assert sorted(r.offset for r in E.broken(heads).collect()) == [1, 2, 3, 4, 5, 6, 8, 9]
+    assert [r.offset for r in heads.where("target = 'public.b' and op is not null").collect()] == [0]
+    good = json.dumps({"payload": {"op": "c", "ts_ms": 9, "before": None, "after": {"id": 1}}})
+    pg = [good, good[:-9], "not json", "", '{"payload":null}', "{}", None, '{"payload":5}', good.replace('"c"', '"x"')]
+    heads = E.routed(E.debezium_headers(rows(spark, pg), "p"), {"p.public.b": "public.b"})
+    assert sorted(r.offset for r in E.broken(heads).collect()) == [1, 2, 3, 5, 7, 8]
+    assert [r.offset for r in heads.where("op is not null").collect()] == [0]
+
+
 def test_missing_column_is_an_error(spark):
     heads = E.routed(E.maxwell_headers(rows(spark, [json.dumps({"database": "d", "table": "b", "type": "insert", "ts": 1, "data": {"id": 1}})]), "m"), {"m.d.b": "public.b"})
     with pytest.raises(Exception, match="no member"):
@@ -75,6 +89,23 @@ def test_config(tmp_path):
     assert c.sources[1].topics() == ["n.public.c"] and c.sources[0].full_map()["m.d.a"] == "public.a"
     with pytest.raises(ValueError):
         C.table_map("a = public.a")
+    limits = c.kafka_limits()
+    assert (limits["minOffsetsPerTrigger"], limits["maxTriggerDelay"]) == ("50000", "10000ms")
+    from rillsync.sources.transport import kafka_options
+
+    options = kafka_options("h:1", c.sources[1].topics(), "g", limits)
+    assert options["subscribe"] == "n.public.c" and options["startingOffsets"] == "earliest"
+
+
+@pytest.mark.parametrize("line", ["m.type=oracle", "m.kafka.topic=", "merge.batch.size=0", "metrics.reporter=x", "data_source=", "m.transport=x"])
+def test_config_errors(tmp_path, line):
+    good = "data_source=m\nm.type=maxwell\nm.kafka.server=h:1\nm.kafka.topic=t\n"
+    (tmp_path / "m.properties").write_text("d.a = public.a\n")
+    (tmp_path / "config.properties").write_text(good)
+    assert C.load_config(str(tmp_path / "config.properties")).reporter == "console"
+    (tmp_path / "config.properties").write_text(f"{good}{line}\n")
+    with pytest.raises(ValueError):
+        C.load_config(str(tmp_path / "config.properties"))
 
 
 def test_state_endpoint():
@@ -83,10 +114,22 @@ def test_state_endpoint():
 
     s = State()
     s.done("m", "maxwell", 0, 5, 1_500_000_000_123)
+    s.waiting("m", "public.a", 3)
+    s.applied("m", "public.a", 3, 0.5)
+    s.failed("n")
+    found = s.metrics()
+    assert (found["m.public.a.rows"], found["m.public.a.mean_seconds"], found["m.public.a.waiting"]) == (3, 0.5, 0)
+    assert (found["All Pipeline Number"], found["All Live Pipeline Number"], found["m.RecordCount"]) == (2, 1, 5)
+    seen = []
+    stop = s.report(0.01, seen.append)
+    while not seen:
+        pass
+    stop.set()
+    assert json.loads(seen[0])["All Pipeline Number"] == 2
     server = s.serve("127.0.0.1", 0)
     url = f"http://127.0.0.1:{server.server_address[1]}"
     assert json.load(urlopen(f"{url}/m?pretty"))["pipelines"][0]["latest"] == "2017-07-14T02:40:00.123Z"
-    assert len(json.load(urlopen(url))) == 1
+    assert len(json.load(urlopen(url))) == 2
     with pytest.raises(HTTPError):
         urlopen(f"{url}/none")
     server.shutdown()

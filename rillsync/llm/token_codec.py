@@ -1,6 +1,6 @@
 """Token ids in a compressed binary file (operator 9): an adaptive context-mixing range coder.
 
-Ids are cut into blocks of up to 2**20, each reset and checksummed by itself, and coded over the block's own
+Ids are cut into blocks of up to 2**22, each reset and checksummed by itself, and coded over the block's own
 alphabet. Three orders predict:
 
 - order 2: a table by the last two ids holds the id that came next, with a count;
@@ -11,7 +11,7 @@ alphabet. Three orders predict:
 The predicted ids are tried one after another. The probability of a hit is mixed in the logistic domain from what
 each order says about that id, by weights that learn; a miss of all is coded by the order-0 frequencies.
 
-A block is coded in up to 1,024 ways, each a run of neighbouring ids with a range coder of its own. All ways share the
+A block is coded in up to 4,096 ways, each a run of neighbouring ids with a range coder of its own. All ways share the
 block's model and take a step at once, after which the model learns from all of them: every step is a handful of
 numpy operations over the ways, for the coder and for the decoder. Arithmetic is on integers only, so any machine
 decodes what another has written. The coder is a carry-less range coder on 64-bit registers that emits 16-bit words.
@@ -39,8 +39,8 @@ from rillsync.llm.subwords import encoder
 
 # Fixed values of the format.
 MAGIC = b"RLSEG2\0\0"
-BLOCK_IDS, SEGMENT_IDS = 1 << 20, 1 << 22
-WAYS, WAY_IDS = 1024, 512
+BLOCK_IDS, SEGMENT_IDS = 1 << 22, 1 << 22
+WAYS, WAY_IDS = 4096, 1024
 CLASSES, STEP, FULL = 6, 8, 1 << 18
 #: Ids of a block at most that are told apart: totals stay below 2**20, the least range a total may divide.
 ALPHABET = 1 << 17

@@ -2,33 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillsync.sources.scratch import materialize, release
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="rillsync-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once as Parquet in the shared folder and read it back: later stages do not recompute it, and a lost
-    executor costs only its own tasks. Written, not cached, so it outlives any executor."""
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+__all__ = [
+    "block_pairs", "components", "forest", "is_held_out", "map_arrow", "materialize", "release", "sample_rows",
+    "sample_texts", "texts_of",
+]
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.Table], pa.Table | None], schema: str, rows: int = 1024) -> DataFrame:
@@ -59,6 +45,12 @@ def sample_rows(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.limit(2 * rows)
 
 
+def sample_texts(df: DataFrame, rows: int, chars: int, key: str = "doc_id") -> list:
+    """At most 2 * rows rows of df for fitting a model, collected, none of whose texts is null or has more than `chars`
+    characters: the driver holds 2 * rows * chars characters at most, whatever the corpus."""
+    return sample_rows(df.where(F.col("text").isNotNull() & (F.length("text") <= chars)), key, rows).collect()
+
+
 def is_held_out(key: str = "doc_id") -> F.Column:
     """The fixed fold: crc32 of the id as text, modulo 3, equals 1 (false for a null id)."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -72,22 +64,28 @@ def components(edges: DataFrame) -> DataFrame:
     chained, and the edges left shrink. Afterwards the steps are put together and each component is named by its
     least node. Every round is written to the shared folder; only whether edges are left reaches the driver.
     """
-    left = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges")
+    ends = F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
+    left = materialize(edges.where("a <> b").select(*ends).distinct(), "cc-edges")
     steps: list[DataFrame] = []
     while not steps or left.limit(1).count():
-        rank = lambda c, n=len(steps): F.struct(F.xxhash64(c, F.lit(n)).alias("rank"), F.col(c).alias("node"))
-        ends = left.select(F.col("a").alias("node"), rank("b").alias("near"), rank("a").alias("own")).union(left.select("b", rank("a"), rank("b")))
-        best = ends.groupBy("node").agg(F.least(F.min("near"), F.min("own")).alias("best"))
+        turn = F.lit(len(steps))
+        rank = {c: F.struct(F.xxhash64(c, turn).alias("rank"), F.col(c).alias("node")) for c in ("a", "b")}
+        both = left.select(F.col("a").alias("node"), rank["b"].alias("near"), rank["a"].alias("own"))
+        both = both.union(left.select("b", rank["a"], rank["b"]))
+        best = both.groupBy("node").agg(F.least(F.min("near"), F.min("own")).alias("best"))
         step = materialize(best.select("node", F.col("best.node").alias("to")), "cc-step")
         steps.append(step)
-        moved = left.join(step.withColumnsRenamed({"node": "a", "to": "x"}), "a").join(step.withColumnsRenamed({"node": "b", "to": "y"}), "b")
-        left = materialize(moved.where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "cc-edges")
+        moved = left.join(step.withColumnsRenamed({"node": "a", "to": "x"}), "a")
+        moved = moved.join(step.withColumnsRenamed({"node": "b", "to": "y"}), "b").where("x <> y")
+        was, left = left, materialize(moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "cc-edges")
+        release(was)
     labels = steps[0].withColumnRenamed("to", "c")
     for step in steps[1:]:
         labels = labels.join(step.withColumnRenamed("node", "c"), "c", "left").select("node", F.coalesce("to", "c").alias("c"))
     labels = materialize(labels, "cc-labels")
+    release(left, *steps)
     least = labels.groupBy("c").agg(F.min("node").alias("component"))
-    return materialize(labels.join(least, "c").select("node", "component"), "cc-labels")
+    return materialize(labels.join(least, "c").select("node", "component"), "cc-components")
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from rillsync.llm import decontamination, embedding_dedup, language_id, ngram_join, secret_scan, substring_dedup, token_codec, toxicity
@@ -247,6 +248,47 @@ def test_embeddings(spark):
     assert got[31].component_id == 30 and not got[31].kept and all(got[i].n_links == 0 and got[i].kept for i in range(100, 106))
 
 
+def cone(n, share, cosine, pairs, seed=1, dims=64):
+    """Unit vectors, a share of them in a cone of that background cosine, with pairs over 0.95 inside the cone."""
+    rng = np.random.default_rng(seed)
+    x, k, m = rng.normal(size=(n, dims)), int(n * share), np.eye(dims)[0]
+    side = x[:k] * (1 - m)
+    x[:k] = np.sqrt(cosine) * m + np.sqrt(1 - cosine) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in range(pairs):
+        v, w = x[2 * i], rng.normal(size=dims)
+        w -= (w @ v) * v
+        c = rng.uniform(0.951, 0.97)
+        x[2 * i + 1] = c * v + np.sqrt(1 - c * c) * w / np.linalg.norm(w)
+    return x.astype(np.float32)
+
+
+@pytest.mark.parametrize("n", [3000, 10_000])
+def test_embeddings_in_a_crowd(spark, n, monkeypatch):
+    if n == 3000:  # several rounds even so
+        monkeypatch.setattr(embedding_dedup, "WINDOW", 16)
+        monkeypatch.setattr(embedding_dedup, "WIDE", 64)
+    x = cone(n, 0.4, 0.85, 400)
+    vectors = spark.createDataFrame(pd.DataFrame({"vec_id": range(n), "embedding": [v.tolist() for v in x]}), "vec_id long, embedding array<float>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(vectors).collect()}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    linked = u @ u.T >= 0.95
+    a, b = np.nonzero(np.triu(linked, 1))
+    found = [got[int(i)].component_id == got[int(j)].component_id for i, j in zip(a, b, strict=True)]
+    assert len(found) >= 400 and np.mean(found) >= 0.97
+    assert all(got[i].n_links <= linked[i].sum() - 1 for i in range(n))
+
+
+def test_embeddings_without_rows(spark):
+    none = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    assert embedding_dedup.near_duplicates(none).count() == 0
+    nulls = spark.createDataFrame([(None, [1.0, 0.0]), (None, None), (1, [1.0, 0.0])], "vec_id long, embedding array<float>")
+    got = embedding_dedup.near_duplicates(nulls).collect()
+    assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in got) == [
+        ("1", 0, "1", True), ("None", 0, "None", False), ("None", 0, "None", False),
+    ]
+
+
 def test_secrets(spark):
     key = "AKIA" + "Q7" * 8
     texts = [f'x token = "abcdef0123456789" {key} é PASSWORD: hunter2hunter2', "token=secret = abcdefghijklmnop", None, "deadbeefdeadbeef AKIASHORT"]

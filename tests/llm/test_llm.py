@@ -235,6 +235,105 @@ def test_leaks(spark):
     assert decontamination.find_leaks(frame(spark, texts), bench.where("false")).count() == 0
 
 
+def edited(sequence, edits, rng):
+    out = list(sequence)
+    for _ in range(edits):
+        kind, at = rng.randrange(3), rng.randrange(len(out))
+        if kind == 2 and len(out) > 1:
+            del out[at]
+        else:
+            out[at : at + (kind == 0)] = [f"new{rng.randrange(10**9)}"]
+    return out
+
+
+def plain_distance(item, text):
+    """Least word edit distance between the item and any stretch of the text."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        new = [i]
+        for j, y in enumerate(text, 1):
+            new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def test_nearest_stretch():
+    rng = np.random.default_rng(5)
+    for _ in range(800):
+        item, text = (rng.integers(1, 4, rng.integers(a, b)).astype(np.uint64) for a, b in ((1, 12), (0, 16)))
+        most = int(rng.integers(0, len(item)))
+        want, got = plain_distance(item.tolist(), text.tolist()), decontamination.nearest_stretch(item, text, most)
+        assert (got is None) == (want > most)
+        if got:
+            inside = text[got[1] : got[2]].tolist()
+            assert got[0] == want and plain_distance(item.tolist(), inside) == want
+
+
+@pytest.mark.parametrize("sieve", [True, False])
+def test_leaks_equal_brute_force(sieve):
+    """Every item against every stretch of every text; the hashes may lose one leak in a hundred."""
+    rng = random.Random(17)
+    items = [(k, rng.choices(WORDS, k=rng.randint(5, 40))) for k in range(12)]
+    texts = [rng.choices(WORDS, k=rng.randint(0, 60)) for _ in range(20)]
+    for k in range(120):
+        item = rng.choice(items)[1]
+        most = decontamination.edits_allowed(len(item), 0.8)
+        texts.append(rng.choices(WORDS, k=rng.randint(0, 20)) + edited(item, rng.randint(0, most + 2), rng) + rng.choices(WORDS, k=rng.randint(0, 20)))
+    index = decontamination.Index([(k, " ".join(w)) for k, w in items], sieve=sieve)
+    got = {(t, k): d for t, k, d, *_ in index.leaks([" ".join(w) for w in texts])}
+    want = {}
+    for t, text in enumerate(texts):
+        for k, item in items:
+            if (d := plain_distance(item, text)) <= decontamination.edits_allowed(len(item), 0.8):
+                want[t, k] = d
+    assert set(got) <= set(want) and all(got[x] == want[x] for x in got)
+    assert len(want) > 60 and len(got) >= 0.99 * len(want)
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.05, 0.1, 0.15, 0.2])
+def test_recall_of_hashes_alone(rate):
+    rng, found = random.Random(int(rate * 100)), 0
+    for k in range(60):
+        item = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([8, 15, 40, 100]))]
+        text = rng.choices(WORDS, k=30) + edited(item, int(rate * len(item) + 1e-9), rng) + rng.choices(WORDS, k=30)
+        found += bool(decontamination.Index([(k, " ".join(item))], sieve=False).leaks([" ".join(text)]))
+    assert found >= 59
+
+
+@pytest.mark.parametrize("size", [5000, 25_000])
+def test_long_items_leak_as_themselves(size):
+    rng = random.Random(size)
+    items = [[f"a{k}x{rng.randrange(10**6)}" for _ in range(size)] for k in range(2)]
+    copy = edited(items[1], 40, rng)
+    index = decontamination.Index([(k, " ".join(w)) for k, w in enumerate(items)])
+    ((text, item, distance, first, _),) = index.leaks([" ".join(["start", "here", *copy, "end"])])
+    assert (text, item, first) == (0, 1, 2) and distance <= 40
+
+
+def test_common_runs_are_taken_in_ranges(monkeypatch):
+    monkeypatch.setattr(decontamination, "HELD_RUNS", 50)
+    shared = "the same words in every item of all"
+    items = [(k, f"{shared} {prose(20)}") for k in range(30)]
+    index = decontamination.Index(items)
+    texts = [f"{shared} {shared} {items[7][1]} {shared}", shared]
+    assert {(t, k, d) for t, k, d, *_ in index.leaks(texts)} == {(0, 7, 0)}
+
+
+def test_leak_edges(spark):
+    item = prose(30)
+    long = f"{prose(20_000)} {item} {prose(10)}"
+    docs = frame(spark, [long, item, item, None, ""], [None, 1, 1, 2, 3])
+    bench = spark.createDataFrame([(5, item), (5, item), (None, item), (6, None), (7, " ,")], "item_id long, text string")
+    got = decontamination.find_leaks(docs, bench).collect()
+    assert sorted((str(r.doc_id), str(r.item_id)) for r in got) == sorted((d, i) for d in ("1", "1", "None") for i in ("5", "5", "None"))
+    kept = decontamination.drop_leaking(docs, bench)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 3] and kept.columns == docs.columns
+    blocks = decontamination.find_leaks(docs, bench, block_bytes=10).collect()
+    assert sorted(map(str, blocks)) == sorted(map(str, got))
+    assert decontamination.find_leaks(frame(spark, []), bench).count() == 0
+    assert decontamination.drop_leaking(docs, bench.where("false")).count() == 5
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(60, 16))

@@ -98,10 +98,6 @@ class Encoder:
             out.append(b"".join(parts))
         return out
 
-    def counts_of(self, chunks: list[str]) -> list[int]:
-        """Ids in each chunk; a chunk that begins with FIRST is a text's first."""
-        return [len(self._encode(c[1:], True) if c[:1] == FIRST else self._encode(c)) // 4 for c in chunks]
-
 
 _ENCODERS: dict[str, Encoder] = {}
 

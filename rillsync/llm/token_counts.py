@@ -3,8 +3,9 @@
 Every distinct pre-token of the corpus is counted in pieces once. Texts are cut at the single spaces that always
 part two pre-tokens, so a "pre-token" here is what stands between two such spaces; pieces add up over them. The
 per-document frequencies are then joined to those counts and summed. The join has two arms: the most frequent
-pre-tokens (a bounded number of them) are joined in the scan from a table of bounded size, so no hot key is ever
-shuffled; the others, rare by construction, are joined by a shuffle on the pre-token.
+pre-tokens (those over a count that follows from a histogram of the counts, and so of bounded size) are joined in the
+scan, so no hot key is ever shuffled; the others, rare by construction, are joined by a shuffle on the pre-token.
+Long pre-tokens are known by a digest of 128 bits, so keys are short.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,60 +25,107 @@ from rillsync.llm.subwords import FIRST, encoder
 #: Pre-tokens joined in the scan at most, and bytes of them: the size of what is broadcast.
 FREQUENT_ROWS = 200_000
 FREQUENT_BYTES = 16_000_000
-#: Longer pre-tokens, and those that begin with the mark of first chunks, are counted where they stand.
+#: Longer pre-tokens go by their digest.
 KEY_CHARS = 64
-#: Distinct pre-tokens a task holds before it passes them on.
-HELD = 400_000
+#: Before a digest. No key begins with it otherwise.
+LONG = "\ue001"
+#: Distinct pre-tokens, and characters of long ones, that a task holds before it passes them on.
+HELD, HELD_CHARS = 400_000, 1 << 24
 
 
-def _cut(tool, text: str) -> tuple[list[str], list[str]]:
-    """A text's chunks: those that are joined by key, and those that are counted at once."""
+def long_key(chunk: str) -> str:
+    return LONG + xxhash.xxh3_128_hexdigest(chunk.encode("utf-8", "surrogatepass"))
+
+
+def _cut(tool, text: str) -> tuple[list[str], dict[str, str]]:
+    """A text's pre-tokens as keys, and what the keys of long ones stand for. The first pre-token of a text is marked,
+    as it is encoded without a space before it."""
     first, rest = tool.chunks(text)
     if first:
         rest.append(FIRST + first)
-    if FIRST not in text and max(map(len, rest), default=0) <= KEY_CHARS:
-        return rest, []
-    own = [c for c in rest if len(c) > KEY_CHARS or c[:1] == FIRST]
-    return [c for c in rest if len(c) <= KEY_CHARS and c[:1] != FIRST], own
-
-
-def _own_pieces(tool, text: str, own: list[str]) -> int:
-    """Pieces of the chunks counted at once; the last one marked FIRST is the text's first chunk."""
-    if not own:
-        return 0
-    head = own.pop() if own[-1][:1] == FIRST and text.startswith(own[-1][1:]) and tool.chunks(text)[0] == own[-1][1:] else None
-    return sum(len(tool._encode(c)) // 4 for c in own) + (len(tool._encode(head[1:], True)) // 4 if head else 0)
+    if FIRST not in text and LONG not in text and max(map(len, rest), default=0) <= KEY_CHARS:
+        return rest, {}
+    long: dict[str, str] = {}
+    # a chunk with one of the marks inside the text goes by its digest, too
+    for i, c in enumerate(rest):
+        marked = first and i == len(rest) - 1
+        if len(c) > KEY_CHARS or c[:1] == LONG or c[:1] == FIRST and not marked or marked and c[1:2] == FIRST:
+            body = c if marked else " " + c
+            rest[i] = long_key(body)
+            long[rest[i]] = body
+    return rest, long
 
 
 def distinct_pretokens(documents: DataFrame, vocabulary: str) -> DataFrame:
     """(chunk, n, pieces) of each distinct pre-token; partial counts are made before the shuffle."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, counts = encoder(vocabulary), Counter()
+        tool, counts, texts = encoder(vocabulary), Counter(), {}
 
         def flush() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["chunk", "n"])
-            counts.clear()
-            return out
+            columns = [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())]
+            columns.append(pa.array([texts.get(c) for c in counts] if texts else [None] * len(counts), pa.string()))
+            counts.clear(), texts.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["chunk", "n", "long"])
 
+        held = 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 for text in batch.slice(at, 256).column(0).to_pylist():
                     if text:
-                        counts.update(_cut(tool, text)[0])
+                        keys, long = _cut(tool, text)
+                        counts.update(keys)
+                        for k, body in long.items():
+                            if k not in texts:
+                                texts[k], held = body, held + len(body)
+                        if held > HELD_CHARS:
+                            yield flush()
+                            held = 0
                 if len(counts) > HELD:
                     yield flush()
+                    held = 0
         if counts:
             yield flush()
 
     def pieces(table: pa.Table) -> pa.Table:
-        chunks = table.column("chunk").to_pylist()
-        return table.append_column("pieces", pa.array(encoder(vocabulary).counts_of(chunks), pa.int64()))
+        tool = encoder(vocabulary)
+        bodies = [c if t is None else t for c, t in zip(table["chunk"].to_pylist(), table["long"].to_pylist(), strict=True)]
+        return table.drop(["long"]).append_column("pieces", pa.array(pieces_of(tool, bodies), pa.int64()))
 
-    counted = documents.select("text").mapInArrow(run, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    counted = documents.select("text").mapInArrow(run, "chunk string, n long, long string").groupBy("chunk")
+    # whatever text a digest comes with is the same; texts of keys that are no digests are null
+    counted = counted.agg(F.sum("n").alias("n"), F.max("long").alias("long"))
     return map_arrow(counted, pieces, "chunk string, n long, pieces long", rows=100_000)
 
 
+def pieces_of(tool, bodies: list[str]) -> list[int]:
+    """Pieces of each: a text's first pre-token behind its mark, a long one behind its space, or a plain one."""
+    out = []
+    for c in bodies:
+        if c[:1] == FIRST:
+            out.append(len(tool._encode(c[1:], True)) // 4)
+        else:
+            out.append(len(tool._encode(c[1:] if c[:1] == " " else c)) // 4)
+    return out
+
+
+def frequent_pretokens(words: DataFrame, rows: int = FREQUENT_ROWS, size: int = FREQUENT_BYTES) -> dict[str, int]:
+    """Pieces of the pre-tokens over a count: the least at which they are so many and have so many bytes at most. The
+    counts are binned by quarters of powers of two, so that a few hundred numbers tell it."""
+    quarter = F.floor(F.log2("n") * 4).alias("bin")
+    bins = words.groupBy(quarter).agg(F.count("*").alias("k"), F.sum(F.octet_length("chunk") + 8).alias("size")).collect()
+    least, held, used = None, 0, 0
+    for b in sorted(bins, key=lambda r: -r.bin):
+        held, used = held + b.k, used + b.size
+        if held > rows or used > size:
+            break
+        least = b.bin
+    if least is None:
+        return {}
+    chosen = words.where(F.floor(F.log2("n") * 4) >= least).select("chunk", "pieces")
+    return {r.chunk: r.pieces for r in chosen.toLocalIterator()}
+
+
 def count_tokens(documents: DataFrame, vocabulary: str, limit: int = 1024) -> DataFrame:
     """Per row of `documents` (doc_id, text): doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit).
 
@@ -84,13 +133,7 @@ def count_tokens(documents: DataFrame, vocabulary: str, limit: int = 1024) -> Da
     ignored; an empty table gives no rows. Any length of text and of pre-token is counted whole.
     """
     words = materialize(distinct_pretokens(documents, vocabulary), "pretokens")
-    frequent: dict[str, int] = {}
-    size = 0
-    for row in words.orderBy(F.desc("n"), "chunk").limit(FREQUENT_ROWS).select("chunk", "pieces").toLocalIterator():
-        size += len(row.chunk.encode()) + 8
-        if size > FREQUENT_BYTES:
-            break
-        frequent[row.chunk] = row.pieces
+    frequent = frequent_pretokens(words)
     shared = documents.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,20 +144,23 @@ def count_tokens(documents: DataFrame, vocabulary: str, limit: int = 1024) -> Da
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     base, tail, text = 0, None, text or ""
                     if text:
-                        chunks, own = _cut(tool, text)
-                        known = list(map(get, chunks))
+                        keys, _ = _cut(tool, text)
+                        known = list(map(get, keys))
                         if None in known:
-                            tail = [{"chunk": c, "n": n} for c, n in Counter([c for c, k in zip(chunks, known, strict=True) if k is None]).items()]
+                            rare = Counter([c for c, k in zip(keys, known, strict=True) if k is None])
+                            tail = [{"chunk": c, "n": n} for c, n in rare.items()]
                             base = sum(k for k in known if k is not None)
                         else:
                             base = sum(known)
-                        base += _own_pieces(tool, text, own)
                     out.append((row, doc_id, len(text.encode()), base, tail))
                     row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["row", "doc_id", "n_bytes", "base", "tail"])
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_bytes", "base", "tail"])
 
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("chunk", pa.string()), ("n", pa.int64())]))]
-    held = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").select("doc_id", "text").mapInArrow(run, "row long, doc_id long, n_bytes long, base long, tail array<struct<chunk:string,n:long>>")
+    tail_type = pa.list_(pa.struct([("chunk", pa.string()), ("n", pa.int64())]))
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), tail_type]
+    schema = "row long, doc_id long, n_bytes long, base long, tail array<struct<chunk:string,n:long>>"
+    held = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
     held = materialize(held, "frequencies")
     rare = held.where("tail is not null").select("row", F.inline("tail"))
     summed = rare.join(words.select("chunk", "pieces"), "chunk").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("more"))

@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillsync.llm.common import is_held_out, map_arrow, sample_rows, texts_of
+from rillsync.llm.common import is_held_out, map_arrow, sample_texts, texts_of
 from rillsync.llm.subword_bag import Bag, buffer, segments, train
 
-#: Texts the model is fitted on at most.
-SAMPLE_ROWS = 4_000
+#: Texts the model is fitted on at most, and characters of such a text at most (longer ones are not sampled).
+SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 16_384
 #: Bytes of a training segment.
 SEGMENT = 192
 UNKNOWN = "und"
@@ -86,10 +86,11 @@ def fit(texts: list[str], langs: list[str], bits: int = 16, dims: int = 8, sizes
     return model
 
 
-def fit_from_documents(documents: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most `rows` texts of known language outside the held-out fold."""
-    known = documents.select("doc_id", "text", "lang").where("text is not null and lang is not null and doc_id is not null").where(~is_held_out())
-    got = sample_rows(known, "doc_id", rows).collect()
+def fit_from_documents(documents: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
+    """Fit on a sample of about `rows` texts of known language, of at most `chars` characters, outside the held-out
+    fold."""
+    known = documents.select("doc_id", "text", "lang").where("lang is not null and doc_id is not null").where(~is_held_out())
+    got = sample_texts(known, rows, chars)
     return fit([r.text for r in got], [r.lang for r in got])
 
 

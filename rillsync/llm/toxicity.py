@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from rillsync.llm.common import is_held_out, map_arrow, sample_rows, texts_of
 from rillsync.llm.subword_bag import Bag, buffer, logistic, segments, train
 
-#: Labelled texts the model is fitted on at most.
-SAMPLE_ROWS = 4_000
+#: Labelled texts the model is fitted on at most, and characters of such a text at most (longer ones are not sampled).
+SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 16_384
 #: Half a window, in bytes; windows overlap by half.
 HALF = 64
 THRESHOLD = 0.7
@@ -96,12 +96,15 @@ def fit(texts: list[str], labels: list[int], bits: int = 18, dims: int = 2, size
     return model
 
 
-def fit_from_labels(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most `rows` labelled texts outside the held-out fold. Null labels and texts are left out."""
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null").where(~is_held_out()).dropDuplicates(["doc_id"])
+def fit_from_labels(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
+    """Fit on a sample of about `rows` labelled texts of at most `chars` characters, outside the held-out fold. Null
+    labels and texts, and documents whose labels contradict one another, are left out."""
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
+    known = known.where(~is_held_out()).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
+    known = known.where("toxic = most").select("doc_id", "toxic")
     # a bounded sample of the labels is broadcast: the texts are filtered where they lie
-    chosen = documents.select("doc_id", "text").where("text is not null").join(F.broadcast(sample_rows(known, "doc_id", rows)), "doc_id")
-    got = chosen.limit(2 * rows).collect()
+    texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= chars))
+    got = texts.join(F.broadcast(sample_rows(known, "doc_id", rows)), "doc_id").limit(2 * rows).collect()
     return fit([r.text for r in got], [r.toxic for r in got])
 
 

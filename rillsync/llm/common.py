@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from rillsync.sources.scratch import materialize, release
 
 __all__ = [
-    "block_pairs", "components", "forest", "is_held_out", "map_arrow", "materialize", "release", "sample_rows",
+    "block_pairs", "components", "forest", "is_held_out", "join_hot", "map_arrow", "materialize", "release", "sample_rows",
     "sample_texts", "texts_of",
 ]
 
@@ -56,6 +56,23 @@ def is_held_out(key: str = "doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+#: A key is hot with more rows than HOT_ROWS and than one HOT_KEYS-th of all rows, so there are fewer hot ones than
+#: HOT_KEYS, whatever the size.
+HOT_ROWS, HOT_KEYS = 100_000, 10_000
+
+
+def join_hot(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
+    """`rows`, a materialised table, joined with `other`, which has one row for each key. Hot keys, fewer than HOT_KEYS,
+    are joined by broadcast where the rows lie; the others by whatever the planner chooses."""
+    total = rows.count()  # from the files' footers
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= limit:
+        return rows.join(other, key)
+    hot = materialize(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > limit).select(key), "hot")
+    near = rows.join(F.broadcast(other.join(F.broadcast(hot), key, "left_semi")), key)
+    return near.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(other, key))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of the undirected edges (a, b): rows (node, component), component the least node.
 
@@ -75,17 +92,20 @@ def components(edges: DataFrame) -> DataFrame:
         best = both.groupBy("node").agg(F.least(F.min("near"), F.min("own")).alias("best"))
         step = materialize(best.select("node", F.col("best.node").alias("to")), "cc-step")
         steps.append(step)
-        moved = left.join(step.withColumnsRenamed({"node": "a", "to": "x"}), "a")
-        moved = moved.join(step.withColumnsRenamed({"node": "b", "to": "y"}), "b").where("x <> y")
-        was, left = left, materialize(moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct(), "cc-edges")
+        # a greatest end may be joined as it is; a least end may be the hub of a star
+        moved = join_hot(left, step.withColumnsRenamed({"node": "b", "to": "y"}), "b")
+        moved = moved.join(step.withColumnsRenamed({"node": "a", "to": "x"}), "a").where("x <> y")
+        moved = moved.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+        was, left = left, materialize(moved, "cc-edges")
         release(was)
     labels = steps[0].withColumnRenamed("to", "c")
     for step in steps[1:]:
-        labels = labels.join(step.withColumnRenamed("node", "c"), "c", "left").select("node", F.coalesce("to", "c").alias("c"))
+        more = step.withColumnRenamed("node", "c")
+        labels = labels.join(more, "c", "left").select("node", F.coalesce("to", "c").alias("c"))
     labels = materialize(labels, "cc-labels")
     release(left, *steps)
     least = labels.groupBy("c").agg(F.min("node").alias("component"))
-    return materialize(labels.join(least, "c").select("node", "component"), "cc-components")
+    return materialize(join_hot(labels, least, "c").select("node", "component"), "cc-components")
 
 
 def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -107,15 +127,23 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def block_pairs(members: DataFrame, group: str, key: str, block_rows: int) -> DataFrame:
+def block_pairs(members: DataFrame, group: str, key: str, block_rows: int, bytes_of: str | None = None, block_bytes: int = 1 << 24) -> DataFrame:
     """Deal each group's rows to tasks that hold two blocks of it at most.
 
-    A group of s rows gets ceil(s / block_rows) blocks by key hash; every unordered pair of blocks is one task, so a
-    row is sent once per block of its own group and no task grows with the group. Adds pair (string: the task), side
-    (0 or 1) and alone (a task over one block, in which both sides are the same rows).
+    A group gets a block for every `block_rows` rows, or every `block_bytes` bytes of the column `bytes_of` where these
+    are more, by key hash; every unordered pair of blocks is one task, so a row is sent once per block of its own group
+    and no task grows with the group. `members` is a materialised table. Adds pair (string: the task), side (0 or 1)
+    and alone (a task over one block, in which both sides are the same rows).
     """
-    sizes = members.groupBy(group).agg(F.ceil(F.count("*") / F.lit(float(block_rows))).cast("int").alias("n_blocks"))
-    held = members.join(sizes, group).withColumn("own", F.pmod(F.xxhash64(F.col(key)), F.col("n_blocks")).cast("int"))
+    size = F.count("*") / F.lit(float(block_rows))
+    if bytes_of:
+        size = F.greatest(size, F.sum(F.octet_length(bytes_of)) / F.lit(float(block_bytes)))
+    # only groups of several blocks are told: they are few, and the rows of large ones stay where they lie
+    sizes = members.groupBy(group).agg(F.ceil(size).cast("int").alias("n_blocks")).where("n_blocks > 1")
+    held = members.join(F.broadcast(sizes), group, "left").withColumn("n_blocks", F.coalesce("n_blocks", F.lit(1)))
+    held = held.withColumn("own", F.pmod(F.xxhash64(F.col(key)), F.col("n_blocks")).cast("int"))
     held = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    return held.withColumn("pair", F.concat_ws(":", F.col(group).cast("string"), low.cast("string"), high.cast("string"))).withColumn("side", (F.col("own") == high).cast("int")).withColumn("alone", low == high).drop("own", "other", "n_blocks")
+    pair = F.concat_ws(":", F.col(group).cast("string"), low.cast("string"), high.cast("string"))
+    held = held.withColumn("pair", pair).withColumn("side", (F.col("own") == high).cast("int"))
+    return held.withColumn("alone", low == high).drop("own", "other", "n_blocks")

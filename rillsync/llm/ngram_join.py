@@ -2,10 +2,12 @@
 
 Texts become sets of word shingles. Equal sets form a class, compared once. MinHash signatures are cut into bands,
 numbers of bands and rows chosen for a target recall, and shuffled on the band hashes. A bucket is not expanded into
-pairs: its members are tied to one centre where their signatures are not plainly unlike (the others look for another
-centre among themselves), and the ties' components are groups that may hold links. Inside a group every pair is
-verified on the full shingle sets, by blocks dealt to tasks, which give counts of links and a spanning forest of
-them, never the pairs. The forest's components are the classes of the result.
+pairs: its members are tied to one centre where their signatures are not plainly unlike. The others, its rest, are
+compared pair by pair where they are few; where they are many (texts that share some of their shingles by the
+thousand), they are cut into bands again, of twice the rows and of a number for the same recall, in which only the
+like meet. The ties' components are groups that may hold links. Inside a group every pair is verified on the full
+shingle sets, by blocks dealt to tasks, which give counts of links and a spanning forest of them, never the pairs.
+The forest's components are the classes of the result.
 """
 
 from __future__ import annotations
@@ -21,17 +23,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillsync.llm.common import block_pairs, components, forest, map_arrow, materialize, texts_of
+from rillsync.llm.common import HOT_KEYS, HOT_ROWS, block_pairs, components, forest, join_hot, map_arrow, materialize, release, texts_of
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
 #: Signature agreement from which a bucket's member is tied to its centre, and from which it needs no other centre. By
 #: the triangle inequality of the Jaccard distance, of two members with a similarity of 0.8 either both are tied or
 #: both are under 0.6, so that they stay together in the bucket's rest; 0.65 leaves room for the estimate's error.
 TIE, SURE = 0.4, 0.65
-#: The rest of a bucket is compared pair by pair up to this size, and gets another centre beyond it.
+#: The rest of a bucket is compared pair by pair up to this size, and cut into longer bands beyond it.
 SMALL_BUCKET = 64
-#: Shingle sets in a block; a task holds two blocks.
-BLOCK_ROWS = 1024
+#: Shingle sets in a block, and bytes of them; a task holds two blocks.
+BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 24
+#: Classes whose texts are picked out by a broadcast of their ids, of 48 bytes each; more are joined by a shuffle.
+PICKED = 300_000
 _WORD = re.compile(r"\w+")
 
 
@@ -80,9 +84,13 @@ def signature(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
+def _band_hashes(m: np.ndarray, bands: int, rows: int, first: int = 0) -> list[int]:
+    return [xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=first + i) - (1 << 63) for i in range(bands)]
+
+
 def _signatures(documents: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, c1, c2: the set's digest, bands: hash of each band, mins: a byte of each least hash) of each row; no digest and
-    no bands without a word."""
+    """(doc_id, c1, c2: the set's digest, bands: hash of each band, mins: a byte of each least hash) of each row; no
+    digest and no bands without a word."""
     a, b = permutations(bands * rows)
 
     def run(table: pa.Table) -> pa.Table:
@@ -95,48 +103,71 @@ def _signatures(documents: DataFrame, words: int, bands: int, rows: int) -> Data
             high, low = _digest(s.tobytes())
             c1.append(high), c2.append(low)
             m = signature(s, a, b)
-            found_bands.append([xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=i) - (1 << 63) for i in range(bands)])
+            found_bands.append(_band_hashes(m, bands, rows))
             mins.append((m >> np.uint32(13)).astype(np.uint8).tobytes())
-        return pa.table({"doc_id": table.column("doc_id"), "c1": pa.array(c1, pa.int64()), "c2": pa.array(c2, pa.int64()), "bands": pa.array(found_bands, pa.list_(pa.int64())), "mins": pa.array(mins, pa.binary())})
+        return pa.table({
+            "doc_id": table.column("doc_id"), "c1": pa.array(c1, pa.int64()), "c2": pa.array(c2, pa.int64()),
+            "bands": pa.array(found_bands, pa.list_(pa.int64())), "mins": pa.array(mins, pa.binary()),
+        })
 
-    return map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, c1 long, c2 long, bands array<long>, mins binary", rows=512)
+    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_arrow(source, run, "doc_id long, c1 long, c2 long, bands array<long>, mins binary", rows=512)
 
 
-def _ties(representatives: DataFrame) -> DataFrame:
-    """Edges (a, b) of bucket members with their buckets' centres, until every member is surely tied or alone."""
+def _agreement(table: pa.Table) -> pa.Table:
+    """(rep, centre, score): the estimate of the Jaccard similarity from a byte of each least hash."""
+    x, y = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint8).reshape(table.num_rows, -1) for c in ("mins", "mins2"))
+    score = ((x == y).mean(1) - 1 / 256) * 256 / 255
+    return pa.table({"rep": table["rep"], "centre": table["centre"], "score": pa.array(score)})
 
-    @F.pandas_udf("double")
-    def agreement(x: pd.Series, y: pd.Series) -> pd.Series:
-        def one(p: bytes, q: bytes) -> float:
-            return float((np.mean(np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)) - 1 / 256) * 256 / 255)
 
-        return pd.Series([one(p, q) for p, q in zip(x, y, strict=True)], dtype="float64")
-
-    mins = representatives.select("rep", "mins")
+def _ties(classes: DataFrame, texts_for, recall: float, rows: int) -> DataFrame:
+    """Edges (rep, centre) in whose components any two classes that meet in a bucket and may be linked are together:
+    members with their buckets' centres, then the rests of buckets. texts_for(reps) gives (rep, shingles: bytes)."""
+    mins = classes.select("rep", "mins")
 
     def scored(pairs: DataFrame) -> DataFrame:
+        held = materialize(pairs.distinct().join(mins, "rep"), "pairs")
         other = mins.select(F.col("rep").alias("centre"), F.col("mins").alias("mins2"))
-        return materialize(pairs.distinct().join(mins, "rep").join(other, "centre").select("rep", "centre", agreement("mins", "mins2").alias("score")), "ties")
-
-    left = representatives.select("rep", F.explode("bands").alias("band")).withColumn("was", F.lit(None).cast("long"))
-    done = []
-    while True:
-        same = ["band"] if not done else ["band", "was"]
-        sizes = left.groupBy(*same).agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
-        held = materialize(left.join(sizes, same).select("band", "was", "rep", "centre", "n"), "buckets")
-        small = held.where(f"n <= {SMALL_BUCKET}").select(*same, "rep") if done else held.where("false").select(*same, "rep")
-        pairs = small.join(small.withColumnRenamed("rep", "centre"), same).where("rep > centre").select("rep", "centre")
-        large = held.where(f"n > {SMALL_BUCKET}") if done else held
-        near = scored(large.where("rep <> centre").select("rep", "centre").union(pairs))
-        done.append(near.where(F.col("score") >= TIE).select(F.col("rep").alias("a"), F.col("centre").alias("b")))
-        loose = near.where(F.col("score") < SURE).select("rep", "centre")
-        left = large.join(loose, ["rep", "centre"]).select("band", "rep", F.col("centre").alias("was"))
-        left = materialize(left, "rest")
-        if not left.limit(1).count():
-            edges = done[0]
-            for more in done[1:]:
-                edges = edges.union(more)
-            return edges.distinct()
+        both = join_hot(held, other, "centre").select("rep", "centre", "mins", "mins2")
+        out = materialize(map_arrow(both, _agreement, "rep long, centre long, score double", rows=4096), "ties")
+        release(held)
+        return out
+
+    buckets = classes.select("rep", F.explode("bands").alias("band"))
+    sizes = buckets.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    buckets = materialize(buckets, "bands")
+    held = materialize(join_hot(buckets, sizes.select("band", "centre"), "band").where("rep <> centre"), "buckets")
+    release(buckets)
+    near = scored(held.select("rep", "centre"))
+    edges = near.where(F.col("score") >= TIE).select("rep", "centre")
+    # the rests: members that are not surely like their centre may be linked with one another
+    loose = near.where(F.col("score") < SURE).select("rep", "centre")
+    rest = materialize(held.join(loose, ["rep", "centre"]).select("band", "rep"), "rest")
+    counts = materialize(rest.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "rest-sizes")
+    small = rest.join(counts.where(f"n <= {SMALL_BUCKET}").select("band"), "band")
+    pairs = small.join(small.withColumnRenamed("rep", "centre"), "band").where("rep > centre").select("rep", "centre")
+    edges = edges.unionByName(scored(pairs).where(F.col("score") >= TIE).select("rep", "centre"))
+    large = counts.where(f"n > {SMALL_BUCKET}").select("band")
+    if large.limit(1).count():
+        crowd = materialize(join_hot(rest, large, "band").select("rep").distinct(), "crowd")
+        edges = edges.unionByName(_longer_bands(texts_for(crowd), recall, 2 * rows))
+    return materialize(edges.distinct(), "tied")
+
+
+def _longer_bands(sets: DataFrame, recall: float, rows: int) -> DataFrame:
+    """Edges (rep, centre) of the members of each bucket of longer bands with its centre: whoever meets there."""
+    bands, rows = banding(THRESHOLD, recall, rows)
+    a, b = permutations(bands * rows, seed=13)
+
+    def run(table: pa.Table) -> pa.Table:
+        found = [_band_hashes(signature(np.frombuffer(s, np.uint64), a, b), bands, rows, 1 << 20) for s in table["found"].to_pylist()]
+        return pa.table({"rep": table.column("rep"), "bands": pa.array(found, pa.list_(pa.int64()))})
+
+    cut = map_arrow(sets.select("rep", "found"), run, "rep long, bands array<long>", rows=256)
+    buckets = materialize(cut.select("rep", F.explode("bands").alias("band")), "long-bands")
+    sizes = buckets.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
+    return join_hot(buckets, sizes.select("band", "centre"), "band").where("rep <> centre").select("rep", "centre").distinct()
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -204,37 +235,80 @@ def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, recall: fl
     Null, empty and wordless texts have no shingles, link with nothing and are their own class. A text of fewer words
     than a shingle is one shingle of all its words. Rows with a null doc_id have no name to link by: they come back
     with nulls and no links. Rows that repeat a doc_id count as rows of their own, with equal texts or not. Other
-    columns are ignored; an empty table gives no rows. Sets are told apart by 64 bits of their digests.
+    columns are ignored; an empty table gives no rows. Sets are told apart by 128 bits of their digests.
     """
     bands, rows = banding(threshold, recall)
     signed = materialize(_signatures(documents, words, bands, rows), "signatures")
     named = signed.where("doc_id is not null and c1 is not null")
-    classes = materialize(named.groupBy("c1", "c2").agg(F.min("doc_id").alias("least"), F.count("*").alias("n_rows"), F.first("bands").alias("bands"), F.first("mins").alias("mins")).withColumn("rep", F.col("c1")).dropDuplicates(["rep"]), "classes")
-    groups = components(_ties(classes)).withColumnRenamed("node", "rep").withColumnRenamed("component", "cluster")
-    members = classes.select("rep", "least", "n_rows").join(groups, "rep")
-
-    def sets(table: pa.Table) -> pa.Table:
-        found = [shingles(t, words).tobytes() for t in texts_of(table)]
-        own = pa.array([_digest(s)[0] == r for s, r in zip(found, table.column("rep").to_pylist(), strict=True)], pa.bool_())
-        return pa.table({k: table.column(k) for k in ("rep", "cluster", "n_rows")} | {"found": pa.array(found, pa.binary())}).filter(own)
-
-    texts = documents.select(F.col("doc_id").cast("long").alias("least"), "text").join(members, "least").select("rep", "cluster", "n_rows", "text")
-    full = materialize(map_arrow(texts, sets, "rep long, cluster long, n_rows long, found binary", rows=512).dropDuplicates(["rep"]), "sets")
-    dealt = block_pairs(full, "cluster", "rep", BLOCK_ROWS)
-    found = materialize(dealt.groupBy("pair").applyInPandas(lambda key, g: _verify(key, g, threshold), "rep long, other long, links long"), "links")
-    linked = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "rep")
+    classes = named.groupBy("c1", "c2").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("n_rows"), F.first("bands").alias("bands"), F.first("mins").alias("mins")
+    )
+    # a number of each class, which the written table keeps
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+
+    def sets_of(reps: DataFrame) -> DataFrame:
+        """The full shingle sets of some classes, with the columns of `reps`: only their texts are read again."""
+        more = [f for f in reps.schema.fields if f.name != "rep"]
+        wanted = classes.select("rep", "least", "c1", "c2").join(reps, "rep")
+        wanted = F.broadcast(wanted) if reps.count() <= PICKED else wanted
+        texts = documents.select(F.col("doc_id").cast("long").alias("least"), "text").join(wanted, "least")
+
+        def run(table: pa.Table) -> pa.Table:
+            found = [shingles(t, words).tobytes() for t in texts_of(table)]
+            # a doc_id may come with other texts, too
+            wanted = zip(table["c1"].to_pylist(), table["c2"].to_pylist(), strict=True)
+            own = pa.array([_digest(s) == c for s, c in zip(found, wanted, strict=True)], pa.bool_())
+            kept = {f: table.column(f) for f in ("rep", *(f.name for f in more))}
+            return pa.table(kept | {"found": pa.array(found, pa.binary())}).filter(own)
+
+        kinds = ", ".join(["rep long", *(f"{f.name} {f.dataType.simpleString()}" for f in more), "found binary"])
+        got = texts.select("rep", *(f.name for f in more), "c1", "c2", "text")
+        return map_arrow(got, run, kinds, rows=512).dropDuplicates(["rep"])
+
+    groups = components(_ties(classes, sets_of, recall, rows).select(F.col("rep").alias("a"), F.col("centre").alias("b")))
+    members = classes.select("rep", "n_rows").join(groups.withColumnsRenamed({"node": "rep", "component": "cluster"}), "rep")
+    full = materialize(sets_of(materialize(members, "members")), "sets")
+    dealt = block_pairs(full, "cluster", "rep", BLOCK_ROWS, "found", BLOCK_BYTES)
+    verified = dealt.groupBy("pair").applyInPandas(lambda key, g: _verify(key, g, threshold), "rep long, other long, links long")
+    found = materialize(verified, "links")
+    linked = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
+    linked = linked.withColumnRenamed("node", "rep")
     counted = found.where("other is null").groupBy("rep").agg(F.sum("links").alias("links"))
     names = linked.join(classes.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("name"))
-    per_class = classes.select("c1", "c2", "rep", "least", "n_rows").join(counted, "rep", "left").join(linked, "rep", "left").join(names, "component", "left")
-    per_class = per_class.select("c1", "c2", "least", F.coalesce("name", "least").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("n_rows") - 1).alias("n_links"))
-    shown = signed.select("doc_id", "c1", "c2").join(per_class, ["c1", "c2"], "left")
+    linked = join_hot(linked, names, "component").select("rep", "name")
+    n_links = (F.coalesce("links", F.lit(0)) + F.col("n_rows") - 1).alias("n_links")
+    per_class = classes.select("c1", "c2", "rep", "least", "n_rows").join(counted, "rep", "left").join(linked, "rep", "left")
+    per_class = per_class.select("c1", "c2", "least", F.coalesce("name", "least").alias("class_id"), n_links)
+    # rows of single texts are joined by a shuffle, those of large classes of copies where they lie
     real = F.col("doc_id").isNotNull()
-    return shown.select("doc_id", F.when(real, F.coalesce("class_id", "doc_id")).alias("class_id"), F.when(real, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).alias("n_links"), F.when(real, F.coalesce("least", "doc_id")).alias("copy_id"))
+    alone = signed.select("doc_id", "c1", "c2").where("doc_id is null or c1 is null")
+    alone = alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("copy_id"))
+    shown = _by_class(named.select("doc_id", "c1", "c2"), per_class, classes)
+    return shown.select("doc_id", "class_id", "n_links", F.col("least").alias("copy_id")).unionByName(alone)
+
+
+def _by_class(rows: DataFrame, per_class: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows joined with their classes; classes of many rows, so few, by broadcast."""
+    key, total = ["c1", "c2"], rows.count()
+    limit = max(HOT_ROWS, total // HOT_KEYS)
+    if total <= limit:
+        return rows.join(per_class, key)
+    hot = F.broadcast(materialize(classes.where(F.col("n_rows") > limit).select(*key), "hot"))
+    near = rows.join(F.broadcast(per_class.join(hot, key, "left_semi")), key)
+    return near.unionByName(rows.join(hot, key, "left_anti").join(per_class, key))
 
 
 def keep_one(documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS) -> DataFrame:
-    """`documents` with one document of each class: the one of least doc_id, with the rows that repeat it. Rows with a null
-    doc_id stay, and a row goes with its doc_id."""
-    links = jaccard_links(documents.select("doc_id", "text"), threshold, recall, words)
-    gone = links.where("doc_id <> class_id").select("doc_id").distinct()
-    return documents.join(gone, "doc_id", "left_anti")
+    """`documents` with one document of each class: the one of least doc_id, with the rows that repeat it. Rows with a
+    null doc_id are numbered after all others, so one of them stays where its class has no other."""
+    columns = documents.columns
+    if not documents.where("doc_id is null").limit(1).count():
+        links = jaccard_links(documents.select("doc_id", "text"), threshold, recall, words)
+        gone = links.where("doc_id <> class_id").select("doc_id").distinct()
+        return documents.join(gone, "doc_id", "left_anti").select(*columns)
+    last = documents.agg(F.max("doc_id")).first()[0] or 0
+    own = F.coalesce(F.col("doc_id"), F.lit(int(last) + 1) + F.monotonically_increasing_id())
+    numbered = materialize(documents.withColumn("_own", own), "numbered")
+    links = jaccard_links(numbered.select(F.col("_own").alias("doc_id"), "text"), threshold, recall, words)
+    gone = links.where("doc_id <> class_id").select(F.col("doc_id").alias("_own")).distinct()
+    return numbered.join(gone, "_own", "left_anti").select(*columns)

@@ -7,8 +7,9 @@ import zlib
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from rillsync.llm import decontamination, embedding_dedup, language_id, ngram_join, secret_scan, substring_dedup, token_codec, toxicity
+from rillsync.llm import decontamination, embedding_dedup, language_id, ngram_join, secret_scan, substring_dedup, token_codec, token_counts, toxicity
 from rillsync.llm.common import components
 from rillsync.llm.packing import Limits, Packer, pack_documents
 from rillsync.llm.subwords import vocabulary_path
@@ -51,6 +52,29 @@ def test_token_counts(docs):
     assert count_tokens(docs.where("false"), vocabulary_path("byte_bpe_50k.json")).count() == 0
 
 
+def test_token_count_edges(spark):
+    ids, long = library("byte_bpe_50k.json"), "x1" * 400
+    texts = [f"{long} {prose(20_000)} {long}", f"a {long}", long, "\ue000 a \ue000b \ue001c \ue000\ue000", None, "", "a", "a", " " * 300, "é" * 200 + " 中" * 90]
+    rows = [None, 1, 1, 2, 3, 4, 5, 5, 6, 7]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        ids = library(name)
+        got = token_counts.count_tokens(frame(spark, texts, rows), vocabulary_path(name)).collect()
+        want = [(str(i), len((t or "").encode()), len(ids(t))) for i, t in zip(rows, texts, strict=True)]
+        assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in got) == sorted(want)
+
+
+def test_frequent_pretokens_are_bounded(spark, monkeypatch):
+    words = spark.createDataFrame([(f"w{i}", 1 + 10_000 // (i + 1), 1) for i in range(500)], "chunk string, n long, pieces long")
+    got = token_counts.frequent_pretokens(words, rows=50)
+    assert 20 <= len(got) <= 50 and set(got) == {f"w{i}" for i in range(len(got))}
+    assert token_counts.frequent_pretokens(words, size=400).keys() == {f"w{i}" for i in range(len(token_counts.frequent_pretokens(words, size=400)))}
+    assert token_counts.frequent_pretokens(words.where("false")) == {}
+    monkeypatch.setattr(token_counts, "frequent_pretokens", lambda words: {})  # all by the shuffle
+    ids = library("byte_bpe_50k.json")
+    got = token_counts.count_tokens(frame(spark, TEXTS), vocabulary_path("byte_bpe_50k.json")).collect()
+    assert {r.doc_id: r.n_tokens for r in got} == {i: len(ids(t)) for i, t in enumerate(TEXTS)}
+
+
 def test_packing(docs):
     ids = {i: library("byte_bpe_50k.json")(t) + [0] for i, t in enumerate(TEXTS)}
     got = pack_documents(docs, vocabulary_path("byte_bpe_50k.json")).collect()
@@ -191,6 +215,79 @@ def test_large_group_by_blocks(spark, monkeypatch):
     assert [got[i] for i in range(40)] == want
 
 
+def test_a_bucket_of_unlike_members(spark):
+    """300 classes in one bucket, all mutually unlike but for pairs: two rounds, and the pairs stay together."""
+    rng, made = np.random.default_rng(3), {}
+    for k in range(150):
+        own = rng.integers(0, 2**63, 600, np.uint64)
+        other = own.copy()
+        other[:40] = rng.integers(0, 2**63, 40, np.uint64)
+        made[2 * k], made[2 * k + 1] = np.unique(own), np.unique(other)
+    a, b = ngram_join.permutations(38 * 8)
+    rows = []
+    for k, s in made.items():
+        m = ngram_join.signature(s, a, b)
+        rows.append((k, [7], (m >> np.uint32(13)).astype(np.uint8).tobytes(), s.tobytes()))
+    classes = spark.createDataFrame(rows, "rep long, bands array<long>, mins binary, found binary")
+    written = []
+    real = ngram_join.materialize
+    ngram_join.materialize = lambda df, name: written.append(name) or real(df, name)
+    try:
+        tied = ngram_join._ties(classes, lambda reps: reps.join(classes.select("rep", "found"), "rep"), 0.999, 8)
+        got = components(tied.select(F.col("rep").alias("a"), F.col("centre").alias("b"))).collect()
+    finally:
+        ngram_join.materialize = real
+    groups = {r.node: r.component for r in got}
+    assert all(groups.get(2 * k, -1) == groups.get(2 * k + 1) for k in range(150))
+    assert len(set(groups.values())) > 100 and len(written) < 20
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9, 0.95])
+def test_recall_of_the_join(spark, similarity):
+    """Links of pairs at a similarity, against brute force on their full sets."""
+    rng, texts = random.Random(int(similarity * 100)), []
+    for k in range(150):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+        x, spoiled = list(w), 0  # a word inside changes 5 shingles of 200
+        while (200 - spoiled - 5) / (200 + spoiled + 5) >= similarity:
+            x[10 + spoiled] = f"new{k}"
+            spoiled += 5
+        texts += [" ".join(w), " ".join(x)]
+    sets = [set(ngram_join.shingles(t).tolist()) for t in texts]
+    assert all(len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) >= similarity for k in range(150))
+    got = {r.doc_id: r for r in ngram_join.jaccard_links(frame(spark, texts)).collect()}
+    assert sum(got[2 * k].n_links == 1 and got[2 * k + 1].class_id == 2 * k for k in range(150)) >= 148
+
+
+def test_hot_keys_are_joined_by_broadcast(spark, monkeypatch):
+    from rillsync.llm import common
+
+    for module in (common, ngram_join):
+        monkeypatch.setattr(module, "HOT_ROWS", 5)
+        monkeypatch.setattr(module, "HOT_KEYS", 1000)
+    edges = [(i, 0) for i in range(1, 60)] + [(100 + i, 101 + i) for i in range(20)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(60)} | {i: 100 for i in range(100, 121)}
+    near = [" ".join([*NEAR[:60], f"own{i}", *NEAR[61:]]) for i in range(12)]
+    texts = [BASE] * 12 + near + [prose(60)]
+    sets = [set(ngram_join.shingles(t).tolist()) for t in texts]
+    want = [sum(i != j and len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    got = {r.doc_id: r.n_links for r in ngram_join.jaccard_links(frame(spark, texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_join_edges(spark):
+    long = prose(20_000)
+    texts, ids = [long, long + " more", long, None, "", "one", "one", "a b c"], [None, 1, 2, 3, 4, 5, 5, None]
+    got = ngram_join.jaccard_links(frame(spark, texts, ids)).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in got) == [
+        ("1", "1", 1), ("2", "1", 1), ("3", "3", 0), ("4", "4", 0), ("5", "5", 1), ("5", "5", 1), ("None", "None", 0), ("None", "None", 0),
+    ]
+    kept = ngram_join.keep_one(frame(spark, texts, ids)).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "3", "4", "5", "5", "None"]
+    assert ngram_join.keep_one(frame(spark, [])).count() == 0
+
+
 def test_substring_dedup(spark):
     passage = prose(60)
     texts = [f"own one\n{passage}\nmore", f"{prose(20)}\n{passage}\nother end", "Clean. Short.", None, "", passage]

@@ -4,32 +4,36 @@ _UNITS = r"\n|(?:[^\n.!?]|[.!?]+[^\s.!?])+[.!?]*|[.!?]+"
 
 OP1 = rf"""
 WITH pieces AS (
-  SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
-  FROM (SELECT DISTINCT doc_id, regexp_extract_all(text, '{_UNITS}') AS p FROM documents WHERE doc_id IS NOT NULL)
+  SELECT doc, doc_id, text_id, unnest(p) AS piece, generate_subscripts(p, 1) AS k
+  FROM (
+    SELECT doc_id, CAST('0x' || substr(md5(text), 1, 15) AS BIGINT) AS text_id, regexp_extract_all(text, '{_UNITS}') AS p,
+      struct_pack(unnamed := doc_id IS NULL, doc_id := doc_id, text_id := text_id) AS doc
+    FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL))
 ), placed AS (
-  SELECT *, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k) - length(piece) AS place FROM pieces
+  SELECT *, sum(length(piece)) OVER (PARTITION BY doc ORDER BY k) - length(piece) AS place FROM pieces
 ), units AS (
-  SELECT doc_id, k, place + length(piece) - length(regexp_replace(piece, '^\s+', '')) AS s, place + length(regexp_replace(piece, '\s+$', '')) AS e,
+  SELECT doc, k, place + length(piece) - length(regexp_replace(piece, '^\s+', '')) AS s, place + length(regexp_replace(piece, '\s+$', '')) AS e,
     trim(regexp_replace(lower(piece), '\s+', ' ', 'g')) AS body
   FROM placed WHERE regexp_matches(piece, '\S')
 ), counted AS (
   SELECT *, row_number() OVER d AS i, sum(len(string_split(body, ' '))) OVER d AS upto, upto - len(string_split(body, ' ')) AS before
-  FROM units WINDOW d AS (PARTITION BY doc_id ORDER BY k)
+  FROM units WINDOW d AS (PARTITION BY doc ORDER BY k)
 ), bodies AS (
-  SELECT doc_id, list(body ORDER BY i) AS list FROM counted GROUP BY doc_id
+  SELECT doc, list(body ORDER BY i) AS list FROM counted GROUP BY doc
 ), runs AS (
-  SELECT a.doc_id, a.s, b.e, md5(array_to_string(list[a.i:b.i], chr(10))) AS digest
-  FROM counted a ASOF JOIN counted b ON a.doc_id = b.doc_id AND a.before + 12 <= b.upto JOIN bodies ON bodies.doc_id = a.doc_id
+  SELECT a.doc, a.s, b.e, md5(array_to_string(list[a.i:b.i], chr(10))) AS digest
+  FROM counted a ASOF JOIN counted b ON a.doc IS NOT DISTINCT FROM b.doc AND a.before + 12 <= b.upto JOIN bodies ON bodies.doc IS NOT DISTINCT FROM a.doc
 ), later AS (
-  SELECT doc_id, s, e, first.doc_id AS keeper
-  FROM (SELECT *, min(struct_pack(doc_id := doc_id, s := s)) OVER (PARTITION BY digest) AS first FROM runs)
-  WHERE first.doc_id <> doc_id OR first.s <> s
+  SELECT doc, s, e, first.doc.doc_id AS keeper
+  FROM (SELECT *, min(struct_pack(doc := doc, s := s)) OVER (PARTITION BY digest) AS first FROM runs)
+  WHERE first.doc IS DISTINCT FROM doc OR first.s <> s
 ), marked AS (
-  SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY doc_id ORDER BY s, e, keeper ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS opens FROM later
+  SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY doc ORDER BY s, e, keeper ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 0 ELSE 1 END AS opens FROM later
 ), islands AS (
-  SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY s, e, keeper ROWS UNBOUNDED PRECEDING) AS island FROM marked
+  SELECT *, sum(opens) OVER (PARTITION BY doc ORDER BY s, e, keeper ROWS UNBOUNDED PRECEDING) AS island FROM marked
 )
-SELECT doc_id, CAST(min(s) AS BIGINT) AS start, CAST(max(e) AS BIGINT) AS "end", min(keeper) AS keeper_id FROM islands GROUP BY doc_id, island
+SELECT doc.doc_id AS doc_id, doc.text_id AS text_id, CAST(min(s) AS BIGINT) AS start, CAST(max(e) AS BIGINT) AS "end", min(keeper) AS keeper_id
+FROM islands GROUP BY doc, island
 """
 
 _REACH = """

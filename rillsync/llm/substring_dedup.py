@@ -106,60 +106,77 @@ def whole_runs(text: str, least: int = RUN_WORDS) -> list[tuple[int, int, int, i
     return out
 
 
-def repeated_spans(documents: DataFrame, least: int = RUN_WORDS, cut_text: Callable[[str, int], list[tuple[int, int, int, int]]] = runs) -> DataFrame:
-    """Rows (doc_id, start, end, keeper_id): the merged spans to remove from each document, and the least document
-    that keeps an earlier occurrence of a part of it.
+def _named(documents: DataFrame) -> DataFrame:
+    """(doc_id, text_id, text): 60 bits of a text's digest tell rows apart that share a doc_id."""
+    text_id = F.conv(F.substring(F.md5(F.col("text").cast("binary")), 1, 15), 16, 10).cast("long")
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_id.alias("text_id"), "text")
+
 
-    The rank is (doc_id, start). Rows with a null doc_id cannot be named or ranked and are left out. Null, empty and
-    short texts have no runs and no rows (with whole_runs, short texts have their lines); rows that repeat a doc_id repeat its text, so they are taken for one document;
-    other columns are ignored; an empty table gives no rows. Texts of any length are cut whole.
+def repeated_spans(documents: DataFrame, least: int = RUN_WORDS, cut_text: Callable[[str, int], list[tuple[int, int, int, int]]] = runs) -> DataFrame:
+    """Rows (doc_id, text_id, start, end, keeper_id): the merged spans to remove from each document, and the least
+    document that keeps an earlier occurrence of a part of it (null where only documents without an id keep one).
+
+    The rank of an occurrence is (doc_id, text_id, start), null ids last. Rows with a null doc_id take part like the
+    others. Rows that repeat doc_id and text are one document; rows that repeat a doc_id with another text are
+    documents of their own, told apart by text_id. Null, empty and short texts have no runs and no rows (with
+    whole_runs, short texts have their lines). Other columns are ignored; an empty table gives no rows. Texts of any
+    length are cut whole; the spans of one document are merged in one place, and are fewer than its units.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        ids, rows = table.column("doc_id").to_pylist(), []
-        for i, text in zip(ids, table.column("text").to_pylist(), strict=True):
+        rows = []
+        for i, t, text in zip(*(table[c].to_pylist() for c in ("doc_id", "text_id", "text")), strict=True):
             if text:
-                rows += [(i, a, b - a, *h) for a, b, *h in cut_text(text, least)]
-        columns = zip(*rows, strict=True) if rows else [[]] * 5
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "size", "h1", "h2"])
-
-    cut = materialize(map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null"), run, "doc_id long, start long, size long, h1 long, h2 long", rows=512), "runs")
-    rank = F.struct("doc_id", "start")
-    cut, hot = cut.withColumn("bucket", F.pmod("h2", F.lit(BUCKETS))), F.col("n") > max(HOT_ROWS, cut.count() // HOT_DIGESTS)
+                rows += [(i, t, a, b - a, *h) for a, b, *h in cut_text(text, least)]
+        columns = zip(*rows, strict=True) if rows else [[]] * 6
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_id", "start", "size", "h1", "h2"])
+
+    schema = "doc_id long, text_id long, start long, size long, h1 long, h2 long"
+    cut = materialize(map_arrow(_named(documents), run, schema, rows=512), "runs")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_id", "start")
+    limit = max(HOT_ROWS, cut.count() // HOT_DIGESTS)
+    cut, hot = cut.withColumn("bucket", F.pmod("h2", F.lit(BUCKETS))), F.col("n") > limit
     full = F.broadcast(cut.groupBy("bucket").agg(F.count("*").alias("n")).where(hot).select("bucket", F.lit(True).alias("full")))
     # the rows of other buckets are one group without a digest, which joins with nothing
-    few = cut.join(full, "bucket", "left").groupBy(F.when(F.col("full"), F.col("h1")).alias("h1"), F.when(F.col("full"), F.col("h2")).alias("h2"))
-    few = F.broadcast(materialize(few.agg(F.min(rank).alias("first"), F.count("*").alias("n")).where(hot).drop("n"), "hot"))
-    cut = cut.drop("bucket")
+    digest = [F.when(F.col("full"), F.col(h)).alias(h) for h in ("h1", "h2")]
+    few = cut.join(full, "bucket", "left").groupBy(*digest).agg(F.min(rank).alias("first"), F.count("*").alias("n"))
+    few = F.broadcast(materialize(few.where(hot).drop("n"), "hot"))
     # occurrences of a hot digest are dealt out one by one, as their first is known
-    held = cut.join(few, ["h1", "h2"], "left").withColumn("deal", F.when(F.col("first").isNotNull(), F.xxhash64("doc_id", "start")))
+    dealt = F.when(F.col("first").isNotNull(), F.xxhash64("doc_id", "text_id", "start"))
+    held = cut.drop("bucket").join(few, ["h1", "h2"], "left").withColumn("deal", dealt)
     held = held.withColumn("first", F.coalesce("first", F.min(rank).over(Window.partitionBy("h1", "h2", "deal"))))
-    later = held.where((F.col("first.start") != F.col("start")) | (F.col("first.doc_id") != F.col("doc_id")))
-    # the runs of one document are many at most; a document's spans are merged in one place
-    spans = later.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("size")).alias("end"), F.col("first.doc_id").alias("keeper_id")))).alias("spans"))
+    later = held.where(~F.col("first").eqNullSafe(rank))
+    span = F.struct("start", (F.col("start") + F.col("size")).alias("end"), F.col("first.doc_id").alias("keeper_id"))
+    spans = later.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_set(span)).alias("spans"))
 
     def merge(table: pa.Table) -> pa.Table:
         rows = []
-        for i, found in zip(table.column("doc_id").to_pylist(), table.column("spans").to_pylist(), strict=True):
+        for i, t, found in zip(*(table[c].to_pylist() for c in ("doc_id", "text_id", "spans")), strict=True):
             open_ = None
             for s in found:
                 keeper = s["keeper_id"]
                 if open_ and s["start"] <= open_[1] + 1:
-                    open_ = [open_[0], max(open_[1], s["end"]), min(open_[2], keeper)]
+                    least_keeper = min((k for k in (open_[2], keeper) if k is not None), default=None)
+                    open_ = [open_[0], max(open_[1], s["end"]), least_keeper]
                 else:
-                    rows += [(i, *open_)] if open_ else []
+                    rows += [(i, t, *open_)] if open_ else []
                     open_ = [s["start"], s["end"], keeper]
-            rows.append((i, *open_))
-        columns = zip(*rows, strict=True) if rows else [[]] * 4
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "end", "keeper_id"])
+            rows.append((i, t, *open_))
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_id", "start", "end", "keeper_id"])
 
-    return map_arrow(spans, merge, "doc_id long, start long, end long, keeper_id long")
+    return map_arrow(spans, merge, "doc_id long, text_id long, start long, end long, keeper_id long")
 
 
 def remove_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
     """`documents` with each document's spans cut out of its text; rows without spans are unchanged."""
-    cuts = spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
+    cuts = spans.groupBy("doc_id", "text_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
+    cuts = cuts.withColumnsRenamed({"doc_id": "_doc", "text_id": "_text"})
     keep = F.expr("""aggregate(_cuts, struct('' as text, cast(0 as bigint) as at),
         (s, c) -> struct(concat(s.text, substring(text, cast(s.at + 1 as int), cast(c.start - s.at as int))) as text, c.end as at),
         s -> concat(s.text, substring(text, cast(s.at + 1 as int))))""")
-    return documents.join(cuts, documents.doc_id == cuts.doc_id, "left").select(*[(F.when(F.col("_cuts").isNull(), documents.text).otherwise(keep).alias("text") if c == "text" else documents[c]) for c in documents.columns])
+    text_id = F.conv(F.substring(F.md5(F.col("text").cast("binary")), 1, 15), 16, 10).cast("long")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (text_id == F.col("_text"))
+    joined = documents.join(cuts, same, "left")
+    cleaned = F.when(F.col("_cuts").isNull(), F.col("text")).otherwise(keep).alias("text")
+    return joined.select(*[cleaned if c == "text" else F.col(c) for c in documents.columns])

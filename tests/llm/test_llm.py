@@ -627,6 +627,103 @@ def test_toxicity(spark):
     assert toxicity.fit([], []).scores(["x"]).tolist() == [0.0]
 
 
+def held(i):
+    return zlib.crc32(str(i).encode()) % 3 == 1
+
+
+def test_language_folds_and_edges(spark):
+    rng = random.Random(6)
+    pools = {"en": ["the", "and", "with", "house", "thing"], "fr": ["le", "une", "avec", "maison", "chose"]}
+    rows = [(i, " ".join(rng.choices(pools[("en", "fr")[i % 2]], k=20)), ("en", "fr")[i % 2], "x") for i in range(240)]
+    # what is held out would teach another language, as would rows without a language or an id
+    rows = [(i, t, "zz" if held(i) else g, x) for i, t, g, x in rows]
+    rows += [(None, rows[0][1], "zz", "x"), (500, "the thing and house", None, "x"), (501, None, "en", "x"), (502, "", "en", "x"), (502, "", "en", "x")]
+    rows += [(503, "the house " * 30_000, "zz", "x")]  # longer than what is sampled
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, rejected string")
+    model = language_id.fit_from_documents(docs)
+    assert model.languages == ["en", "fr"]
+    got = language_id.identify(docs, model)
+    assert got.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    found = {r.doc_id: r for r in got.collect()}
+    assert got.count() == len(rows) and all(r.held_out == (i is not None and held(i)) for i, r in found.items())
+    right = [found[i].lang_pred == ("en", "fr")[i % 2] for i in range(240) if held(i)]
+    assert sum(right) >= 0.98 * len(right) and found[501].lang_pred == found[502].lang_pred == "und" and found[503].lang_pred == "en"
+    assert language_id.identify(docs.where("false"), model).count() == 0
+    assert language_id.fit_from_documents(docs.where("false")).predict(["abc"])[0] == ["und"]
+
+
+def test_toxicity_folds_and_edges(spark):
+    rng, rows, labels = random.Random(7), [], []
+    for i in range(300):
+        w = [rng.choice(WORDS) for _ in range(40)]
+        if i % 4 == 0:
+            w[rng.randrange(40)] = w[rng.randrange(40)] = "blockhead"
+        rows.append((i, " ".join(w), "x"))
+        labels.append((i, 1, int(i % 4 == 0)))
+    rows += [(None, rows[0][1], "x"), (600, None, "x"), (601, "", "x"), (601, "", "x"), (602, f"{prose(20_000)} blockhead blockhead", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    frames = [
+        spark.createDataFrame(x, "doc_id long, quality int, toxic int")
+        for x in (
+            labels,
+            [(i, q, 1 - t if held(i) else t) for i, q, t in labels],  # held-out labels do not matter
+            [*labels, (3, 1, None), (None, 1, 1), (9, 1, 1), (9, 1, 0)],  # nor do nulls and contradictions
+        )
+    ]
+    models = [toxicity.fit_from_labels(docs, x) for x in frames]
+    scored = [{r.doc_id: r for r in toxicity.score_documents(docs, m).collect()} for m in models]
+    assert [scored[0][i].score for i in range(300)] == [scored[1][i].score for i in range(300)]
+    assert all(r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for x in scored for r in x.values())
+    out = [i for i in range(300) if held(i)]
+    assert all(scored[0][i].held_out == (i in out) for i in range(300))
+    assert sum((scored[0][i].score >= 0.5) == (i % 4 == 0) for i in out) >= 0.95 * len(out)
+    assert toxicity.score_documents(docs, models[0]).count() == len(rows)
+    assert toxicity.score_documents(docs.where("false"), models[0]).count() == 0
+    assert toxicity.drop_toxic(docs.where("false"), models[0]).count() == 0
+    assert toxicity.fit_from_labels(docs.where("false"), frames[0]).bag is None
+
+
+def test_packing_edges(spark):
+    ids = library("byte_bpe_50k.json")
+    texts, rows = [prose(20_000), "a b", "a b", "other", None, "", "no mark at all"], [None, 1, 1, 1, 2, 3, 4]
+    got = pack_documents(frame(spark, texts, rows).coalesce(1), vocabulary_path("byte_bpe_50k.json")).collect()
+    assert sum(r.length for r in got) == sum(len(ids(t)) + 1 for t in texts)
+    assert all(r.ids_crc32 == zlib.crc32(b"\0\0\0\0") and r.doc_tokens == 1 for r in got if r.doc_id in (2, 3))
+    full = {}
+    for r in got:
+        full.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert all(sum(n for _, n in x) <= 1024 for x in full.values())
+    assert pack_documents(frame(spark, []), vocabulary_path("byte_bpe_50k.json")).count() == 0
+
+
+def test_token_output_edges(spark):
+    ids, path = library("word_bpe_49k.json"), vocabulary_path("word_bpe_49k.json")
+    texts, rows = [prose(5000), "b", "a", "a", None, ""], [7, 1, 1, 1, None, 0]
+    got = sorted((r.start, r.n_tokens, -1 if r.doc_id is None else r.doc_id) for r in token_codec.round_trip(frame(spark, texts, rows), path).collect())
+    assert [d for *_, d in got] == [-1, 0, 1, 1, 1, 7]  # null ids come first
+    assert all(got[k + 1][0] == got[k][0] + got[k][1] for k in range(5)) and got[0][0] == 0
+    assert sorted(n for _, n, _ in got) == sorted(len(ids(t or "")) + 1 for t in texts)
+
+
+def test_dedup_edges_equal_sql(spark, tmp_path):
+    import duckdb
+
+    from rillsync.llm.oracles import OP1
+
+    line, other = prose(30).replace(".", ""), prose(25).replace(".", "")
+    texts = [f"{line}\n{other}", line, line, f"{other}\nown {line}", None, "", "short", line, f"x\n{line}", f"{prose(20_000)}\n{line}"]
+    docs = frame(spark, texts, [None, None, 5, 5, 6, 7, 8, 9, 9, 2])
+    docs.union(docs.where("doc_id = 9")).write.parquet(f"{tmp_path}/d.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d.parquet/*.parquet'")
+    got = substring_dedup.repeated_spans(spark.read.parquet(f"{tmp_path}/d.parquet"))
+    want = duck.execute(f"SELECT {', '.join(chr(34) + c + chr(34) for c in got.columns)} FROM ({OP1})").fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got.collect()) and len(want) == 5
+    cleaned = substring_dedup.remove_spans(docs, got).collect()
+    assert len(cleaned) == 10 and [r.text for r in cleaned if r.doc_id == 8] == ["short"]
+    assert sum(line in (r.text or "").split("\n") for r in cleaned) == 1  # the earliest one, in document 2
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -16,7 +16,9 @@ def field(entries: Column, name: str, required: bool = True) -> Column:
     if required:
         other = F.when(loose.isNull(), F.raise_error(F.lit(f"no member {name} in the change"))).otherwise(other)
     # the exact name is a plain lookup; the slower search runs only for rows without it
-    return F.when(entries.isNull(), None).when(F.map_contains_key(entries, name), F.try_element_at(entries, F.lit(name))).otherwise(other)
+    return F.when(entries.isNull(), None).when(
+        F.map_contains_key(entries, name), F.try_element_at(entries, F.lit(name))
+    ).otherwise(other)
 
 
 def has_field(entries: Column, name: str) -> Column:
@@ -43,14 +45,23 @@ def bits_of_int(x: Column, width: int) -> Column:
 def _bytes(x: Column) -> Column:
     """The two hex digits of each byte of a binary."""
     digits = F.hex(x)
-    return F.when(F.length(digits) == 0, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(2)), F.lit(2)), lambda i: F.substr(digits, i, F.lit(2))))
+    return F.when(F.length(digits) == 0, F.array().cast("array<string>")).otherwise(
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(2)), F.lit(2)),
+            lambda i: F.substr(digits, i, F.lit(2))
+        )
+    )
 
 
 def bits_of_base64(x: Column, width: int) -> Column:
     """A bit string: 'true' and 'false' are 1 and 0; else Base64 of little-endian bytes, the last `width` bits."""
-    octets = F.transform(F.reverse(_bytes(F.try_to_binary(x, F.lit("base64")))), lambda h: F.lpad(F.conv(h, 16, 2), 8, "0"))
+    octets = F.transform(
+        F.reverse(_bytes(F.try_to_binary(x, F.lit("base64")))), lambda h: F.lpad(F.conv(h, 16, 2), 8, "0")
+    )
     digits = F.concat_ws("", octets)
-    return F.when(F.lower(x) == "true", "1").when(F.lower(x) == "false", "0").when(x.isNull(), None).otherwise(F.right(F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")), F.lit(width)))
+    return F.when(F.lower(x) == "true", "1").when(F.lower(x) == "false", "0").when(x.isNull(), None).otherwise(
+        F.right(F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")), F.lit(width))
+    )
 
 
 def date_of_days(x: Column) -> Column:
@@ -78,7 +89,10 @@ def time_of_nanos(x: Column, scale: int = 0) -> Column:
     day = F.pmod(x, F.lit(86_400_000_000_000))
     seconds = _whole(day, 10**9)
     two = lambda c: F.lpad(c.cast("string"), 2, "0")
-    text = F.concat_ws(":", two(F.floor(seconds / 3600)), two(F.floor(F.pmod(seconds, F.lit(3600)) / 60)), two(F.pmod(seconds, F.lit(60))))
+    text = F.concat_ws(
+        ":", two(F.floor(seconds / 3600)), two(F.floor(F.pmod(seconds, F.lit(3600)) / 60)),
+        two(F.pmod(seconds, F.lit(60)))
+    )
     if scale <= 0:
         return text
     fraction = F.substring(F.lpad(F.pmod(day, F.lit(10**9)).cast("string"), 9, "0"), 1, scale)
@@ -97,7 +111,9 @@ def decimal_of_base64(x: Column, precision: int, scale: int) -> Column:
     long = F.when(F.get(octets, F.lit(0)) >= 128, raw - span).otherwise(raw).cast("decimal(38,0)")
     value = F.when(F.length(digits) <= 16, short).otherwise(long)
     one = F.lit("0." + "0" * (scale - 1) + "1").cast(f"decimal({max(scale, 1)},{scale})")
-    return (value.cast(f"decimal({max(precision, 1)},0)") * one).cast(f"decimal({precision},{scale})") if scale else value.cast(f"decimal({precision},0)")
+    return (
+        value.cast(f"decimal({max(precision, 1)},0)") * one
+    ).cast(f"decimal({precision},{scale})") if scale else value.cast(f"decimal({precision},0)")
 
 
 def millis_of_seconds(x: Column) -> Column:
@@ -122,7 +138,9 @@ def octal_text(x: Column) -> Column:
 
     def one(h: Column) -> Column:
         n = F.conv(h, 16, 10).cast("int")
-        return F.when(n == 92, F.lit("\\\\")).when((n < 32) | (n > 126), F.concat(F.lit("\\"), F.lpad(F.conv(h, 16, 8), 3, "0"))).otherwise(F.chr(n))
+        return F.when(n == 92, F.lit("\\\\")).when(
+            (n < 32) | (n > 126), F.concat(F.lit("\\"), F.lpad(F.conv(h, 16, 8), 3, "0"))
+        ).otherwise(F.chr(n))
 
     return F.when(x.isNotNull(), F.concat_ws("", F.transform(_bytes(x), one)))
 
@@ -141,7 +159,9 @@ def load_cell(x: Column, kind: str) -> Column:
 def plain_decimal(x: Column) -> Column:
     """A decimal without trailing zeros of its fraction."""
     text = x.cast("string")
-    return F.when(F.instr(text, ".") > 0, F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", "")).otherwise(text)
+    return F.when(
+        F.instr(text, ".") > 0, F.regexp_replace(F.regexp_replace(text, "0+$", ""), r"\.$", "")
+    ).otherwise(text)
 
 
 def compared_cell(x: Column, kind: str) -> Column:

@@ -38,7 +38,9 @@ def newest(rows: DataFrame, table: TableSpec) -> DataFrame:
     keys = list(table.keys)
     rest = [c for c in (*table.columns, "_s", "_gone") if c not in keys]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_s").alias("_last"))
-    return last.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in (*table.columns, "_s", "_gone")])
+    return last.select(
+        *[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c) for c in (*table.columns, "_s", "_gone")]
+    )
 
 
 def overlaid(old: DataFrame, late: DataFrame, table: TableSpec) -> DataFrame:
@@ -83,7 +85,9 @@ class SnapshotStore:
             stream.close()
 
     def _schema(self) -> T.StructType:
-        return T.StructType([*self.table.schema.fields, T.StructField("_s", T.LongType()), T.StructField("_gone", T.BooleanType())])
+        return T.StructType(
+            [*self.table.schema.fields, T.StructField("_s", T.LongType()), T.StructField("_gone", T.BooleanType())]
+        )
 
     def _read(self, folders: list[str]) -> DataFrame:
         paths = [f"{self.root}/{f}" for f in folders]
@@ -122,7 +126,9 @@ class SnapshotStore:
         how = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
         kinds = sc._gateway.new_array(how, 1)
         kinds[0] = how.OVERWRITE
-        context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), sc._jsc.hadoopConfiguration())
+        context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            self._fs.getUri(), sc._jsc.hadoopConfiguration()
+        )
         context.rename(self._fs.makeQualified(new), self._fs.makeQualified(old), kinds)
 
     def apply(self, net: DataFrame, batch: int, source: str = "") -> bool:

@@ -108,7 +108,9 @@ def debezium_headers(records: DataFrame, source: str) -> DataFrame:
     # only text without a payload is looked at again, for the null that makes it a tombstone
     tombstone = F.when(
         F.col("e.payload").isNull(),
-        F.coalesce(F.is_variant_null(F.try_variant_get(F.try_parse_json("value"), "$.payload", "variant")), F.lit(False)),
+        F.coalesce(
+            F.is_variant_null(F.try_variant_get(F.try_parse_json("value"), "$.payload", "variant")), F.lit(False)
+        ),
     ).otherwise(F.lit(False))
     df = df.where(~tombstone)
     readable = F.col(f"e.{_BAD}").isNull() & F.col("e.payload").isNotNull()
@@ -156,7 +158,10 @@ def maxwell_changes(headers: DataFrame, table: TableSpec) -> DataFrame:
         return F.when(D.has_field(old, n), maxwell_value(D.field(old, n, required=False), f)).otherwise(now(n, f))
 
     old_key = F.when((F.col("op") == "U") & old.isNotNull(), _struct(table, table.keys, was))
-    return _canonical(headers.where(f"not ({BROKEN})"), table, _struct(table, table.keys, now), old_key, _struct(table, table.columns, now))
+    return _canonical(
+        headers.where(f"not ({BROKEN})"), table, _struct(table, table.keys, now), old_key,
+        _struct(table, table.columns, now)
+    )
 
 
 def debezium_changes(headers: DataFrame, table: TableSpec) -> DataFrame:
@@ -166,4 +171,6 @@ def debezium_changes(headers: DataFrame, table: TableSpec) -> DataFrame:
         return debezium_value(D.field(F.col("data"), n), f)
 
     key = _struct(table, table.keys, now)
-    return _canonical(headers.where(f"not ({BROKEN})"), table, key, F.when(F.lit(False), key), _struct(table, table.columns, now))
+    return _canonical(
+        headers.where(f"not ({BROKEN})"), table, key, F.when(F.lit(False), key), _struct(table, table.columns, now)
+    )

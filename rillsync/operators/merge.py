@@ -10,9 +10,15 @@ def explode_events(changes: DataFrame) -> DataFrame:
     """Changes to events (key, kind: put or rm, tuple, del, s), of which a change gives one, and two where its key
     changed: the old key is removed before the new one is put."""
     moved = F.col("old_key").isNotNull() & (F.col("op") == "U")
-    gone = F.struct((F.col("seq") * 2).alias("s"), F.col("old_key").alias("key"), F.lit("rm").alias("kind"), F.when(F.lit(False), F.col("tuple")).alias("tuple"), F.lit(True).alias("del"))
+    gone = F.struct(
+        (F.col("seq") * 2).alias("s"), F.col("old_key").alias("key"), F.lit("rm").alias("kind"),
+        F.when(F.lit(False), F.col("tuple")).alias("tuple"), F.lit(True).alias("del")
+    )
     kind = F.when(F.col("op") == "D", "rm").otherwise("put")
-    here = F.struct((F.col("seq") * 2 + 1).alias("s"), F.col("key"), kind.alias("kind"), F.col("tuple"), ((F.col("op") == "D") | ((F.col("op") == "U") & ~moved)).alias("del"))
+    here = F.struct(
+        (F.col("seq") * 2 + 1).alias("s"), F.col("key"), kind.alias("kind"), F.col("tuple"),
+        ((F.col("op") == "D") | ((F.col("op") == "U") & ~moved)).alias("del")
+    )
     return changes.select(F.inline(F.when(moved, F.array(gone, here)).otherwise(F.array(here))))
 
 

@@ -23,13 +23,17 @@ def ordered_checksum(df: DataFrame, keys: list[str]) -> DataFrame:
     """MD5 of all rendered rows in key order. The rows meet in one task, so this is for small tables; checksum() is
     the one for large ones."""
     lines = F.sort_array(F.collect_list(F.struct(*keys, rendered(df).alias("line"))))
-    return df.agg(F.md5(F.concat_ws("", F.transform(lines, lambda s: s["line"]))).alias("checksum"), F.count("*").alias("n_rows"))
+    return df.agg(
+        F.md5(F.concat_ws("", F.transform(lines, lambda s: s["line"]))).alias("checksum"), F.count("*").alias("n_rows")
+    )
 
 
 def checksum(df: DataFrame) -> DataFrame:
     """An order-free checksum: sum and exclusive or of 60 bits of each rendered row's MD5, computed where it lies."""
     h = F.conv(F.substring(F.md5(rendered(df)), 1, 15), 16, 10).cast("bigint")
-    return df.agg(F.sum(h.cast("decimal(38,0)")).alias("sum_hash"), F.bit_xor(h).alias("xor_hash"), F.count("*").alias("n_rows"))
+    return df.agg(
+        F.sum(h.cast("decimal(38,0)")).alias("sum_hash"), F.bit_xor(h).alias("xor_hash"), F.count("*").alias("n_rows")
+    )
 
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from rillsync.operators import envelopes
 from rillsync.sources.schema import TableSpec
 
-ORDERS = TableSpec.of("public.orders", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string", "o_orderkey")
+ORDERS = TableSpec.of(
+    "public.orders", "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string", "o_orderkey"
+)
 MOVED = 10_000_000
 
 #: The same changes in SQL: (s, op, k, ok, c, st, p).
@@ -34,9 +36,20 @@ def orders_records(orders: DataFrame) -> DataFrame:
     moved = k + MOVED
 
     def change(step: int, kind: str, key, status, when, old=None):
-        row = F.struct(key.alias("O_OrderKey"), c.alias("o_custkey"), status.alias("o_orderstatus"), p.alias("o_orderpriority"))
-        before = F.struct((old if old is not None else F.lit(None).cast("bigint")).alias("o_orderkey"), (F.lit("x") if kind == "update" else F.lit(None).cast("string")).alias("o_orderstatus"))
-        doc = F.struct(F.lit("shop").alias("database"), F.lit("orders").alias("table"), F.lit(kind).alias("type"), (F.lit(1_500_000_000) + F.pmod(k, F.lit(1000))).alias("ts"), row.alias("data"), (before if kind == "update" else F.lit(None).cast("struct<o_orderkey:bigint,o_orderstatus:string>")).alias("old"))
+        row = F.struct(
+            key.alias("O_OrderKey"), c.alias("o_custkey"), status.alias("o_orderstatus"), p.alias("o_orderpriority")
+        )
+        before = F.struct(
+            (old if old is not None else F.lit(None).cast("bigint")).alias("o_orderkey"),
+            (F.lit("x") if kind == "update" else F.lit(None).cast("string")).alias("o_orderstatus")
+        )
+        doc = F.struct(
+            F.lit("shop").alias("database"), F.lit("orders").alias("table"), F.lit(kind).alias("type"),
+            (F.lit(1_500_000_000) + F.pmod(k, F.lit(1000))).alias("ts"), row.alias("data"),
+            (
+                before if kind == "update" else F.lit(None).cast("struct<o_orderkey:bigint,o_orderstatus:string>")
+            ).alias("old")
+        )
         return F.when(when, F.struct((k * 10 + step).alias("seq"), F.to_json(doc).alias("value")))
 
     now = F.when(k % 7 == 0, moved).otherwise(k)
@@ -48,7 +61,10 @@ def orders_records(orders: DataFrame) -> DataFrame:
         change(4, "insert", k, F.lit("R"), k % 10 == 0),
     )
     made = orders.select(F.explode(F.array_compact(steps)).alias("m"))
-    return made.select(F.lit("shop").alias("topic"), F.lit(0).alias("partition"), F.col("m.seq").alias("offset"), F.col("m.value").alias("value"), F.col("m.seq").alias("seq"))
+    return made.select(
+        F.lit("shop").alias("topic"), F.lit(0).alias("partition"), F.col("m.seq").alias("offset"),
+        F.col("m.value").alias("value"), F.col("m.seq").alias("seq")
+    )
 
 
 def orders_changes(orders: DataFrame) -> DataFrame:

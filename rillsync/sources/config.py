@@ -53,7 +53,10 @@ class Config:
 
     def kafka_limits(self) -> dict[str, str]:
         """A batch starts at so many rows or after the interval, whichever comes first."""
-        return {"minOffsetsPerTrigger": str(self.batch_rows), "maxTriggerDelay": f"{self.interval_ms}ms", "maxOffsetsPerTrigger": str(2 * self.batch_rows)}
+        return {
+            "minOffsetsPerTrigger": str(self.batch_rows), "maxTriggerDelay": f"{self.interval_ms}ms",
+            "maxOffsetsPerTrigger": str(2 * self.batch_rows)
+        }
 
 
 def parse_properties(text: str) -> dict[str, str]:

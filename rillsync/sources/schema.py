@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-_TYPES = {t.simpleString(): t for t in (T.LongType(), T.IntegerType(), T.ShortType(), T.StringType(), T.BooleanType(), T.BinaryType(), T.DateType(), T.TimestampType(), T.TimestampNTZType(), T.FloatType(), T.DoubleType())}
+_TYPES = {
+    t.simpleString(): t for t in (
+        T.LongType(), T.IntegerType(), T.ShortType(), T.StringType(), T.BooleanType(), T.BinaryType(), T.DateType(),
+        T.TimestampType(), T.TimestampNTZType(), T.FloatType(), T.DoubleType()
+    )
+}
 
 
 def columns_of(ddl: str) -> T.StructType:
@@ -77,12 +82,19 @@ def discover(spark: SparkSession, names: set[str], schemas: dict[str, str]) -> d
     return {name: TableSpec(name, schema, keys) for name, (schema, keys) in found.items()}
 
 
-def primary_keys(classes: DataFrame, attributes: DataFrame, namespaces: DataFrame, indexes: DataFrame, tables: list[str], namespace: str = "public") -> DataFrame:
+def primary_keys(
+    classes: DataFrame, attributes: DataFrame, namespaces: DataFrame, indexes: DataFrame, tables: list[str],
+    namespace: str = "public"
+) -> DataFrame:
     """Primary-key columns by table in key order, from catalog relations: classes (oid, relname, relnamespace),
     attributes (attrelid, attname, attnum), namespaces (oid, nspname), indexes (indrelid, indexrelid, indisprimary, indkey
     array). Rows (table_name, pk_name, key_seq, column_name)."""
-    keyed = indexes.where("indisprimary").select("indrelid", "indexrelid", F.posexplode("indkey").alias("pos", "attnum"))
-    relation = classes.where(F.col("relname").isin(tables)).select(F.col("oid").alias("indrelid"), F.col("relname").alias("table_name"), "relnamespace")
+    keyed = indexes.where("indisprimary").select(
+        "indrelid", "indexrelid", F.posexplode("indkey").alias("pos", "attnum")
+    )
+    relation = classes.where(F.col("relname").isin(tables)).select(
+        F.col("oid").alias("indrelid"), F.col("relname").alias("table_name"), "relnamespace"
+    )
     space = namespaces.where(F.col("nspname") == namespace).select(F.col("oid").alias("relnamespace"))
     named = classes.select(F.col("oid").alias("indexrelid"), F.col("relname").alias("pk_name"))
     column = attributes.select(F.col("attrelid").alias("indrelid"), "attnum", F.col("attname").alias("column_name"))
@@ -92,7 +104,9 @@ def primary_keys(classes: DataFrame, attributes: DataFrame, namespaces: DataFram
 def keys_by_table(keys: DataFrame) -> DataFrame:
     """(table_name, columns): each table's key columns in key order, comma-joined."""
     ordered = F.sort_array(F.collect_list(F.struct("key_seq", "column_name")))
-    return keys.groupBy("table_name").agg(F.concat_ws(",", F.transform(ordered, lambda s: s["column_name"])).alias("columns"))
+    return keys.groupBy("table_name").agg(
+        F.concat_ws(",", F.transform(ordered, lambda s: s["column_name"])).alias("columns")
+    )
 
 
 def require_keys(mapped: set[str], keyed: set[str]) -> None:

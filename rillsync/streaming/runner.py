@@ -65,7 +65,9 @@ class Synchroniser:
         headers = self.headers(records).persist()
         try:
             bad = F.count_if(F.expr(envelopes.BROKEN)).alias("bad")
-            facts = headers.groupBy("target").agg(F.count("*").alias("n"), F.max("produced_ms").alias("latest"), bad).collect()
+            facts = headers.groupBy("target").agg(
+                F.count("*").alias("n"), F.max("produced_ms").alias("latest"), bad
+            ).collect()
             if n_bad := sum(f.bad for f in facts):
                 if self.quarantine is None:
                     raise ValueError(
@@ -94,6 +96,10 @@ class Synchroniser:
 
     def start(self, records: DataFrame, checkpoint: str, interval_ms: int | None = None) -> StreamingQuery:
         """Begin the stream; without an interval it takes what there is and stops."""
-        writer = records.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint).queryName(self.name)
-        writer = writer.trigger(processingTime=f"{interval_ms} milliseconds") if interval_ms else writer.trigger(availableNow=True)
+        writer = records.writeStream.foreachBatch(self.batch).option(
+            "checkpointLocation", checkpoint
+        ).queryName(self.name)
+        writer = writer.trigger(
+            processingTime=f"{interval_ms} milliseconds"
+        ) if interval_ms else writer.trigger(availableNow=True)
         return writer.start()

@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 
 def _iso(ms: int | None) -> str | None:
-    return None if ms is None else datetime.fromtimestamp(ms / 1000, timezone.utc).strftime("%Y-%m-%dT%H:%M:%S.") + f"{ms % 1000:03d}Z"
+    return None if ms is None else datetime.fromtimestamp(
+        ms / 1000, timezone.utc
+    ).strftime("%Y-%m-%dT%H:%M:%S.") + f"{ms % 1000:03d}Z"
 
 
 #: An apply that takes longer is reported with its plan.
@@ -98,8 +100,14 @@ class State:
         return out
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        rows = [(s["source_name"], s["type"], p["latest"], p["delay"], p["state"], p["rows"]) for s in self.all() for p in s["pipelines"]]
-        return spark.createDataFrame(rows, "source_name string, type string, latest string, delay double, state string, n_rows long")
+        rows = [
+            (
+                s["source_name"], s["type"], p["latest"], p["delay"], p["state"], p["rows"]
+            ) for s in self.all() for p in s["pipelines"]
+        ]
+        return spark.createDataFrame(
+            rows, "source_name string, type string, latest string, delay double, state string, n_rows long"
+        )
 
     def serve(self, address: str = "0.0.0.0", port: int = 8080) -> ThreadingHTTPServer:
         """GET / for all sources, /<source> for one, ?pretty for indented JSON; runs in a thread until shut down."""
@@ -149,7 +157,9 @@ class Listener(StreamingQueryListener):
             self.state.began(event.name, "")
 
     def onQueryProgress(self, event) -> None:
-        self.progress[event.progress.name] = {"rows": event.progress.numInputRows, "duration_ms": dict(event.progress.durationMs)}
+        self.progress[event.progress.name] = {
+            "rows": event.progress.numInputRows, "duration_ms": dict(event.progress.durationMs)
+        }
 
     def onQueryIdle(self, event) -> None:
         pass

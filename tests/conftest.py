@@ -6,8 +6,12 @@ from pyspark.sql import SparkSession
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     s = (
-        SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.checkpoint.dir", f"file://{shared}").getOrCreate()
+        SparkSession.builder.master("local[4]").config(
+            "spark.sql.shuffle.partitions", "4"
+        ).config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config(
+            "spark.checkpoint.dir", f"file://{shared}"
+        ).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -71,7 +71,9 @@ def test_a_batch_writes_what_it_changes(spark, tmp_path):
     big = [(i, "I", (i,), None, (i, f"value {i} {'x' * 40}")) for i in range(20_000)]
     store.apply(M.compact(spark.createDataFrame(big, DDL)), 0)
     base = folder_bytes(tmp_path)
-    logs = [[(30_000 + 10 * b + j, "U", (10 * b + j,), None, (10 * b + j, f"new {b}")) for j in range(10)] for b in range(8)]
+    logs = [
+        [(30_000 + 10 * b + j, "U", (10 * b + j,), None, (10 * b + j, f"new {b}")) for j in range(10)] for b in range(8)
+    ]
     for b, log in enumerate(logs, 1):
         before = {f: f.stat().st_size for f in tmp_path.rglob("*.parquet")}
         store.apply(M.compact(spark.createDataFrame(log, DDL)), b)
@@ -95,8 +97,12 @@ def test_sources_share_a_store(spark, tmp_path):
 def test_database_target(spark):
     rng = random.Random(11)
     url = "jdbc:derby:memory:rillsync;create=true"
-    target = Z.JdbcTarget(spark, url, TableSpec.of("t", "k bigint, v string", "k"), {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
-    target.execute("CREATE TABLE t (k BIGINT PRIMARY KEY, v VARCHAR(40))", "INSERT INTO t VALUES (0, 'old'), (3, 'old')")
+    target = Z.JdbcTarget(
+        spark, url, TableSpec.of("t", "k bigint, v string", "k"), {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    )
+    target.execute(
+        "CREATE TABLE t (k BIGINT PRIMARY KEY, v VARCHAR(40))", "INSERT INTO t VALUES (0, 'old'), (3, 'old')"
+    )
     log = random_log(rng, 20)
     net = M.compact(spark.createDataFrame(log, DDL))
     want = replay({0: "old", 3: "old"}, log)
@@ -109,7 +115,11 @@ def test_database_target(spark):
 
 
 def test_load_files(spark, tmp_path):
-    net = M.compact(spark.createDataFrame([(1, "I", (1,), None, (1, 'a"b')), (2, "D", (2,), None, None), (3, "I", (3,), None, (3, None))], DDL))
+    net = M.compact(
+        spark.createDataFrame(
+            [(1, "I", (1,), None, (1, 'a"b')), (2, "D", (2,), None, None), (3, "I", (3,), None, (3, None))], DDL
+        )
+    )
     Z.write_load_files(net, f"file://{tmp_path}/b0")
     read = lambda p: sorted(r.value for r in spark.read.text(f"file://{tmp_path}/b0/{p}").collect())
     assert read("delete") == ["2"] and read("insert") == ['1|"a\\"b"', "3|"]

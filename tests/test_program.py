@@ -56,7 +56,13 @@ def root(tmp_path):
         shop(4, "c", "delete", {"x": 1, "y": 1, "z": "p"}), shop(5, "other", "insert", {"id": 1}),
         {"topic": "shop", "partition": 0, "offset": 6, "value": '{"database":"d","table":"a","ty'},
     ])
-    put(tmp_path / "pg", "0.json", [pg(0, "r", {"id": 100, "name": "x"}), pg(1, "u", {"id": 100, "name": "y"}), pg(2, "c", {"id": 101, "name": "z"}), pg(3, "d", {"id": 101, "name": "z"})])
+    put(
+        tmp_path / "pg", "0.json",
+        [
+            pg(0, "r", {"id": 100, "name": "x"}), pg(1, "u", {"id": 100, "name": "y"}),
+            pg(2, "c", {"id": 101, "name": "z"}), pg(3, "d", {"id": 101, "name": "z"})
+        ]
+    )
     return tmp_path
 
 
@@ -115,6 +121,8 @@ def test_several_partitions_fail(spark, root):
 
 
 def test_a_target_without_a_key_is_an_error(spark, root):
-    (root / "tables.properties").write_text("public.one = id bigint, name string\npublic.one.key = id\npublic.two = x int\n")
+    (root / "tables.properties").write_text(
+        "public.one = id bigint, name string\npublic.one.key = id\npublic.two = x int\n"
+    )
     with pytest.raises(ValueError, match="no primary key for public.two"):
         Program(spark, load_config(str(root / "config.properties")))

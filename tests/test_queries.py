@@ -17,7 +17,9 @@ def duck():
     c = duckdb.connect()
     for t in TABLES:
         p = f"{DATA}/{t}.parquet"
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{p}/*.parquet'" if os.path.isdir(p) else f"CREATE VIEW {t} AS SELECT * FROM '{p}'")
+        c.execute(
+            f"CREATE VIEW {t} AS SELECT * FROM '{p}/*.parquet'" if os.path.isdir(p) else f"CREATE VIEW {t} AS SELECT * FROM '{p}'"
+        )
     return c
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -37,17 +38,22 @@ def texts_of(table: pa.Table, column: str = "text") -> list[str]:
 
 def sample_rows(df: DataFrame, key: str, rows: int) -> DataFrame:
     """A bounded sample for fitting a model: rows whose key hash falls in the first rows / (count of rows) of its
-    range, so about `rows` of them (all, where there are fewer), and twice as many at most. Nothing but a count and
-    the sample itself leaves the scan."""
+    range, so about `rows` of them (all, where there are fewer), and hardly more at most. Nothing but a count and the
+    sample itself leaves the scan."""
     share = min(1.0, rows / max(1, df.select(key).count()))
     if share < 1:
         df = df.where(F.xxhash64(F.col(key)) < F.lit(int(-(2**63) + share * 2**64)))
-    return df.limit(2 * rows)
+    return df.limit(most_of(rows))
+
+
+def most_of(rows: int) -> int:
+    """What a sample of about so many rows has at most: the mean and six standard deviations."""
+    return rows + math.ceil(6 * math.sqrt(rows))
 
 
 def sample_texts(df: DataFrame, rows: int, chars: int, key: str = "doc_id") -> list:
-    """At most 2 * rows rows of df for fitting a model, collected, none of whose texts is null or has more than `chars`
-    characters: the driver holds 2 * rows * chars characters at most, whatever the corpus."""
+    """About `rows` rows of df for fitting a model, collected, none of whose texts is null or has more than `chars`
+    characters: the driver holds most_of(rows) * chars characters at most, whatever the corpus."""
     return sample_rows(df.where(F.col("text").isNotNull() & (F.length("text") <= chars)), key, rows).collect()
 
 
@@ -127,7 +133,9 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def block_pairs(members: DataFrame, group: str, key: str, block_rows: int, bytes_of: str | None = None, block_bytes: int = 1 << 24) -> DataFrame:
+def block_pairs(
+    members: DataFrame, group: str, key: str, block_rows: int, bytes_of: str | None = None, block_bytes: int = 1 << 24
+) -> DataFrame:
     """Deal each group's rows to tasks that hold two blocks of it at most.
 
     A group gets a block for every `block_rows` rows, or every `block_bytes` bytes of the column `bytes_of` where these

@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillsync.llm.common import is_held_out, map_arrow, sample_rows, texts_of
+from rillsync.llm.common import is_held_out, map_arrow, most_of, sample_rows, texts_of
 from rillsync.llm.subword_bag import Bag, buffer, logistic, segments, train
 
 #: Labelled texts the model is fitted on at most, and characters of such a text at most (longer ones are not sampled).
-SAMPLE_ROWS, SAMPLE_CHARS = 4_000, 16_384
+SAMPLE_ROWS, SAMPLE_CHARS = 8_000, 16_384
 #: Half a window, in bytes; windows overlap by half.
 HALF = 64
 THRESHOLD = 0.7
@@ -56,7 +56,10 @@ class Model:
         return np.where(n > 0, 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30))), self.prior)
 
 
-def fit(texts: list[str], labels: list[int], bits: int = 18, dims: int = 2, sizes: tuple[int, ...] = (3, 4, 5, 6), seed: int = 7) -> Model:
+def fit(
+    texts: list[str], labels: list[int], bits: int = 18, dims: int = 2, sizes: tuple[int, ...] = (3, 4, 5, 6),
+    seed: int = 7
+) -> Model:
     """Fit on labelled texts (1 is toxic). Without both labels the score is the share of toxic texts (0 for none)."""
     y = np.array(labels, np.int64)
     prior = float(y.mean()) if len(y) else 0.0
@@ -77,7 +80,9 @@ def fit(texts: list[str], labels: list[int], bits: int = 18, dims: int = 2, size
     _, state = train(data, at, end, target, weight, 2, sizes, bits, dims, epochs, 0.3, seed)
     for _ in range(2):
         emb, out, bias, _seen = state
-        margin_bag = Bag((emb @ (out[:, 1:] - out[:, :1])).astype(np.float32), np.array([bias[1] - bias[0]], float), sizes, bits)
+        margin_bag = Bag(
+            (emb @ (out[:, 1:] - out[:, :1])).astype(np.float32), np.array([bias[1] - bias[0]], float), sizes, bits
+        )
         total, count = margin_bag.sums(data, at, end)
         margin = total[:, 0] / np.maximum(count, 12) + margin_bag.bias[0]
         # a toxic text's windows count as toxic where they stand out from those of the clean texts
@@ -89,22 +94,31 @@ def fit(texts: list[str], labels: list[int], bits: int = 18, dims: int = 2, size
         weight = np.where(target == 1, min(30.0, 0.5 / max(1e-3, target.mean())), 1.0)
         _, state = train(data, at, end, target, weight, 2, sizes, bits, dims, max(1, epochs // 3), 0.3, seed + 1, state)
     emb, out, bias, _seen = state
-    model = Model(Bag((emb @ (out[:, 1:] - out[:, :1])).astype(np.float32), np.array([bias[1] - bias[0]], float), sizes, bits), np.zeros(3), prior)
+    model = Model(
+        Bag((emb @ (out[:, 1:] - out[:, :1])).astype(np.float32), np.array([bias[1] - bias[0]], float), sizes, bits),
+        np.zeros(3), prior
+    )
     worst, n = model.features([texts[i] for i in np.flatnonzero(back)])
     ok = n > 0
     model.weights = logistic(np.stack([worst[ok], np.log1p(n[ok]), np.ones(ok.sum())], 1), y[back][ok])
     return model
 
 
-def fit_from_labels(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
+def fit_from_labels(
+    documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS
+) -> Model:
     """Fit on a sample of about `rows` labelled texts of at most `chars` characters, outside the held-out fold. Null
     labels and texts, and documents whose labels contradict one another, are left out."""
-    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and doc_id is not null")
-    known = known.where(~is_held_out()).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
+    known = labels.select(
+        "doc_id", F.col("toxic").cast("int").alias("toxic")
+    ).where("toxic in (0, 1) and doc_id is not null")
+    known = known.where(~is_held_out()).groupBy("doc_id").agg(
+        F.min("toxic").alias("toxic"), F.max("toxic").alias("most")
+    )
     known = known.where("toxic = most").select("doc_id", "toxic")
     # a bounded sample of the labels is broadcast: the texts are filtered where they lie
     texts = documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= chars))
-    got = texts.join(F.broadcast(sample_rows(known, "doc_id", rows)), "doc_id").limit(2 * rows).collect()
+    got = texts.join(F.broadcast(sample_rows(known, "doc_id", rows)), "doc_id").limit(most_of(rows)).collect()
     return fit([r.text for r in got], [r.toxic for r in got])
 
 
@@ -117,10 +131,17 @@ def score_documents(documents: DataFrame, model: Model, threshold: float = THRES
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(table: pa.Table) -> pa.Table:
-        return pa.table({"doc_id": table.column("doc_id"), "score": pa.array(shared.value.scores(texts_of(table)), pa.float64())})
-
-    scored = map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double", rows=512)
-    return scored.select("doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+        return pa.table(
+            {"doc_id": table.column("doc_id"), "score": pa.array(shared.value.scores(texts_of(table)), pa.float64())}
+        )
+
+    scored = map_arrow(
+        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, score double",
+        rows=512
+    )
+    return scored.select(
+        "doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
 
 
 def drop_toxic(documents: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

@@ -117,7 +117,9 @@ def nearest_stretch(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int,
         inserted = np.r_[-1, far[:-1]]  # a word of the text that the item lacks
         missing = np.r_[np.where(far[1:] >= 0, far[1:] + 1, -1), -1]
         best = np.maximum(np.maximum(changed, inserted), missing)
-        origin = np.where(best == changed, start, np.where(best == inserted, np.r_[-1, start[:-1]], np.r_[start[1:], -1]))
+        origin = np.where(
+            best == changed, start, np.where(best == inserted, np.r_[-1, start[:-1]], np.r_[start[1:], -1])
+        )
         # an item whose first words are missing starts at the text's first word
         empty = (best < 0) & (diagonal == -edits - 1)
         best[empty], origin[empty] = edits + 1, 0
@@ -197,7 +199,9 @@ def tables_for(size: int, similarity: float, recall: float) -> int:
 class Index:
     """A block of the benchmark: the hash tables of its items by size, and its runs of words."""
 
-    def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, recall: float = RECALL, sieve: bool = True):
+    def __init__(
+        self, items: list[tuple[int, str]], similarity: float = SIMILARITY, recall: float = RECALL, sieve: bool = True
+    ):
         found = [(i, words(t)) for i, t in items]
         found = [(i, w) for i, w in found if w]
         self.items = [(i, np.array([word_hash(x) for x in w], np.uint64)) for i, w in found]
@@ -221,7 +225,9 @@ class Index:
             q = min(RUN, -(-(n - most) // (most + 1)))
             self.least[k] = max(1, n - q + 1 - q * most)
             offsets = np.arange(n - q + 1)
-            runs[q].append(np.stack([self._number(own, offsets, q).view(np.int64), np.full(len(offsets), k), offsets], 1))
+            runs[q].append(
+                np.stack([self._number(own, offsets, q).view(np.int64), np.full(len(offsets), k), offsets], 1)
+            )
         self.runs = {}
         for q, parts in runs.items():
             table = np.concatenate(parts)
@@ -239,7 +245,9 @@ class Index:
                 out = (out ^ (ids[at + k] * _ODD)) * _MIX
         return out ^ (out >> np.uint64(32))
 
-    def _expanded(self, table, at: np.ndarray, place: np.ndarray, low: int, high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def _expanded(
+        self, table, at: np.ndarray, place: np.ndarray, low: int, high: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(places of the text, rows of the table) of runs that agree, for all items from low to high in ranges with
         bounded numbers of them."""
         _, keys, _, _ = table
@@ -288,7 +296,9 @@ class Index:
                 np.add.at(step, good, 1)
                 np.add.at(step, good + agree[good], -1)
                 chosen = np.flatnonzero(np.cumsum(step[:-1]) > 0)
-                for p, d, k in zip(pair[chosen].tolist(), diagonal[chosen].tolist(), item[chosen].tolist(), strict=True):
+                for p, d, k in zip(
+                    pair[chosen].tolist(), diagonal[chosen].tolist(), item[chosen].tolist(), strict=True
+                ):
                     out[p // span, int(self.size[k])].add(d - self.bias)
         return out
 
@@ -359,7 +369,9 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int,
     yield block
 
 
-def find_leaks(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def find_leaks(
+    documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Rows (doc_id, item_id, distance, first_word, end_word): each item that leaks into each document, with its
     nearest stretch in words of the document.
 
@@ -404,7 +416,9 @@ def _index(items: list, similarity: float) -> Index:
     return held[1]
 
 
-def drop_leaking(documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def drop_leaking(
+    documents: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """The rows of `documents` that no item leaks into, with all their columns, rows with a null doc_id among them. The
     blocks of the benchmark are looked for one after another in one scan."""
     kept, spark = documents, documents.sparkSession

@@ -34,7 +34,9 @@ class Model:
         at, owner = segments(starts, 4096)
         total, count = self.bag.sums(data, at, int(starts[-1]))
         first = np.searchsorted(owner, np.arange(len(texts)))
-        return np.add.reduceat(total, first, axis=0) / np.maximum(np.add.reduceat(count, first), 1)[:, None] + self.bag.bias
+        return np.add.reduceat(total, first, axis=0) / np.maximum(
+            np.add.reduceat(count, first), 1
+        )[:, None] + self.bag.bias
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         """Language and calibrated score of each text; UNKNOWN and 0 without a letter or a model."""
@@ -45,10 +47,15 @@ class Model:
         p /= p.sum(1, keepdims=True)
         lettered = np.array([any(map(str.isalpha, t)) for t in texts])
         best = p.argmax(1)
-        return [self.languages[b] if a else UNKNOWN for a, b in zip(lettered, best, strict=True)], np.where(lettered, p.max(1), 0.0)
+        return [
+            self.languages[b] if a else UNKNOWN for a, b in zip(lettered, best, strict=True)
+        ], np.where(lettered, p.max(1), 0.0)
 
 
-def fit(texts: list[str], langs: list[str], bits: int = 16, dims: int = 8, sizes: tuple[int, ...] = (2, 3, 4), precision: float = 0.99, seed: int = 5) -> Model:
+def fit(
+    texts: list[str], langs: list[str], bits: int = 16, dims: int = 8, sizes: tuple[int, ...] = (2, 3, 4),
+    precision: float = 0.99, seed: int = 5
+) -> Model:
     """Fit on texts of known language. reject_below is the least score at which, on the texts held back, at least
     `precision` of the predictions at or above it are right."""
     languages = sorted(set(langs))
@@ -65,7 +72,10 @@ def fit(texts: list[str], langs: list[str], bits: int = 16, dims: int = 8, sizes
     # every text counts the same however long it is, and every language as much as its texts
     weight = (1.0 / n)[owner] * len(at) / len(chosen)
     epochs = min(12, max(1, math.ceil(60_000 / max(1, len(at)))))
-    bag, _ = train(data, at, int(starts[-1]), y[chosen][owner], np.minimum(weight, 20), len(languages), sizes, bits, dims, epochs, 0.1, seed)
+    bag, _ = train(
+        data, at, int(starts[-1]), y[chosen][owner], np.minimum(weight, 20), len(languages), sizes, bits, dims, epochs,
+        0.1, seed
+    )
     model = Model(bag, languages, 1.0, 0.0)
     if back.any():
         z, t = model.logits([texts[i] for i in np.flatnonzero(back)]), y[back]
@@ -89,7 +99,9 @@ def fit(texts: list[str], langs: list[str], bits: int = 16, dims: int = 8, sizes
 def fit_from_documents(documents: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
     """Fit on a sample of about `rows` texts of known language, of at most `chars` characters, outside the held-out
     fold."""
-    known = documents.select("doc_id", "text", "lang").where("lang is not null and doc_id is not null").where(~is_held_out())
+    known = documents.select("doc_id", "text", "lang").where(
+        "lang is not null and doc_id is not null"
+    ).where(~is_held_out())
     got = sample_texts(known, rows, chars)
     return fit([r.text for r in got], [r.lang for r in got])
 
@@ -106,7 +118,15 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         langs, scores = model.predict(texts_of(table))
         rejected = [g == UNKNOWN or s < model.reject_below for g, s in zip(langs, scores, strict=True)]
-        return pa.table({"doc_id": table.column("doc_id"), "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64()), "rejected": pa.array(rejected, pa.bool_())})
-
-    found = map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, "doc_id long, lang_pred string, score double, rejected boolean", rows=512)
+        return pa.table(
+            {
+                "doc_id": table.column("doc_id"), "lang_pred": pa.array(langs, pa.string()),
+                "score": pa.array(scores, pa.float64()), "rejected": pa.array(rejected, pa.bool_())
+            }
+        )
+
+    found = map_arrow(
+        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
+        "doc_id long, lang_pred string, score double, rejected boolean", rows=512
+    )
     return found.select("doc_id", is_held_out().alias("held_out"), "lang_pred", "score", "rejected")

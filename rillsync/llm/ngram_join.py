@@ -71,7 +71,9 @@ def _digest(found: bytes) -> tuple[int, int]:
 
 def permutations(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return rng.integers(1, 2**32, n, np.uint64).astype(np.uint32) | np.uint32(1), rng.integers(0, 2**32, n, np.uint64).astype(np.uint32)
+    return rng.integers(
+        1, 2**32, n, np.uint64
+    ).astype(np.uint32) | np.uint32(1), rng.integers(0, 2**32, n, np.uint64).astype(np.uint32)
 
 
 def signature(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -85,7 +87,11 @@ def signature(found: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _band_hashes(m: np.ndarray, bands: int, rows: int, first: int = 0) -> list[int]:
-    return [xxhash.xxh3_64_intdigest(m[i * rows : (i + 1) * rows].tobytes(), seed=first + i) - (1 << 63) for i in range(bands)]
+    return [
+        xxhash.xxh3_64_intdigest(
+            m[i * rows : (i + 1) * rows].tobytes(), seed=first + i
+        ) - (1 << 63) for i in range(bands)
+    ]
 
 
 def _signatures(documents: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
@@ -116,7 +122,9 @@ def _signatures(documents: DataFrame, words: int, bands: int, rows: int) -> Data
 
 def _agreement(table: pa.Table) -> pa.Table:
     """(rep, centre, score): the estimate of the Jaccard similarity from a byte of each least hash."""
-    x, y = (np.frombuffer(b"".join(table[c].to_pylist()), np.uint8).reshape(table.num_rows, -1) for c in ("mins", "mins2"))
+    x, y = (
+        np.frombuffer(b"".join(table[c].to_pylist()), np.uint8).reshape(table.num_rows, -1) for c in ("mins", "mins2")
+    )
     score = ((x == y).mean(1) - 1 / 256) * 256 / 255
     return pa.table({"rep": table["rep"], "centre": table["centre"], "score": pa.array(score)})
 
@@ -161,13 +169,19 @@ def _longer_bands(sets: DataFrame, recall: float, rows: int) -> DataFrame:
     a, b = permutations(bands * rows, seed=13)
 
     def run(table: pa.Table) -> pa.Table:
-        found = [_band_hashes(signature(np.frombuffer(s, np.uint64), a, b), bands, rows, 1 << 20) for s in table["found"].to_pylist()]
+        found = [
+            _band_hashes(
+                signature(np.frombuffer(s, np.uint64), a, b), bands, rows, 1 << 20
+            ) for s in table["found"].to_pylist()
+        ]
         return pa.table({"rep": table.column("rep"), "bands": pa.array(found, pa.list_(pa.int64()))})
 
     cut = map_arrow(sets.select("rep", "found"), run, "rep long, bands array<long>", rows=256)
     buckets = materialize(cut.select("rep", F.explode("bands").alias("band")), "long-bands")
     sizes = buckets.groupBy("band").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    return join_hot(buckets, sizes.select("band", "centre"), "band").where("rep <> centre").select("rep", "centre").distinct()
+    return join_hot(
+        buckets, sizes.select("band", "centre"), "band"
+    ).where("rep <> centre").select("rep", "centre").distinct()
 
 
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -224,10 +238,14 @@ def _verify(key: tuple, group: pd.DataFrame, threshold: float) -> pd.DataFrame:
         both = np.concatenate(reps)
         rows += [(int(both[i]), int(both[j]), 0) for i, j in forest(k + len(reps[1]), a, b + k)]
     rep, other, counts = zip(*rows, strict=True) if rows else [()] * 3
-    return pd.DataFrame({"rep": np.array(rep, np.int64), "other": pd.array(list(other), "Int64"), "links": np.array(counts, np.int64)})
+    return pd.DataFrame(
+        {"rep": np.array(rep, np.int64), "other": pd.array(list(other), "Int64"), "links": np.array(counts, np.int64)}
+    )
 
 
-def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS) -> DataFrame:
+def jaccard_links(
+    documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS
+) -> DataFrame:
     """Per row of `documents` (doc_id, text): doc_id, class_id (the least doc_id that links lead to, itself
     included), n_links (other rows whose shingle set has a Jaccard similarity of at least the threshold), copy_id (the
     least doc_id with the same shingle set).
@@ -265,11 +283,17 @@ def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, recall: fl
         got = texts.select("rep", *(f.name for f in more), "c1", "c2", "text")
         return map_arrow(got, run, kinds, rows=512).dropDuplicates(["rep"])
 
-    groups = components(_ties(classes, sets_of, recall, rows).select(F.col("rep").alias("a"), F.col("centre").alias("b")))
-    members = classes.select("rep", "n_rows").join(groups.withColumnsRenamed({"node": "rep", "component": "cluster"}), "rep")
+    groups = components(
+        _ties(classes, sets_of, recall, rows).select(F.col("rep").alias("a"), F.col("centre").alias("b"))
+    )
+    members = classes.select("rep", "n_rows").join(
+        groups.withColumnsRenamed({"node": "rep", "component": "cluster"}), "rep"
+    )
     full = materialize(sets_of(materialize(members, "members")), "sets")
     dealt = block_pairs(full, "cluster", "rep", BLOCK_ROWS, "found", BLOCK_BYTES)
-    verified = dealt.groupBy("pair").applyInPandas(lambda key, g: _verify(key, g, threshold), "rep long, other long, links long")
+    verified = dealt.groupBy("pair").applyInPandas(
+        lambda key, g: _verify(key, g, threshold), "rep long, other long, links long"
+    )
     found = materialize(verified, "links")
     linked = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))
     linked = linked.withColumnRenamed("node", "rep")
@@ -277,12 +301,17 @@ def jaccard_links(documents: DataFrame, threshold: float = THRESHOLD, recall: fl
     names = linked.join(classes.select("rep", "least"), "rep").groupBy("component").agg(F.min("least").alias("name"))
     linked = join_hot(linked, names, "component").select("rep", "name")
     n_links = (F.coalesce("links", F.lit(0)) + F.col("n_rows") - 1).alias("n_links")
-    per_class = classes.select("c1", "c2", "rep", "least", "n_rows").join(counted, "rep", "left").join(linked, "rep", "left")
+    per_class = classes.select(
+        "c1", "c2", "rep", "least", "n_rows"
+    ).join(counted, "rep", "left").join(linked, "rep", "left")
     per_class = per_class.select("c1", "c2", "least", F.coalesce("name", "least").alias("class_id"), n_links)
     # rows of single texts are joined by a shuffle, those of large classes of copies where they lie
     real = F.col("doc_id").isNotNull()
     alone = signed.select("doc_id", "c1", "c2").where("doc_id is null or c1 is null")
-    alone = alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("copy_id"))
+    alone = alone.select(
+        "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.col("doc_id").alias("copy_id")
+    )
     shown = _by_class(named.select("doc_id", "c1", "c2"), per_class, classes)
     return shown.select("doc_id", "class_id", "n_links", F.col("least").alias("copy_id")).unionByName(alone)
 
@@ -298,7 +327,9 @@ def _by_class(rows: DataFrame, per_class: DataFrame, classes: DataFrame) -> Data
     return near.unionByName(rows.join(hot, key, "left_anti").join(per_class, key))
 
 
-def keep_one(documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS) -> DataFrame:
+def keep_one(
+    documents: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, words: int = WORDS
+) -> DataFrame:
     """`documents` with one document of each class: the one of least doc_id, with the rows that repeat it. Rows with a
     null doc_id are numbered after all others, so one of them stays where its class has no other."""
     columns = documents.columns

@@ -188,4 +188,6 @@ def pack_documents(
         if rows:
             yield flush()
 
-    return documents.select(documents.doc_id.cast("long").alias("doc_id"), documents.text.alias("text")).mapInArrow(run, PIECES)
+    return documents.select(
+        documents.doc_id.cast("long").alias("doc_id"), documents.text.alias("text")
+    ).mapInArrow(run, PIECES)

@@ -63,7 +63,12 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring_dedup, op1_whole_dedup, op2_secret_scan, op3_packing, op4_language_id, op5_token_counts, op6_ngram_join, op7_toxicity, op8_decontamination, op9_token_output, op10_embedding_dedup)}
+    return {
+        f.__name__: f for f in (
+            op1_substring_dedup, op1_whole_dedup, op2_secret_scan, op3_packing, op4_language_id, op5_token_counts,
+            op6_ngram_join, op7_toxicity, op8_decontamination, op9_token_output, op10_embedding_dedup
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:

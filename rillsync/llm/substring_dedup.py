@@ -112,7 +112,9 @@ def _named(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_id.alias("text_id"), "text")
 
 
-def repeated_spans(documents: DataFrame, least: int = RUN_WORDS, cut_text: Callable[[str, int], list[tuple[int, int, int, int]]] = runs) -> DataFrame:
+def repeated_spans(
+    documents: DataFrame, least: int = RUN_WORDS, cut_text: Callable[[str, int], list[tuple[int, int, int, int]]] = runs
+) -> DataFrame:
     """Rows (doc_id, text_id, start, end, keeper_id): the merged spans to remove from each document, and the least
     document that keeps an earlier occurrence of a part of it (null where only documents without an id keep one).
 
@@ -129,14 +131,18 @@ def repeated_spans(documents: DataFrame, least: int = RUN_WORDS, cut_text: Calla
             if text:
                 rows += [(i, t, a, b - a, *h) for a, b, *h in cut_text(text, least)]
         columns = zip(*rows, strict=True) if rows else [[]] * 6
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_id", "start", "size", "h1", "h2"])
+        return pa.table(
+            [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_id", "start", "size", "h1", "h2"]
+        )
 
     schema = "doc_id long, text_id long, start long, size long, h1 long, h2 long"
     cut = materialize(map_arrow(_named(documents), run, schema, rows=512), "runs")
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_id", "start")
     limit = max(HOT_ROWS, cut.count() // HOT_DIGESTS)
     cut, hot = cut.withColumn("bucket", F.pmod("h2", F.lit(BUCKETS))), F.col("n") > limit
-    full = F.broadcast(cut.groupBy("bucket").agg(F.count("*").alias("n")).where(hot).select("bucket", F.lit(True).alias("full")))
+    full = F.broadcast(
+        cut.groupBy("bucket").agg(F.count("*").alias("n")).where(hot).select("bucket", F.lit(True).alias("full"))
+    )
     # the rows of other buckets are one group without a digest, which joins with nothing
     digest = [F.when(F.col("full"), F.col(h)).alias(h) for h in ("h1", "h2")]
     few = cut.join(full, "bucket", "left").groupBy(*digest).agg(F.min(rank).alias("first"), F.count("*").alias("n"))
@@ -163,7 +169,9 @@ def repeated_spans(documents: DataFrame, least: int = RUN_WORDS, cut_text: Calla
                     open_ = [s["start"], s["end"], keeper]
             rows.append((i, t, *open_))
         columns = zip(*rows, strict=True) if rows else [[]] * 5
-        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_id", "start", "end", "keeper_id"])
+        return pa.table(
+            [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "text_id", "start", "end", "keeper_id"]
+        )
 
     return map_arrow(spans, merge, "doc_id long, text_id long, start long, end long, keeper_id long")
 

@@ -43,7 +43,9 @@ def grams(part: np.ndarray, length: int, sizes: tuple[int, ...], bits: int):
         if n > 2:
             bad = bad | space[n - 2 : len(space) - 1]
         if n in sizes:
-            k = (h[:length] ^ (h[:length] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)
+            k = (
+                h[:length] ^ (h[:length] >> np.uint32(15))
+            ) * np.uint32(0x85EBCA6B) + np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)
             k >>= np.uint32(32 - bits)
             k[(bad[:length]) | (space[:length] & space[1 : length + 1])] = 0
             yield k
@@ -73,13 +75,18 @@ class Bag:
         return total, count
 
 
-def train(data: np.ndarray, at: np.ndarray, end: int, target: np.ndarray, weight: np.ndarray, classes: int, sizes: tuple[int, ...], bits: int, dims: int, epochs: int, rate: float, seed: int = 1, bag: tuple | None = None) -> tuple[Bag, tuple]:
+def train(
+    data: np.ndarray, at: np.ndarray, end: int, target: np.ndarray, weight: np.ndarray, classes: int,
+    sizes: tuple[int, ...], bits: int, dims: int, epochs: int, rate: float, seed: int = 1, bag: tuple | None = None
+) -> tuple[Bag, tuple]:
     """Fit on segments with a class and a weight each, by minibatches with Adagrad steps; `bag` goes on from there."""
     rng = np.random.default_rng(seed)
     if bag is None:
         emb = np.asfortranarray(rng.normal(0, 0.1, (1 << bits, dims)).astype(np.float32))
         out, bias = rng.normal(0, 1.0, (dims, classes)).astype(np.float32), np.zeros(classes, np.float32)
-        seen = np.full((1 << bits, dims), 1e-8, np.float32, order="F"), np.full((dims, classes), 1e-6, np.float32), np.full(classes, 1e-6, np.float32)
+        seen = np.full(
+            (1 << bits, dims), 1e-8, np.float32, order="F"
+        ), np.full((dims, classes), 1e-6, np.float32), np.full(classes, 1e-6, np.float32)
     else:
         emb, out, bias, seen = bag
     emb[0] = 0

@@ -46,7 +46,9 @@ class Encoder:
 
     def chunks(self, text: str) -> tuple[str, list[str]]:
         """The text's first chunk and the others, these without the space that goes before each."""
-        if not self.words and ("  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _SPACES.search(text)):
+        if not self.words and (
+            "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _SPACES.search(text)
+        ):
             first, *rest = _BOUNDARY.split(text)
         else:
             first, *rest = text.split(" ")

@@ -375,14 +375,23 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
         def flush() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(held), "<u4")
             data = pack_segment(names, [len(h) // 4 for h in held], ids)
-            out = pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([before], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())], names=["part", "segment", "before", "n_ids", "data"])
+            out = pa.RecordBatch.from_arrays(
+                [
+                    pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([before], pa.int64()),
+                    pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())
+                ],
+                names=["part", "segment", "before", "n_ids", "data"]
+            )
             names.clear(), held.clear()
             return out
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                for i, ids in zip(piece.column(0).to_pylist(), tool.ids_of([t or "" for t in piece.column(1).to_pylist()]), strict=True):
+                for i, ids in zip(
+                    piece.column(0).to_pylist(), tool.ids_of([t or "" for t in piece.column(1).to_pylist()]),
+                    strict=True
+                ):
                     names.append(i)
                     held.append(ids + end)
                     total += len(ids) // 4 + 1
@@ -393,7 +402,9 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
             yield flush()
 
     partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(partitions, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    ordered = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text"
+    ).repartitionByRange(partitions, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     return ordered.mapInArrow(run, "part int, segment int, before long, n_ids long, data binary")
 
 
@@ -420,10 +431,18 @@ def read_segments(segments: DataFrame) -> DataFrame:
                 out.append((part, i, before + at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
                 at += n
         kinds = [pa.int32(), *[pa.int64()] * 4]
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["part", "doc_id", "at", "n_tokens", "ids_crc32"])
+        return pa.table(
+            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+            names=["part", "doc_id", "at", "n_tokens", "ids_crc32"]
+        )
 
-    decoded = map_arrow(segments.select("part", "before", "data"), run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long", rows=1)
-    return decoded.join(bases, "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    decoded = map_arrow(
+        segments.select("part", "before", "data"), run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long",
+        rows=1
+    )
+    return decoded.join(bases, "part").select(
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
+    )
 
 
 def round_trip(documents: DataFrame, vocabulary: str, end_id: int = 1) -> DataFrame:

@@ -89,7 +89,9 @@ def distinct_pretokens(documents: DataFrame, vocabulary: str) -> DataFrame:
 
     def pieces(table: pa.Table) -> pa.Table:
         tool = encoder(vocabulary)
-        bodies = [c if t is None else t for c, t in zip(table["chunk"].to_pylist(), table["long"].to_pylist(), strict=True)]
+        bodies = [
+            c if t is None else t for c, t in zip(table["chunk"].to_pylist(), table["long"].to_pylist(), strict=True)
+        ]
         return table.drop(["long"]).append_column("pieces", pa.array(pieces_of(tool, bodies), pa.int64()))
 
     counted = documents.select("text").mapInArrow(run, "chunk string, n long, long string").groupBy("chunk")
@@ -113,7 +115,9 @@ def frequent_pretokens(words: DataFrame, rows: int = FREQUENT_ROWS, size: int =
     """Pieces of the pre-tokens over a count: the least at which they are so many and have so many bytes at most. The
     counts are binned by quarters of powers of two, so that a few hundred numbers tell it."""
     quarter = F.floor(F.log2("n") * 4).alias("bin")
-    bins = words.groupBy(quarter).agg(F.count("*").alias("k"), F.sum(F.octet_length("chunk") + 8).alias("size")).collect()
+    bins = words.groupBy(quarter).agg(
+        F.count("*").alias("k"), F.sum(F.octet_length("chunk") + 8).alias("size")
+    ).collect()
     least, held, used = None, 0, 0
     for b in sorted(bins, key=lambda r: -r.bin):
         held, used = held + b.k, used + b.size
@@ -163,6 +167,10 @@ def count_tokens(documents: DataFrame, vocabulary: str, limit: int = 1024) -> Da
     held = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
     held = materialize(held, "frequencies")
     rare = held.where("tail is not null").select("row", F.inline("tail"))
-    summed = rare.join(words.select("chunk", "pieces"), "chunk").groupBy("row").agg(F.sum(F.col("n") * F.col("pieces")).alias("more"))
+    summed = rare.join(words.select("chunk", "pieces"), "chunk").groupBy("row").agg(
+        F.sum(F.col("n") * F.col("pieces")).alias("more")
+    )
     total = F.col("base") + F.coalesce("more", F.lit(0))
-    return held.drop("tail").join(summed, "row", "left").select("doc_id", "n_bytes", total.alias("n_tokens"), (total > limit).alias("over_limit"))
+    return held.drop("tail").join(summed, "row", "left").select(
+        "doc_id", "n_bytes", total.alias("n_tokens"), (total > limit).alias("over_limit")
+    )

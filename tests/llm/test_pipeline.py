@@ -8,7 +8,9 @@ import pytest
 import corpus_pipeline
 from rillsync.llm.subwords import vocabulary_path
 
-WORDS = [f"{a}{b}{c}" for a in ("ba", "co", "di", "fu", "ge") for b in ("lo", "ma", "ne", "ri") for c in ("s", "t", "n", "")]
+WORDS = [
+    f"{a}{b}{c}" for a in ("ba", "co", "di", "fu", "ge") for b in ("lo", "ma", "ne", "ri") for c in ("s", "t", "n", "")
+]
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -26,8 +28,12 @@ def corpus(spark, tmp_path_factory):
     texts[21] = f"{texts[21]} {item} {texts[22]}"
     texts[33] += " password = hunter2hunter2"
     texts[37], texts[41] = None, ""
-    spark.createDataFrame([(i, t, "xx", "s", len(t or "")) for i, t in enumerate(texts)], COLUMNS).write.parquet(f"{folder}/documents.parquet")
-    spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(240)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame(
+        [(i, t, "xx", "s", len(t or "")) for i, t in enumerate(texts)], COLUMNS
+    ).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(
+        [(i, 1, int(i in toxic)) for i in range(240)], "doc_id long, quality int, toxic int"
+    ).write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     return str(folder), texts, toxic, item
 
@@ -51,7 +57,9 @@ def test_stages(spark, corpus):
     got = step("toxicity")
     assert set(kept) - set(got) <= toxic and len(toxic & set(got)) <= 0.1 * len(toxic)
     kept, sets = got, {i: shingled(t) for i, t in got.items()}
-    near = {(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    near = {
+        (i, j) for i in sets for j in sets if i < j and sets[i] and sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+    }
     got = step("n-gram Jaccard join")
     assert near and got == {i: t for i, t in kept.items() if i not in {j for _, j in near}}
     kept, got = got, step("benchmark decontamination")

@@ -7,7 +7,11 @@ from urllib.request import urlopen
 
 import pytest
 
+from rillsync.__main__ import main
+from rillsync.operators.apply import SnapshotStore
 from rillsync.sources.config import load_config
+from rillsync.sources.schema import TableSpec, discover, existing
+from rillsync.streaming import runner
 from rillsync.streaming.program import Program
 
 CONFIG = """
@@ -126,3 +130,64 @@ def test_a_target_without_a_key_is_an_error(spark, root):
     )
     with pytest.raises(ValueError, match="no primary key for public.two"):
         Program(spark, load_config(str(root / "config.properties")))
+
+
+def test_targets_of_the_catalog(spark, tmp_path):
+    spark.sql(
+        f"CREATE TABLE held (id BIGINT, name STRING) USING parquet LOCATION 'file://{tmp_path}/held' "
+        "TBLPROPERTIES ('primaryKey' = 'id')"
+    )
+    try:
+        found = discover(spark, {"held", "public.two"}, {"public.two": "x int, y int", "public.two.key": "x, y"})
+        assert found["held"].keys == ("id",) and found["held"].columns == ["id", "name"]
+        assert found["public.two"].keys == ("x", "y")
+        assert existing(spark, ["held", "absent"]) == ["held"]
+        with pytest.raises(ValueError, match="no table absent"):
+            discover(spark, {"absent"}, {})
+    finally:
+        spark.sql("DROP TABLE held")
+
+
+def test_slow_applies_tell_their_plan(spark, root, monkeypatch, caplog):
+    monkeypatch.setattr(runner, "SLOW_SECONDS", 0.0)
+    with caplog.at_level("WARNING"):
+        assert Program(spark, load_config(str(root / "config.properties")), once=True).run() == 0
+    assert any("to reach public.two" in m and "Aggregate" in m for m in caplog.messages)
+
+
+def test_bad_records_without_a_quarantine_fail_the_batch(spark, tmp_path):
+    spec = TableSpec.of("public.one", "id bigint, name string", "id")
+    sync = runner.Synchroniser(spark, f"file://{tmp_path}", "shop", "maxwell", {"shop.d.a": "public.one"}, {"public.one": spec})
+    rows = [("shop", 0, 0, "not json"), ("shop", 0, 1, shop(1, "a", "insert", {"id": 1, "name": "a"})["value"])]
+    records = spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string")
+    with pytest.raises(ValueError, match="1 records of batch 0 of shop"):
+        sync.batch(records, 0)
+    assert sync.stores["public.one"].pointer()["version"] == 0  # nothing of the batch is in
+    sync.batch(records.where("offset = 1"), 0)
+    assert sync.stores["public.one"].current().count() == 1
+
+
+def test_a_failing_target_is_caught_up_by_the_next_start(spark, root, monkeypatch):
+    """One target of a batch fails: the batch is not done, and its repetition skips the target that has it."""
+    real, broken = SnapshotStore.apply, []
+
+    def failing(self, net, batch, source=""):
+        if self.table.name == "public.two" and source == "shop" and not broken:
+            broken.append(batch)
+            raise OSError("the target is away")
+        return real(self, net, batch, source)
+
+    monkeypatch.setattr(SnapshotStore, "apply", failing)
+    program = Program(spark, load_config(str(root / "config.properties")), once=True)
+    assert program.run() == 1 and "the target is away" in program.failed()["shop"]
+    again = Program(spark, load_config(str(root / "config.properties")), once=True)
+    assert again.run() == 0 and broken == [0]
+    assert rows(again, "public.one") == [(2, "b"), (100, "y")] and rows(again, "public.two") == [(1, 2, "q")]
+
+
+def test_command_line(spark, root, capsys):
+    assert main([str(root / "config.properties"), "--once"]) == 0
+    with pytest.raises(SystemExit):
+        main(["--unknown"])
+    with pytest.raises(FileNotFoundError):
+        main([str(root / "none.properties")])

@@ -1,8 +1,8 @@
 """Corpus pipeline: toxicity, n-gram Jaccard join, benchmark decontamination, secret scans, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, written as Parquet and read again as the next one's
-docs. All but the last return the columns of `documents`; rows with a null doc_id or text pass through the filters
-that cannot name or judge them, and are packed as empty texts.
+docs. All but the last return the columns of `documents`. Every decision rests on the text alone, so rows with a null
+doc_id are judged like the others; a null text is clean, like no other, and packed as an empty one.
 """
 
 from __future__ import annotations

@@ -77,3 +77,26 @@ def test_stages(spark, corpus):
 def test_run_is_its_stages(spark, corpus):
     rows = corpus_pipeline.run(spark, corpus[0]).collect()
     assert rows and 21 not in {r.doc_id for r in rows} and {33, 37, 41} <= {r.doc_id for r in rows}
+
+
+def test_rows_without_an_id_are_judged(spark, corpus, tmp_path):
+    folder, texts, _, item = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id in (2, 3, 5)")
+    own = " ".join(random.Random(77).choices(WORDS, k=60))
+    more = [(None, t, "xx", "s", len(t or "")) for t in (texts[2], f"{own} {item}", own, own, None, "")]
+    docs = docs.union(spark.createDataFrame(more, COLUMNS))
+    stages = dict(corpus_pipeline.STAGES)
+    unique = corpus_pipeline.materialize(stages["n-gram Jaccard join"](spark, docs, folder), "test")
+    assert unique.columns == docs.columns
+    got = sorted(str(r.text) for r in unique.collect() if r.doc_id is None)
+    assert got == sorted([f"{own} {item}", own, "None", ""]) and unique.where("doc_id is not null").count() == 3
+    clean = corpus_pipeline.materialize(stages["benchmark decontamination"](spark, unique, folder), "test")
+    assert sorted(str(r.text) for r in clean.collect() if r.doc_id is None) == sorted([own, "None", ""])
+    packed = stages["packing"](spark, clean, folder)
+    assert packed.where("doc_id is null").groupBy("doc_tokens").count().count() == 2  # two empty ones and `own`
+
+
+def test_stages_take_empty_tables(spark, corpus):
+    docs = spark.read.parquet(f"{corpus[0]}/documents.parquet").where("false")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, corpus[0]).count() == 0

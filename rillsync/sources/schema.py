@@ -19,12 +19,20 @@ _TYPES = {
 
 
 def columns_of(ddl: str) -> T.StructType:
-    """A schema of "name type, ..." without a session."""
+    """A schema of "name type, ..." without a session. Beside Spark's types: bit(n), a string of n bits; time(p), a
+    clock string with p digits of fraction; timestamp(p) and timestamp_ntz(p), cut to p digits."""
     out = T.StructType()
     for part in re.split(r",(?![^(]*\))", ddl):
         name, kind = part.split(maxsplit=1)
-        size = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", kind.strip())
-        out.add(name, T.DecimalType(int(size[1]), int(size[2])) if size else _TYPES[kind.strip()])
+        stem, *sizes = re.findall(r"\w+", kind)
+        if stem == "decimal" and sizes:
+            out.add(name, T.DecimalType(*map(int, sizes)))
+        elif stem in ("bit", "time"):
+            out.add(name, T.StringType(), True, {{"bit": "bits", "time": "time"}[stem]: int(sizes[0]) if sizes else 1})
+        elif stem in _TYPES:
+            out.add(name, _TYPES[stem], True, {"scale": int(sizes[0])} if sizes else None)
+        else:
+            raise ValueError(f"unknown type {kind.strip()} of column {name}")
     return out
 
 

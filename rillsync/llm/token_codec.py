@@ -41,9 +41,11 @@ from rillsync.llm.subwords import encoder
 MAGIC = b"RLSEG2\0\0"
 BLOCK_IDS, SEGMENT_IDS = 1 << 22, 1 << 22
 WAYS, WAY_IDS = 4096, 1024
-CLASSES, STEP, FULL = 6, 8, 1 << 18
+CLASSES, STEP, FULL, EAGER = 6, 8, 1 << 18, 64
 #: Ids of a block at most that are told apart: totals stay below 2**20, the least range a total may divide.
 ALPHABET = 1 << 17
+#: Below this, an id's place in the alphabet is looked up in a table.
+DENSE = 1 << 24
 _TOP, _BOT, _WORD = np.uint64(1 << 48), np.uint64(1 << 32), np.uint64(16)
 _TOP_SHIFT = np.uint64(48)
 _ONE = np.uint64(12)  # bits of a hit's probability
@@ -111,7 +113,7 @@ class _Model:
         self.size = alphabet
         spread = np.arange(CLASSES * alphabet, dtype=np.int64) * 2654435761 >> 11
         self.counts = 1 + (spread & 1)  # classes begin a little unlike, so that they can part
-        self.scores = np.zeros((ways, CLASSES), np.int64)
+        self.scores, self.turn = np.zeros((CLASSES, ways), np.int64), 0
         self.mask = (1 << min(20, max(10, ids.bit_length()))) - 1
         self.t2, self.n2 = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int64)
         self.t1, self.n1 = np.full(2 * alphabet, -1, np.int64), np.zeros(2 * alphabet, np.int64)
@@ -126,7 +128,11 @@ class _Model:
         ends = self.flat[size - 1 :: size]
         self.below = np.append(0, ends[:-1])
         self.totals = ends - self.below
-        self.cls = self.scores[:n].argmax(1)
+        self.cls, best = np.zeros(n, np.int64), self.scores[0, :n]
+        for c in range(1, CLASSES):
+            better = self.scores[c, :n] > best
+            self.cls[better] = c
+            best = np.maximum(best, self.scores[c, :n])
         self.h2 = ((a * 0x9E3779B1 + b * 0x85EBCA6B) >> 5) & self.mask
         self.s0, self.s1 = 2 * a, 2 * a + 1
         c2, c1, c0 = self.t2[self.h2], self.t1[self.s0], self.t1[self.s1]
@@ -157,13 +163,16 @@ class _Model:
     def learn(self, x: np.ndarray, event: np.ndarray) -> None:
         """x: the ids of the step; event: 0 to 2 for the candidate that was right, 3 for none."""
         n = len(x)
-        for k, hits in enumerate(self.hits):
-            hits.learn((self.tried[k] & (event >= k)).astype(np.int64), (event == k).astype(np.int64))
-        freq = self.counts[self.base[:, None] + x]
-        shift = max(0, int(self.totals.max()).bit_length() - 18)
-        fit = _LOG[np.maximum(freq >> shift, 1)] - _LOG[np.maximum(self.totals >> shift, 1)][:, None]
-        was = self.scores[:n]
-        self.scores[:n] = was - (was >> 3) + fit.T
+        self.turn += 1
+        if self.turn <= EAGER or self.turn & 1:  # what is learnt about hits and classes soon holds
+            for k, hits in enumerate(self.hits):
+                hits.learn((self.tried[k] & (event >= k)).astype(np.int64), (event == k).astype(np.int64))
+            shift = max(0, int(self.totals.max()).bit_length() - 18)
+            for c in range(CLASSES):
+                freq = self.counts[self.base[c] + x]
+                fit = _LOG[np.maximum(freq >> shift, 1) if shift else freq]
+                was = self.scores[c, :n]
+                was += fit - (was >> 3) - _LOG[max(int(self.totals[c]) >> shift, 1)]
         miss = event == 3
         np.add.at(self.counts, self.base[self.cls[miss]] + x[miss], STEP)
         if (full := self.totals > FULL + 2 * self.size).any():
@@ -303,10 +312,24 @@ def _decode_block(words: np.ndarray, lengths: np.ndarray, n_ids: int, alphabet:
     return x
 
 
+def _alphabet(ids: np.ndarray) -> np.ndarray:
+    """The ids that occur, ascending."""
+    if len(ids) and int(ids.max()) < DENSE:
+        there = np.zeros(int(ids.max()) + 1, bool)
+        there[ids] = True
+        return np.flatnonzero(there)
+    return np.unique(ids)
+
+
 def code_block(ids: np.ndarray) -> tuple[bytes, bytes]:
     """(head, body) of one block of ids, at least one of them."""
-    alphabet, x = np.unique(ids, return_inverse=True)
-    words = _code_block(x.astype(np.int64), len(alphabet))
+    alphabet = _alphabet(ids)
+    if int(alphabet[-1]) < DENSE:
+        place = np.zeros(int(alphabet[-1]) + 1, np.int64)
+        place[alphabet] = np.arange(len(alphabet))
+        words = _code_block(place[ids], len(alphabet))
+    else:
+        words = _code_block(np.searchsorted(alphabet, ids), len(alphabet))
     letters = zlib.compress(np.diff(alphabet.astype("<u4"), prepend=np.uint32(0)).astype("<u4").tobytes(), 6)
     lengths = np.array([len(w) for w in words], "<u4")
     head = struct.pack(
@@ -331,7 +354,7 @@ def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray)
     null = np.array([i is None for i in doc_ids], np.uint8).tobytes()
     names = np.array([i or 0 for i in doc_ids], "<i8").tobytes()
     directory = zlib.compress(null + names + np.array(lengths, "<u8").tobytes(), 6)
-    size_ids = BLOCK_IDS if len(np.unique(ids)) <= ALPHABET else min(ALPHABET, BLOCK_IDS)
+    size_ids = BLOCK_IDS if len(_alphabet(ids)) <= ALPHABET else min(ALPHABET, BLOCK_IDS)
     blocks = [code_block(ids[at : at + size_ids]) for at in range(0, len(ids), size_ids)]
     head = MAGIC + struct.pack("<III", len(blocks), len(doc_ids), len(directory))
     out = b"".join([head, directory, *(h for h, _ in blocks), *(b for _, b in blocks)])

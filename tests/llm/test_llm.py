@@ -523,6 +523,14 @@ def test_embeddings_in_a_crowd(spark, n, monkeypatch):
     assert all(got[i].n_links <= linked[i].sum() - 1 for i in range(n))
 
 
+def test_embeddings_of_one_component(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 4)
+    monkeypatch.setattr(embedding_dedup, "WIDE", 8)
+    rows = [(i, [float(i + 1) * (-1) ** i]) for i in range(60)]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert all(r.n_links == 29 and r.component_id == r.vec_id % 2 for r in got)
+
+
 def test_embeddings_without_rows(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert embedding_dedup.near_duplicates(none).count() == 0

@@ -142,23 +142,21 @@ class Embedding:
     def hashes(self, windows: np.ndarray) -> np.ndarray:
         """(windows, tables): the hashes of windows (count, size); 0 stands for words past a text's end."""
         count, n = windows.shape
-        padded, rows = np.concatenate([windows, np.zeros((count, 1), np.uint64)], 1), np.arange(count)
         walks = -(-self.tables // TABLES)
-        out = np.zeros((count, walks, TABLES), np.uint64)
+        padded, rows = np.concatenate([windows, np.zeros((count, 1), np.uint64)], 1), np.arange(count)
+        out, at = np.zeros((count, walks, TABLES), np.uint64), np.zeros((walks, count), np.int64)
+        by_step = defaultdict(list)
+        for w, t, s in np.ndindex(walks, TABLES, SAMPLE):
+            by_step[int(self.samples[w, t, s])].append((w, t, np.uint64((s + 1) * int(_ODD) & 0xFFFFFFFFFFFFFFFF)))
         with np.errstate(over="ignore"):
-            for w in range(walks):
-                wanted, at = self.samples[w], np.zeros(count, np.int64)
-                by_step = defaultdict(list)
-                for t, s in np.ndindex(TABLES, SAMPLE):
-                    by_step[int(wanted[t, s])].append((t, np.uint64((s + 1) * int(_ODD) & 0xFFFFFFFFFFFFFFFF)))
-                for j in range(max(by_step) + 1):
-                    symbol = padded[rows, at]
-                    for t, salt in by_step.get(j, ()):
-                        out[:, w, t] = (out[:, w, t] * _MIX) ^ (symbol + salt)
-                    mixed = (symbol ^ (symbol >> np.uint64(31))) * self.salt[w, j % self.salt.shape[1]]
-                    at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), n)
-                number = np.arange(TABLES, dtype=np.uint64) + np.uint64(w * TABLES + 1)
-                out[:, w] ^= number * np.uint64(0x94D049BB133111EB)
+            for j in range(max(by_step) + 1):
+                symbol = padded[rows, at]
+                for w, t, salt in by_step.get(j, ()):
+                    out[:, w, t] = (out[:, w, t] * _MIX) ^ (symbol[w] + salt)
+                mixed = (symbol ^ (symbol >> np.uint64(31))) * self.salt[:walks, j % self.salt.shape[1], None]
+                at = np.minimum(at + (mixed >> np.uint64(63)).astype(np.int64), n)
+            number = np.arange(walks * TABLES, dtype=np.uint64) + np.uint64(1)
+            out ^= (number * np.uint64(0x94D049BB133111EB)).reshape(walks, TABLES)
         return out.reshape(count, -1)[:, : self.tables]
 
     def recall_by_tables(self, most: int, drawn: int = DRAWN) -> np.ndarray:
@@ -345,10 +343,10 @@ class Index:
             for k, near in self.candidates(mine, size, places).items():
                 most, seen = int(self.most[k]), -1
                 for p in near:
-                    if p + size <= seen:
-                        continue  # inside the stretch already compared
+                    if p + size + most <= seen:
+                        continue  # what can match there lies inside the stretch already compared
                     lo, hi = max(0, p - 2 * most), min(len(mine), p + size + 3 * most)
-                    seen = hi - most
+                    seen = hi if hi < len(mine) else 2 * len(mine) + size + most
                     hit = nearest_stretch(self.items[k][1], mine[lo:hi], most)
                     if hit and ((text, k) not in best or hit[0] < best[text, k][0]):
                         best[text, k] = hit[0], lo + hit[1], lo + hit[2]

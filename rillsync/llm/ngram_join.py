@@ -33,7 +33,7 @@ TIE, SURE = 0.4, 0.65
 #: The rest of a bucket is compared pair by pair up to this size, and cut into longer bands beyond it.
 SMALL_BUCKET = 64
 #: Shingle sets in a block, and bytes of them; a task holds two blocks.
-BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 24
+BLOCK_ROWS, BLOCK_BYTES = 1024, 1 << 23
 #: Classes whose texts are picked out by a broadcast of their ids, of 48 bytes each; more are joined by a shuffle.
 PICKED = 300_000
 _WORD = re.compile(r"\w+")
@@ -184,18 +184,25 @@ def _longer_bands(sets: DataFrame, recall: float, rows: int) -> DataFrame:
     ).where("rep <> centre").select("rep", "centre").distinct()
 
 
+def _numbers(ordered: np.ndarray) -> np.ndarray:
+    """0, 1, ... for the distinct values of an ordered array."""
+    if not len(ordered):
+        return np.zeros(0, np.int32)
+    return np.cumsum(np.append(False, ordered[1:] != ordered[:-1]), dtype=np.int32)
+
+
 def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of the intersections of every left set with every right set, by products of 0/1 matrices over slices of
     the shingles that are in more than one set."""
     flat = np.concatenate([*left, *right]) if left or right else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(left) + len(right)), [len(s) for s in (*left, *right)])
+    owner = np.repeat(np.arange(len(left) + len(right), dtype=np.int32), [len(s) for s in (*left, *right)])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    new = np.append(True, flat[1:] != flat[:-1])
-    column = np.cumsum(new) - 1
-    size = np.bincount(column)
-    keep = size[column] > 1
-    column, owner = np.unique(column[keep], return_inverse=True)[1], owner[keep]
+    del order
+    column = _numbers(flat)
+    del flat
+    keep = np.bincount(column)[column] > 1 if len(column) else np.zeros(0, bool)
+    owner, column = owner[keep], _numbers(column[keep])
     n = int(column.max()) + 1 if len(column) else 0
     out = np.zeros((len(left), len(right)), np.float32)
     for at in range(0, n, 2048):

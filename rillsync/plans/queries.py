@@ -104,6 +104,12 @@ def cdc_key_change_orders(spark, sf_dir):
     )
 
 
+@query("SELECT o_orderkey, (1500000000 + o_orderkey%1000)*1000 AS produced_ms FROM orders")
+def produced_times(spark, sf_dir):
+    """Envelope times in seconds as milliseconds, of the first change of each order."""
+    return orders_changes(_t(spark, sf_dir, "orders")).where("seq % 10 = 0").select("key.o_orderkey", "produced_ms")
+
+
 @query(
     "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"
 )

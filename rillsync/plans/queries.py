@@ -57,7 +57,10 @@ def _orders_target(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LIVE = "SELECT k AS o_orderkey, c AS o_custkey, st AS o_orderstatus, p AS o_orderpriority FROM net WHERE kind='put'"
 _TARGET = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey%2=0"
-_APPLIED = f"WITH {ORDERS_SQL} {_TARGET} AND NOT EXISTS (SELECT 1 FROM net WHERE net.k=orders.o_orderkey AND (net.any_del OR net.kind='put')) UNION ALL {_LIVE}"
+_APPLIED = (
+    f"WITH {ORDERS_SQL} {_TARGET} AND NOT EXISTS (SELECT 1 FROM net WHERE net.k=orders.o_orderkey AND "
+    f"(net.any_del OR net.kind='put')) UNION ALL {_LIVE}"
+)
 
 
 @query(f"WITH {ORDERS_SQL} SELECT k AS o_orderkey, kind, any_del AS del, s FROM net")
@@ -96,7 +99,8 @@ def optimistic_apply_orders(spark, sf_dir):
 
 
 @query(
-    f"WITH {ORDERS_SQL} SELECT seq, op, k AS o_orderkey, CASE WHEN ok IS DISTINCT FROM k THEN ok END AS old_key FROM ch WHERE op='U'"
+    f"WITH {ORDERS_SQL} SELECT seq, op, k AS o_orderkey, CASE WHEN ok IS DISTINCT "
+    f"FROM k THEN ok END AS old_key FROM ch WHERE op='U'"
 )
 def cdc_key_change_orders(spark, sf_dir):
     return orders_changes(_t(spark, sf_dir, "orders")).where("op = 'U'").select(
@@ -111,7 +115,8 @@ def produced_times(spark, sf_dir):
 
 
 @query(
-    "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"
+    "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "
+    "event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"
 )
 def cdc_latest_state_events(spark, sf_dir):
     return M.upsert_set(M.compact(_event_changes(_t(spark, sf_dir, "events"))))
@@ -128,7 +133,8 @@ def _event_changes(events: DataFrame) -> DataFrame:
 
 
 @query(
-    "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, CAST(c_nationkey%2=0 AS BOOLEAN) AS flag, hex(encode(c_name)) AS raw, lpad(bin(c_nationkey), 7, '0') AS bits FROM customer"
+    "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, CAST(c_nationkey%2=0 AS BOOLEAN) AS flag, "
+    "hex(encode(c_name)) AS raw, lpad(bin(c_nationkey), 7, '0') AS bits FROM customer"
 )
 def maxwell_parse_customer(spark, sf_dir):
     c = _t(spark, sf_dir, "customer")
@@ -160,7 +166,9 @@ def maxwell_parse_customer(spark, sf_dir):
 
 
 @query(
-    "SELECT p_partkey, CASE WHEN p_partkey%5=4 THEN 'D' WHEN p_partkey%5=3 THEN 'U' ELSE 'I' END AS op, CASE WHEN p_partkey%5<>4 THEN p_name END AS p_name, CASE WHEN p_partkey%5<>4 THEN p_size END AS p_size FROM part WHERE p_partkey%5<>0"
+    "SELECT p_partkey, CASE WHEN p_partkey%5=4 THEN 'D' WHEN p_partkey%5=3 THEN 'U' ELSE 'I' END AS op, CASE "
+    "WHEN p_partkey%5<>4 THEN p_name END AS p_name, CASE WHEN p_partkey%5<>4 THEN p_size END AS p_size "
+    "FROM part WHERE p_partkey%5<>0"
 )
 def debezium_parse_part(spark, sf_dir):
     p = _t(spark, sf_dir, "part")
@@ -213,7 +221,8 @@ def table_filter_route(spark, sf_dir):
 
 
 @query(
-    "SELECT p_partkey, CASE WHEN length(bin(p_size))>=5 THEN bin(p_size) ELSE lpad(bin(p_size), 5, '0') END AS bits FROM part"
+    "SELECT p_partkey, CASE WHEN length(bin(p_size))>=5 THEN bin(p_size) ELSE lpad(bin(p_size), 5, '0') END AS "
+    "bits FROM part"
 )
 def decode_bit(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", D.bits_of_int(F.col("p_size"), 5).alias("bits"))
@@ -234,7 +243,8 @@ def decode_date_days(spark, sf_dir):
 
 
 @query(
-    "SELECT event_id, epoch_us(ts) AS micros, strftime(ts, '%H:%M:%S') AS clock, epoch_us(ts - INTERVAL 60 YEAR) AS early FROM events"
+    "SELECT event_id, epoch_us(ts) AS micros, strftime(ts, '%H:%M:%S') AS clock, epoch_us(ts - INTERVAL 60 "
+    "YEAR) AS early FROM events"
 )
 def decode_ts_nanos(spark, sf_dir):
     def nanos(t):
@@ -249,7 +259,9 @@ def decode_ts_nanos(spark, sf_dir):
 
 
 @query(
-    "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(CAST(CASE WHEN l_linenumber%2=0 THEN -1 ELSE 1 END * CAST(round(l_extendedprice*100) AS BIGINT) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS VARCHAR) AS price FROM lineitem"
+    "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(CAST(CASE WHEN l_linenumber%2=0 THEN -1 ELSE "
+    "1 END * CAST(round(l_extendedprice*100) AS BIGINT) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) AS "
+    "VARCHAR) AS price FROM lineitem"
 )
 def decode_decimal_base64(spark, sf_dir):
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") * F.when(
@@ -292,7 +304,8 @@ def csv_tuple_render(spark, sf_dir):
 
 
 @query(
-    f"WITH {ORDERS_SQL} SELECT count(*) AS n_affected FROM orders WHERE o_orderkey%2=0 AND EXISTS (SELECT 1 FROM net WHERE net.k=o_orderkey AND any_del)"
+    f"WITH {ORDERS_SQL} SELECT count(*) AS n_affected FROM orders WHERE o_orderkey%2=0 AND EXISTS (SELECT 1 "
+    f"FROM net WHERE net.k=o_orderkey AND any_del)"
 )
 def semi_join_affected(spark, sf_dir):
     keys = M.delete_set(_net(spark, sf_dir))
@@ -354,7 +367,8 @@ def micro_batch_windows(spark, sf_dir):
 
 
 @query(
-    "SELECT 'events' AS topic, CAST(event_id%4 AS INTEGER) AS partition, max(event_id)+1 AS next_offset FROM events GROUP BY 2"
+    "SELECT 'events' AS topic, CAST(event_id%4 AS INTEGER) AS partition, max(event_id)+1 AS next_offset "
+    "FROM events GROUP BY 2"
 )
 def offset_high_water(spark, sf_dir):
     records = _t(spark, sf_dir, "events").select(
@@ -373,7 +387,8 @@ def newest_record(spark, sf_dir):
 
 
 @query(
-    "SELECT event_type AS source_name, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST((max(epoch_us(ts)) // 1000) % 1000 AS VARCHAR), 3, '0') || 'Z' AS latest FROM events GROUP BY 1"
+    "SELECT event_type AS source_name, strftime(max(ts), '%Y-%m-%dT%H:%M:%S.') || lpad(CAST((max(epoch_us(ts)) "
+    "// 1000) % 1000 AS VARCHAR), 3, '0') || 'Z' AS latest FROM events GROUP BY 1"
 )
 def pipeline_state(spark, sf_dir):
     """What the state endpoint tells: the latest change of each source, one row each."""
@@ -489,7 +504,8 @@ def malformed_quarantine(spark, sf_dir):
 
 
 @query(
-    "SELECT md5(string_agg(n_name || chr(9) || n_nationkey || chr(9) || n_regionkey, '' ORDER BY n_nationkey)) AS checksum, count(*) AS n_rows FROM nation"
+    "SELECT md5(string_agg(n_name || chr(9) || n_nationkey || chr(9) || n_regionkey, '' ORDER BY n_nationkey)) "
+    "AS checksum, count(*) AS n_rows FROM nation"
 )
 def table_checksum(spark, sf_dir):
     return V.ordered_checksum(_t(spark, sf_dir, "nation"), ["n_nationkey"])
@@ -500,18 +516,26 @@ _DIGEST = f"CAST('0x' || substr(md5({_LINE}), 1, 15) AS BIGINT)"
 
 
 @query(
-    f"SELECT CAST(sum({_DIGEST}) AS VARCHAR) AS sum_hash, bit_xor({_DIGEST}) AS xor_hash, count(*) AS n_rows FROM orders"
+    f"SELECT CAST(sum({_DIGEST}) AS VARCHAR) AS sum_hash, bit_xor({_DIGEST}) AS xor_hash, count(*) AS n_rows "
+    f"FROM orders"
 )
 def table_checksum_large(spark, sf_dir):
     return V.checksum(_t(spark, sf_dir, "orders")).withColumn("sum_hash", F.col("sum_hash").cast("string"))
 
 
-_ONE = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders"
-_TWO = f"SELECT * REPLACE (CASE WHEN o_orderkey%50=0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) FROM ({_ONE}) WHERE o_orderkey%70<>0"
+_ONE = (
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS VARCHAR) AS o_orderdate, "
+    "o_orderpriority FROM orders"
+)
+_TWO = (
+    f"SELECT * REPLACE (CASE WHEN o_orderkey%50=0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus) "
+    f"FROM ({_ONE}) WHERE o_orderkey%70<>0"
+)
 
 
 @query(
-    f"(SELECT *, 'left' AS side FROM ({_ONE} EXCEPT ALL {_TWO})) UNION ALL (SELECT *, 'right' FROM ({_TWO} EXCEPT ALL {_ONE}))"
+    f"(SELECT *, 'left' AS side FROM ({_ONE} EXCEPT ALL {_TWO})) UNION ALL (SELECT *, 'right' "
+    f"FROM ({_TWO} EXCEPT ALL {_ONE}))"
 )
 def table_diff(spark, sf_dir):
     o = _t(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
@@ -527,7 +551,8 @@ def dump_ordered(spark, sf_dir):
 
 
 @query(
-    "SELECT avg(l_linenumber) AS avg_linenumber, avg(l_partkey) AS avg_partkey, avg(l_suppkey) AS avg_suppkey FROM lineitem"
+    "SELECT avg(l_linenumber) AS avg_linenumber, avg(l_partkey) AS avg_partkey, avg(l_suppkey) AS avg_suppkey "
+    "FROM lineitem"
 )
 def avg_int_columns(spark, sf_dir):
     return _t(spark, sf_dir, "lineitem").agg(
@@ -546,7 +571,8 @@ _MAPPED = Config(
 
 
 @query(
-    "SELECT count(DISTINCT t) AS n_targets, least(10, count(DISTINCT t)) AS n_loaders FROM (VALUES ('orders'), ('lineitem'), ('orders')) AS x(t)"
+    "SELECT count(DISTINCT t) AS n_targets, least(10, count(DISTINCT t)) AS n_loaders "
+    "FROM (VALUES ('orders'), ('lineitem'), ('orders')) AS x(t)"
 )
 def distinct_targets(spark, sf_dir):
     return spark.createDataFrame([(len(_MAPPED.targets()), _MAPPED.loaders())], "n_targets long, n_loaders long")
@@ -591,7 +617,8 @@ def composite_key_merge(spark, sf_dir):
 
 
 @query(
-    "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"
+    "SELECT user_id, event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "
+    "event_id DESC) AS rn FROM events) WHERE rn=1 AND event_type<>'error'"
 )
 def streaming_sync_events(spark, sf_dir):
     """A real stream over files of records, in micro-batches, into a snapshot store that is read back."""

@@ -6,9 +6,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SCOPES: list[list[str]] = []
 _LOCAL: list[str] = []
 _FOLDERS: dict[str, str] = {}
 
@@ -55,6 +58,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     back = spark.read.schema(schema).parquet(path)
     back._scratch = path
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return back
 
 
@@ -63,3 +68,25 @@ def release(*frames: DataFrame) -> None:
     for df in frames:
         fs, at = hadoop_path(df.sparkSession, df._scratch)
         fs.delete(at, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What materialize() writes inside is deleted at the end, but for the tables that are passed to the function that
+    this gives. Tables that are not written inside are not touched."""
+    written: list[str] = []
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._scratch)
+        return df
+
+    _SCOPES.append(written)
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(written)
+        for path in written:
+            if path not in kept:
+                fs, at = hadoop_path(spark, path)
+                fs.delete(at, True)

@@ -8,6 +8,7 @@ from rillsync.operators import apply as A
 from rillsync.operators import merge as M
 from rillsync.operators import sinks as Z
 from rillsync.sources.schema import TableSpec
+from rillsync.sources.scratch import materialize, release, scratch_scope, shared_root
 
 SPEC = TableSpec.of("public.t", "k bigint, v string", "k")
 DDL = "seq long, op string, key struct<k:bigint>, old_key struct<k:bigint>, tuple struct<k:bigint,v:string>"
@@ -128,3 +129,28 @@ def test_load_files(spark, tmp_path):
 def test_empty_changelog(spark):
     target = spark.createDataFrame([(1, "a")], "k long, v string")
     assert A.apply_net(target, M.compact(spark.createDataFrame([], DDL)), ["k"]).collect() == target.collect()
+
+
+def test_scratch_goes_with_its_scope(spark):
+    before = materialize(spark.range(3), "before")
+    with scratch_scope(spark) as keep:
+        inner = materialize(spark.range(5), "inner")
+        kept = keep(materialize(inner.where("id > 2"), "kept"))
+    assert kept.count() == 2 and before.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(inner._scratch).count()
+    release(before, kept)
+    with pytest.raises(Exception):
+        spark.read.parquet(kept._scratch).count()
+
+
+def test_scratch_on_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(Cluster)

@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from rillsync.llm import decontamination, ngram_join, secret_scan, toxicity
-from rillsync.llm.common import materialize
+from rillsync.llm.common import materialize, release
 from rillsync.llm.packing import pack_documents
 from rillsync.llm.subwords import vocabulary_path
+from rillsync.sources.scratch import scratch_scope
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +55,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents. What a stage writes on its way goes when its result is written."""
+    docs, was = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_scope(spark) as keep:
+            docs = keep(materialize(stage(spark, docs, sf_dir), name.replace(" ", "-")))
+        if was is not None:
+            release(was)
+        was = docs
     return STAGES[-1][1](spark, docs, sf_dir)

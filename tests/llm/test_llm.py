@@ -432,7 +432,7 @@ def test_recall_of_hashes_alone(rate):
 @pytest.mark.parametrize("size", [5000, 25_000])
 def test_long_items_leak_as_themselves(size):
     rng = random.Random(size)
-    items = [[f"a{k}x{rng.randrange(10**6)}" for _ in range(size)] for k in range(2)]
+    items = [[f"a{k}x{rng.randrange(10**6)}" for _ in range(n)] for k, n in enumerate((40, size))]
     copy = edited(items[1], 40, rng)
     index = decontamination.Index([(k, " ".join(w)) for k, w in enumerate(items)])
     ((text, item, distance, first, _),) = index.leaks([" ".join(["start", "here", *copy, "end"])])

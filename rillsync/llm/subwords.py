@@ -13,7 +13,7 @@ import re
 from array import array
 
 #: Chunks kept per worker; the table is emptied when it is full, so memory is bounded.
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 300_000
 #: Longer chunks are encoded without being kept.
 CACHE_CHARS = 64
 _SPACES = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")

@@ -19,7 +19,8 @@ __all__ = [
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.Table], pa.Table | None], schema: str, rows: int = 1024) -> DataFrame:
-    """mapInArrow with batches cut to `rows` rows, so that long texts do not pile up in a worker."""
+    """mapInArrow with batches cut to `rows` rows, so that long texts do not pile up in a worker, which gives back what
+    a batch has taken."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -27,6 +28,8 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.Table], pa.Table | None], schema:
                 out = fn(pa.Table.from_batches([batch.slice(at, rows)]))
                 if out is not None and out.num_rows:
                     yield from out.combine_chunks().to_batches()
+            del batch
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -268,6 +268,23 @@ def test_a_bucket_of_unlike_members(spark):
     assert len(set(groups.values())) > 100 and len(written) < 20
 
 
+def test_rests_by_longer_bands(spark, monkeypatch):
+    """All members of buckets are taken for loose, and rests of two for crowded: the texts are read again."""
+    monkeypatch.setattr(ngram_join, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(ngram_join, "SURE", 1.01)
+    monkeypatch.setattr(ngram_join, "TIE", 1.01)
+    rng, texts = random.Random(81), []
+    for k in range(12):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+        texts += [" ".join(own), " ".join([*own[:70], f"x{k}", *own[71:]]), " ".join([*own[:20], f"y{k}", *own[21:]])]
+    sets = [set(ngram_join.shingles(t).tolist()) for t in texts]
+    want = [sum(i != j and len(a & b) >= 0.8 * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    got = {r.doc_id: r for r in ngram_join.jaccard_links(frame(spark, texts)).collect()}
+    # a bucket's centre is tied to nobody here, so links are found among its rest
+    rest = [[got[i].n_links for i in range(3 * k, 3 * k + 3)] for k in range(12)]
+    assert sum(want) == 72 and sum(sorted(x) == [0, 1, 1] for x in rest) >= 11
+
+
 @pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9, 0.95])
 def test_recall_of_the_join(spark, similarity):
     """Links of pairs at a similarity, against brute force on their full sets."""

@@ -677,6 +677,37 @@ def test_secret_edges(spark, field):
     assert len(clean) == 5 and "abcdefabcdef0123" not in [r.text for r in clean if r.doc_id is None][0]
 
 
+def test_every_text_teaches_the_fields(spark):
+    rng = random.Random(41)
+    short = [prose(rng.randint(20, 60), rng) for _ in range(120)]
+    odd = "QWJ-zx81kk~Pq77-lmv0"  # in one text only, which is longer than 16,384 characters
+    texts = [None, "  ", *short, f"{prose(4_000, rng)} {odd} {prose(20, rng)}"]
+    here = secret_scan.fit([t or "" for t in texts])
+    from_table = secret_scan.fit_from_documents(frame(spark, texts))
+    assert len(from_table.fields) == 2
+    for a, b in zip(here.fields, from_table.fields, strict=True):
+        assert np.abs(a.state - b.state).max() < 0.05 and a.bonus == b.bonus
+    taught, known = from_table.fields[secret_scan.half_of(texts[-1])], secret_scan._hash(f"f5:{odd[:5]}")
+    assert taught.state[known, secret_scan.OUTSIDE] > 0 > taught.state[known, secret_scan.BEGIN]
+    # a text that the other fields cannot have learnt changes nothing in them
+    without = secret_scan.fit([t or "" for t in texts[:-1]])
+    assert not np.array_equal(without.fields[secret_scan.half_of(texts[-1])].state, taught.state)
+
+
+def test_chains_have_exact_gradients():
+    rng = np.random.default_rng(3)
+    n, half, gold = np.array([4, 3, 1, 1]), np.array([0, 1, 1, 0]), np.array([0, 1, 2, 0, 2, 0, 1, 2, 0])
+    emit, move = rng.normal(size=(9, 3)), rng.normal(size=(2, 3, 3))
+    loss, by_score, moved = secret_scan._chains(emit, move, half, n, gold)
+    for x, slope in ((emit, by_score), (move, moved)):
+        for at in np.ndindex(x.shape):
+            if x is move and at[1:] == (secret_scan.OUTSIDE, secret_scan.INSIDE):
+                continue
+            was, x[at] = x[at], x[at] + 1e-6
+            assert abs((secret_scan._chains(emit, move, half, n, gold)[0] - loss) / 1e-6 - slope[at]) < 1e-3
+            x[at] = was
+
+
 def test_viterbi_is_the_best_path():
     import itertools
 

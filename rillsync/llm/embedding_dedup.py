@@ -10,8 +10,11 @@ vectors need. It also measures, for each vector and pass, how long a prefix the
 pair is met in a pass if its hashes agree for longer, so the chance to have met no partner is known by vector. The
 vectors for which it is too large, in crowded regions, go on to further rounds among themselves. There the hashes are
 taken around local centres, which tells crowded vectors apart far better, and windows double, up to a bound.
-Each round plants partners at the cosine beside a bounded sample of vectors; rounds go on until the share of them
-that was met reaches the recall, or until a window is as large as the crowd, which compares all pairs.
+Each round plants a partner at the cosine beside every one of them and counts the passes in which the two are met. A
+vector leaves when its partners were met so often that a real one is missed with a chance below 1 - recall, whatever
+the odds of a pass, so a dense spot goes on however few vectors lie in it. Rounds end with the last vector, or when a
+window is as large as what is left, which compares all pairs. Only where the local centres' cells start is drawn from a
+bounded sample, as random projections are; centres are means over all vectors of the round.
 
 Passes carry vectors as 16-bit floats. Pairs too near to the cosine to be told by these are compared exactly.
 """
@@ -39,8 +42,8 @@ SLACK = 4
 #: Rows of the order in a task (with a window more), and vectors in a block of a component.
 STRETCH, BLOCK_ROWS = 1024, 2048
 HASH_BITS = 62
-#: Vectors that get a planted partner at most, and vectors that local centres are made of at most.
-PLANTS, CENTRE_ROWS = 1000, 2000
+#: Vectors of a round from which the starts of local cells are drawn.
+CENTRE_ROWS = 2000
 #: Local centres of the passes of a later round, in turn.
 CENTRES = (1, 4, 16)
 #: Error of a cosine from 16-bit components, rounded up.
@@ -89,18 +92,22 @@ def _sample(vectors: DataFrame, rows: int) -> list[tuple[int, np.ndarray]]:
     return [(r.rep, np.frombuffer(r.half, np.float16).astype(np.float32)) for r in found]
 
 
-def _planted(sample: list[tuple[int, np.ndarray]], cosine: float, seed: int) -> list[tuple[int, bytes, int]]:
-    """A partner just over the cosine for each vector of the sample: rows (rep, half, dims), rep below zero."""
-    rng, out = np.random.default_rng(seed), []
+def _planted(vectors: DataFrame, cosine: float, seed: int) -> DataFrame:
+    """A partner just over the cosine beside each vector: rows (rep, half, dims), rep below zero: -1 - that of the vector."""
     c = cosine + 0.1 * (1 - cosine)
-    for k, (_, v) in enumerate(sample):
-        if len(v) < 2:
-            continue
-        w = rng.normal(size=len(v))
-        w -= (w @ v) / (v @ v) * v
-        partner = c * v / np.linalg.norm(v) + math.sqrt(1 - c * c) * w / np.linalg.norm(w)
-        out.append((-1 - k, partner.astype(np.float16).tobytes(), len(v)))
-    return out
+
+    def run(table: pa.Table) -> pa.Table:
+        out = []
+        for rep, half in zip(table["rep"].to_pylist(), table["half"].to_pylist(), strict=True):
+            v = np.frombuffer(half, np.float16).astype(np.float32)
+            w = np.random.default_rng([seed, rep]).normal(size=len(v))
+            w -= (w @ v) / (v @ v) * v
+            partner = c * v / np.linalg.norm(v) + math.sqrt(1 - c * c) * w / np.linalg.norm(w)
+            out.append(partner.astype(np.float16).tobytes())
+        reps = pa.array(-1 - table["rep"].to_numpy())
+        return pa.table({"rep": reps, "half": pa.array(out, pa.binary()), "dims": table["dims"]})
+
+    return map_arrow(vectors.select("rep", "half", "dims"), run, "rep long, half binary, dims int")
 
 
 def _hashed(vectors: DataFrame, passes: int, seed: int, centres: dict[int, list[np.ndarray]] | None) -> DataFrame:
@@ -162,9 +169,9 @@ def _stretches(spread: DataFrame, carry: int, stretch: int) -> DataFrame:
     return out
 
 
-def _compare(part: pd.DataFrame, window: int, cosine: float, crowding: bool, beside: dict[int, int]) -> list[tuple]:
+def _compare(part: pd.DataFrame, window: int, cosine: float, crowding: bool, turn: int = 0) -> list[tuple]:
     """Edges and crowding of the rows of a stretch in one lane: (a, b, what, value). what: 0 a sure edge, 1 one to be
-    compared exactly, 2 a planted partner met, 3 the logarithm of the chance that a pass misses a partner of a."""
+    compared exactly, 2 the planted partner of b met (value: turn, the pass), 3 the logarithm of the chance that a pass misses a partner of a."""
     x, reps, keys = _matrix(part.half, np.float16).astype(np.float32), part.rep.to_numpy(), part.key.to_numpy()
     n, step = len(reps), max(64, min(window, 512))
     first, second, value = [], [], []
@@ -185,8 +192,8 @@ def _compare(part: pd.DataFrame, window: int, cosine: float, crowding: bool, bes
     out += [(int(a), int(b), 1, 0.0) for a, b in zip(reps[i[unsure]], reps[j[unsure]], strict=True)]
     low, high = np.minimum(reps[i], reps[j]), np.maximum(reps[i], reps[j])
     for k in np.flatnonzero((low < 0) & (high >= 0) & (value >= cosine)).tolist():
-        if beside.get(int(low[k])) == int(high[k]):
-            out.append((int(low[k]), int(high[k]), 2, 0.0))
+        if low[k] == -1 - high[k]:
+            out.append((int(low[k]), int(high[k]), 2, float(turn)))
     if not crowding or n <= 2 * window:
         return out
     # how many bits a row shares with the rows at both ends of its window; every row but a lane's first and last ones
@@ -214,17 +221,15 @@ def _roots(n: int, edges: list[tuple[int, int]]) -> np.ndarray:
 _FOUND = "a long, b long, what int, value double"
 
 
-def _round(
-    vectors: DataFrame, passes: int, window: int, cosine: float, seed: int, centres, beside: dict[int, int]
-) -> DataFrame:
-    """(a, b, what, value) of all passes of a round; see _compare. beside: the vector of each planted partner."""
+def _round(vectors: DataFrame, passes: int, window: int, cosine: float, seed: int, centres) -> DataFrame:
+    """(a, b, what, value) of all passes of a round; see _compare."""
     stretch, crowding = max(STRETCH, 2 * window), centres is None
     dealt = _stretches(_hashed(vectors, passes, seed, centres), 2 * window if crowding else window, stretch)
 
     def run(key: tuple, g: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, part in g.sort_values("place").groupby("lane", sort=False):
-            out += _compare(part, window, cosine, crowding, beside)
+        for lane, part in g.sort_values("place").groupby("lane", sort=False):
+            out += _compare(part, window, cosine, crowding, int(lane) // max(CENTRES) % passes)
         a, b, what, value = zip(*out, strict=True) if out else [()] * 4
         columns = {"a": np.array(a, np.int64), "b": pd.array(list(b), "Int64")}
         return pd.DataFrame(columns | {"what": np.array(what, np.int32), "value": np.array(value, float)})
@@ -234,18 +239,43 @@ def _round(
     return found
 
 
-def _local_centres(sample: list[tuple[int, np.ndarray]], passes: int, seed: int) -> dict[int, list[np.ndarray]]:
-    """By length of vectors, the centres of each pass: the means of the sample's vectors around random ones."""
-    rng, out = np.random.default_rng(seed), {}
+def _local_centres(vectors: DataFrame, passes: int, seed: int) -> dict[int, list[np.ndarray]]:
+    """By length of vectors, the centres of each pass: the means of all vectors around random ones."""
+    rng, pivots, sample = np.random.default_rng(seed), {}, _sample(vectors, CENTRE_ROWS)
     for d in {len(v) for _, v in sample}:
         x = np.stack([v for _, v in sample if len(v) == d])
-        out[d] = []
-        for p in range(passes):
-            pivots = x[rng.permutation(len(x))[: CENTRES[p % len(CENTRES)]]]
-            cell = (x @ pivots.T - (pivots**2).sum(1) / 2).argmax(1)
-            means = [x[cell == k].mean(0) if (cell == k).any() else pivots[k] for k in range(len(pivots))]
-            out[d].append(np.stack(means).astype(np.float32))
-    return out
+        pivots[d] = [x[rng.permutation(len(x))[: CENTRES[p % len(CENTRES)]]] for p in range(passes)]
+    shared, kinds = vectors.sparkSession.sparkContext.broadcast(pivots), "dims int, turn int, sums binary"
+
+    def packed(sums: dict) -> pa.RecordBatch:
+        rows = [(d, p, v.tobytes()) for (d, p), v in sums.items()]
+        d, p, v = zip(*rows, strict=True) if rows else [()] * 3
+        return pa.RecordBatch.from_pydict({"dims": pa.array(d, pa.int32()), "turn": pa.array(p, pa.int32()), "sums": pa.array(v, pa.binary())})
+
+    def run(batches):
+        sums = {}
+        for b in batches:
+            dims, halves = b["dims"].to_numpy(), b["half"].to_pylist()
+            for d in set(dims.tolist()) & set(shared.value):
+                x = np.frombuffer(b"".join(halves[i] for i in np.flatnonzero(dims == d)), np.float16)
+                x = x.reshape(-1, d).astype(np.float32)
+                with_one = np.column_stack([x, np.ones(len(x))])
+                for p, points in enumerate(shared.value[d]):
+                    cell = (x @ points.T - (points**2).sum(1) / 2).argmax(1)
+                    own = np.equal(cell, np.arange(len(points))[:, None]).astype(np.float64) @ with_one
+                    sums[d, p] = sums.get((d, p), 0.0) + own
+        yield packed(sums)
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(v) for v in table["sums"].to_pylist())
+        return pa.Table.from_batches([packed({(table["dims"][0].as_py(), table["turn"][0].as_py()): total})])
+
+    found = vectors.select("dims", "half").mapInArrow(run, kinds).groupBy("dims", "turn").applyInArrow(add, kinds)
+    for r in found.collect():  # a row for each pass
+        own = np.frombuffer(r.sums).reshape(-1, r.dims + 1)
+        means = own[:, :-1] / np.maximum(own[:, -1:], 1)
+        pivots[r.dims][r.turn] = np.where(own[:, -1:] > 0, means, pivots[r.dims][r.turn]).astype(np.float32)
+    return pivots
 
 
 def candidate_edges(classes: DataFrame, cosine: float, recall: float, seed: int = 17) -> DataFrame:
@@ -262,37 +292,35 @@ def candidate_edges(classes: DataFrame, cosine: float, recall: float, seed: int
     window, done, number = WINDOW, [], 0
     count = vectors.count()
     passes, centres = passes_for(count, cosine, 1 - (1 - recall) / SLACK, window), None
-    met: set[int] = set()
-    plants: list = []
-    beside: dict[int, int] = {}
+    # a partner and the planted ones are met alike, so one is missed until those were met k times with a chance of 2 ** -k
+    enough, hits = math.ceil(math.log2(1 / (1 - recall))), None
     while count > 1:
         exact = window >= count
         if exact:
-            passes, centres = 1, None
-        with_plants = vectors.unionByName(spark.createDataFrame(plants, kinds)) if plants else vectors
-        wide = window + len(plants) if exact else window
-        found = _round(with_plants, passes, wide, cosine, seed + number, centres, beside)
+            passes, centres, window = 1, None, count
+        planted = number and not exact
+        shown = vectors.unionByName(_planted(vectors, cosine, seed + number)) if planted else vectors
+        found = _round(shown, passes, window, cosine, seed + number, centres)
         done.append(found)
         if exact:
             break
-        if number:  # at most PLANTS numbers; vectors of one component have no partners, and need none
-            met |= {r.a for r in found.where("what = 2").select("a").distinct().collect()}
-            if len(met) >= recall * len(plants):
-                break
         if number == 0:
-            # vectors for which all passes may have missed a partner go on
+            # vectors for which all passes may have missed a partner go on; those of one component, which are equal but
+            # for their sign, were neighbours in every pass
             chance = found.where("what = 3").groupBy("a").agg(F.sum("value").alias("miss"))
             crowded = chance.where(F.col("miss") > math.log(2 * (1 - recall))).select(F.col("a").alias("rep"))
-            vectors = materialize(vectors.join(crowded, "rep", "left_semi"), "crowded").select("rep", "half", "dims")
-            count, window = vectors.count(), WIDE
-            if count:
-                beside_of, around = _sample(vectors, PLANTS), _sample(vectors, CENTRE_ROWS)
-                plants = _planted(beside_of, cosine, seed)
-                beside = {k: beside_of[-1 - k][0] for k, *_ in plants}
+            left = vectors.where("dims > 1").join(crowded, "rep", "left_semi").withColumn("met", F.lit(0).cast("long"))
+            window = WIDE
         else:
+            now = found.where("what = 2").groupBy(F.col("b").alias("rep")).agg(F.countDistinct("value").alias("now"))
+            left = hits.join(now, "rep", "left").withColumn("met", F.col("met") + F.coalesce("now", F.lit(0)))
+            left = left.where(F.col("met") < enough)
             window = min(2 * window, WIDEST)
+        was, hits = vectors if hits is None else hits, materialize(left.select("rep", "half", "dims", "met"), "crowded")
+        release(was)
+        vectors, count = hits.select("rep", "half", "dims"), hits.count()
         number, passes = number + 1, PASSES
-        centres = _local_centres(around, passes, seed + number) if count else None
+        centres = _local_centres(vectors, passes, seed + number) if count > 1 else None
     edges = spark.createDataFrame([], "a long, b long, what int")
     for found in done:
         edges = edges.unionByName(found.where("what < 2").select("a", "b", "what"))

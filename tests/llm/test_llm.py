@@ -540,6 +540,23 @@ def test_embeddings_in_a_crowd(spark, n, monkeypatch):
     assert all(got[i].n_links <= linked[i].sum() - 1 for i in range(n))
 
 
+def test_every_crowded_vector_has_a_planted_partner(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "WINDOW", 16)
+    monkeypatch.setattr(embedding_dedup, "WIDE", 64)
+    n, run, rounds = 4000, embedding_dedup._round, []
+
+    def watched(vectors, *more):
+        rounds.append((vectors.where("rep >= 0").count(), vectors.where("rep < 0").count()))
+        return run(vectors, *more)
+
+    monkeypatch.setattr(embedding_dedup, "_round", watched)
+    rows = [(i, v.tolist()) for i, v in enumerate(cone(n, 0.6, 0.85, 100))]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert got.count() == n
+    assert rounds[0] == (n, 0) and rounds[1][0] > 1500 and rounds[1][0] == rounds[1][1]
+    assert all(planted in (0, own) for own, planted in rounds)
+
+
 def test_embeddings_of_one_component(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "WINDOW", 4)
     monkeypatch.setattr(embedding_dedup, "WIDE", 8)

@@ -2,22 +2,42 @@
 
 A single space that has non-space characters on both sides is always a boundary between two pre-tokens of either
 vocabulary, so a text is cut there, every distinct chunk is encoded once per worker, and a text's ids are its
-chunks' ids in order. Chunks of plain letters, with one sign of punctuation at most, go straight to the BPE model;
-all others (digits, newlines, added special strings, other scripts) go through the library's whole path.
+chunks' ids in order. Chunks of Latin letters, with signs after them at most, and several of these parted by newlines
+go straight to a BPE of bytes; all others (digits, added special strings, other scripts) go through the library's
+whole path.
+
+The BPE of bytes (tiktoken's) joins two neighbours wherever their join is a token, the library only the two that the
+token's merge names. These agree on every word if each token, taken by itself, is joined to that token by the named
+merges: two other neighbours with the same join would be met there, too. A test shows it for the vocabularies of PROVEN;
+any other vocabulary keeps to the library's model.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 #: Chunks kept per worker; the table is emptied when it is full, so memory is bounded.
 CACHE_CHUNKS = 600_000
 #: Longer chunks are encoded without being kept.
 CACHE_CHARS = 64
+#: Rows of signs that are kept.
+SIGNS = 10_000
 _SPACES = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+#: Letters, and the signs after them.
+_WORD = re.compile(r"([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-/:-@\[-`{-~]*)")
+#: SHA-256 of the vocabulary files whose tokens are all joined from their own bytes.
+PROVEN = {
+    "53fa9d558ea625daafcd57cd61e7be7b3c7043ea584b22d09575cf5ea9131b0a",  # word_bpe_49k.json
+    "cec27cb89f428497695f4e2a90118d636a594654897a44c0fb11b8f185521820",  # byte_bpe_50k.json
+}
+#: In the BPE of bytes, what stands after a word where the vocabulary marks the ends of words. No UTF-8 text holds it.
+_END = b"\xff"
 #: Before the first chunk of a text, to tell it from the same chunk after a space. No chunk begins with it otherwise.
 FIRST = "\ue000"
 
@@ -29,6 +49,44 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+_BYTES = {c: b for b, c in _byte_alphabet().items()}
+
+
+class _Kept(dict):
+    """Ids of chunks, encoded when they are first met."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.encode(chunk)
+        if len(chunk) <= CACHE_CHARS:
+            if len(self) >= CACHE_CHUNKS:
+                self.clear()
+            self[chunk] = ids
+        return ids
+
+
+def token_bytes(token: str, ends: str | None) -> bytes:
+    """A token of a byte-level vocabulary as bytes; `ends`: the vocabulary's mark of a word's end, if any."""
+    whole = bool(ends) and token.endswith(ends) and token != ends
+    stem = token[: -len(ends)] if whole else token
+    return bytes(map(_BYTES.__getitem__, stem)) + _END * whole
+
+
+def _joiner(path: str):
+    """The BPE of bytes of a proven vocabulary file, else None."""
+    with open(path, "rb") as f:
+        data = f.read()
+    if hashlib.sha256(data).hexdigest() not in PROVEN:
+        return None
+    from tiktoken._tiktoken import CoreBPE
+
+    model = json.loads(data)["model"]
+    # ids ascend in the order of merges, so an id is a rank
+    return CoreBPE({token_bytes(t, model["end_of_word_suffix"]): i for t, i in model["vocab"].items()}, {}, r"\S+")
+
+
 class Encoder:
     """ids_of(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -41,8 +99,11 @@ class Encoder:
         table = _byte_alphabet()
         self.latin = {c: "".join(table[b] for b in chr(c).encode()) for c in range(256)}
         self.model = self.library.model
-        self.marks = {c: self._library([c])[0] for c in ".,!?;:"}
-        self.kept: dict[str, bytes] = {}
+        joiner = _joiner(path)
+        self.joined = joiner and joiner.encode_single_piece
+        self.signs: dict[str, bytes] = {"": b""}
+        self.newline = b"" if self.words else self._library(["\n"])[0]
+        self.kept = _Kept(self._encode)
 
     def chunks(self, text: str) -> tuple[str, list[str]]:
         """The text's first chunk and the others, these without the space that goes before each."""
@@ -55,19 +116,33 @@ class Encoder:
         return first, rest
 
     def _letters(self, word: str) -> bytes:
+        """Ids of Latin letters, with a space before them or not."""
+        if self.joined:
+            return array("I", self.joined(word.encode() + _END if self.words else word.encode())).tobytes()
+        word = word.translate(self.latin) if not word.isascii() or word[0] == " " else word
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _plain(self, body: str, spaced: bool) -> bytes | None:
-        """Ids of a chunk of Latin letters with one mark at the end at most, else None."""
-        mark = self.marks.get(body[-1:], b"")
-        stem = body[:-1] if mark else body
-        if not stem.isalpha() or (not stem.isascii() and max(stem) > "\xff"):
-            return None
-        if self.words:
-            stem = stem.lower()
-        if not stem.isascii():
-            stem = stem.translate(self.latin)
-        return self._letters("\u0120" + stem if spaced else stem) + mark
+        """Ids of a chunk of Latin letters with signs after them, or of several such parted by newlines, else None."""
+        parts = []
+        for line in body.split("\n"):
+            found = _WORD.fullmatch(line)
+            if not found:
+                return None
+            stem, tail = found.groups()
+            signs = self.signs.get(tail)
+            if signs is None:
+                signs = self._library([tail])[0]
+                if len(self.signs) < SIGNS:
+                    self.signs[tail] = signs
+            if self.words:
+                stem = stem.lower()
+            if parts:
+                parts.append(self.newline)
+            elif spaced:
+                stem = " " + stem
+            parts += [self._letters(stem), signs]
+        return b"".join(parts)
 
     def _encode(self, body: str, first: bool = False) -> bytes:
         spaced = not first and not self.words
@@ -78,26 +153,11 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def ids_of(self, texts: list[str]) -> list[bytes]:
-        out = []
+        out, get = [], self.kept.__getitem__
         for text in texts:
             first, rest = self.chunks(text)
-            head, kept = self._encode(first, True) if first else b"", self.kept
-            try:
-                out.append(head + b"".join(map(kept.__getitem__, rest)))
-                continue
-            except KeyError:
-                pass
-            if len(kept) > CACHE_CHUNKS:
-                kept = self.kept = {}
-            get, parts = kept.get, [head]
-            for c in rest:
-                ids = get(c)
-                if ids is None:
-                    ids = self._encode(c)
-                    if len(c) <= CACHE_CHARS:
-                        kept[c] = ids
-                parts.append(ids)
-            out.append(b"".join(parts))
+            head = self._encode(first, True) if first else b""
+            out.append(head + b"".join(map(get, rest)))
         return out
 
 

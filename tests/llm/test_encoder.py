@@ -1,10 +1,14 @@
 """The fast encoder against the library, on random texts of both vocabularies."""
 
+import hashlib
+import itertools
+import json
 import random
 from array import array
 
 import pytest
 
+from rillsync.llm import subwords
 from rillsync.llm.subwords import encoder, vocabulary_path
 
 PARTS = [
@@ -21,3 +25,54 @@ def test_ids_equal_the_library(name):
     want = [array("I", e.ids).tobytes() for e in tool.library.encode_batch(texts, add_special_tokens=False)]
     got = tool.ids_of(texts)
     assert [t for t, a, b in zip(texts, want, got, strict=True) if a != b] == []
+
+
+def _merged(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """Plain byte-pair encoding by named merges: the first pair of least rank is joined until none is named."""
+    while True:
+        rank, at = min(((ranks.get(p, len(ranks)), k) for k, p in enumerate(itertools.pairwise(parts))), default=(len(ranks), 0))
+        if rank == len(ranks):
+            return parts
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_every_token_is_joined_from_its_own_bytes(name):
+    path = vocabulary_path(name)
+    with open(path, "rb") as f:
+        data = f.read()
+    assert hashlib.sha256(data).hexdigest() in subwords.PROVEN
+    model = json.loads(data)["model"]
+    ends, vocabulary, merges = model["end_of_word_suffix"] or "\0", model["vocab"], [tuple(m) for m in model["merges"]]
+    ranks = {m: k for k, m in enumerate(merges)}
+    letters = len(vocabulary) - len(merges)
+    assert [vocabulary["".join(m)] for m in merges] == list(range(letters, len(vocabulary)))
+    for token in vocabulary:
+        parts = list(token.removesuffix(ends))
+        if token.endswith(ends):
+            parts[-1] += ends
+        assert _merged(parts, ranks) == [token]
+    assert len({subwords.token_bytes(t, model["end_of_word_suffix"]) for t in vocabulary}) == len(vocabulary)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_with_signs_and_newlines_need_no_library(name, monkeypatch):
+    tool, rng = subwords.Encoder(vocabulary_path(name)), random.Random(41)
+    made = ["".join(rng.choice("abehinorstäéñßÈMµ") for _ in range(rng.choice([1, 2, 5, 9, 14, 120]))) for _ in range(3000)]
+    texts = [
+        " ".join(w + rng.choice(["", "", ".", ",%%%", "&&&", "...", "'", "\n" + w, "!\n" + w + ".\n" + w]) for w in made[k : k + 30])
+        for k in range(0, 3000, 30)
+    ]
+    want = [array("I", e.ids).tobytes() for e in tool.library.encode_batch(texts, add_special_tokens=False)]
+    for tail in (".", ",%%%", "&&&", "...", "'", "!"):
+        tool.signs[tail] = tool._library([tail])[0]
+    monkeypatch.setattr(tool, "_library", None)  # a call is an error
+    assert tool.ids_of(texts) == want
+
+
+def test_the_table_of_chunks_is_bounded(monkeypatch):
+    monkeypatch.setattr(subwords, "CACHE_CHUNKS", 50)
+    tool = subwords.Encoder(vocabulary_path("byte_bpe_50k.json"))
+    text = "a " + " ".join(f"w{k}" for k in range(500))
+    assert tool.ids_of([text, text]) == [array("I", tool.library.encode(text).ids).tobytes()] * 2
+    assert len(tool.kept) <= 50

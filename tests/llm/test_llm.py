@@ -1,7 +1,9 @@
 """The training-data operators against brute-force versions, on small fixtures with nulls, empties, ties, repeats."""
 
 import hashlib
+import itertools
 import random
+import re
 import zlib
 
 import numpy as np
@@ -886,3 +888,35 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_open_tokens_equal_a_plain_cut():
+    rng = random.Random(42)
+    parts = [
+        "word", "Word", "camelCase", "ABCdefGHI", "ÀÉabcdefgh", "a" * 23, "a" * 24, "k3y", "²³abcdefg", "٣٤abcdefg", "𝟘𝟙abcdefg",
+        "user_name", "x=1", "1234567890", "„quoted“", "–", "(", ")", "’", '"', "é" * 30, "abcdefgh", "HELLOWORLD", "XYz", "\ud800", "#",
+    ]
+    some = 0
+    for _ in range(4000):
+        text = "".join(rng.choice(parts) + rng.choice(["", " ", " ", " ", "\n", "  ", "\xa0", "\x1c"]) for _ in range(rng.randint(0, 9)))
+        found = list(re.finditer(r"\S+", text))
+        is_open = [secret_scan.is_open(m[0]) for m in found]
+        got = secret_scan.tokens_of(text)
+        if not any(is_open):
+            assert got is None
+            continue
+        some += 1
+        assert [i for run in got.runs for i in run] == [i for i, o in enumerate(is_open) if o]
+        assert all(run == list(range(run[0], run[-1] + 1)) for run in got.runs)
+        assert all(b[0] - a[-1] > 1 for a, b in itertools.pairwise(got.runs))
+        for m, (a, b) in zip(found, (got.spans[i] for i in range(got.count)), strict=True):
+            left = m[0].lstrip(secret_scan._EDGE)
+            assert (a, b) == (m.end() - len(left), m.end() - len(left) + len(left.rstrip(secret_scan._EDGE)))
+    assert 1000 < some < 3900
+
+
+def test_plain_texts_are_told_without_cutting_them():
+    for text in ("", "Plain words, „quoted“ – and (bracketed).", "ÄÖÜ MIT GROSSEN", "Été de l’année"):
+        assert not secret_scan.may_be_open(text)
+    for text in ("a1", "²", "٣", "𝟘", "x_y", "camelCase", "ABCdef", "a" * 24):
+        assert secret_scan.may_be_open(f"some {text} text")

@@ -75,12 +75,15 @@ def token_bytes(token: str, ends: str | None) -> bytes:
 
 
 def _joiner(path: str):
-    """The BPE of bytes of a proven vocabulary file, else None."""
+    """The BPE of bytes of a proven vocabulary file, else (or without tiktoken) None."""
     with open(path, "rb") as f:
         data = f.read()
     if hashlib.sha256(data).hexdigest() not in PROVEN:
         return None
-    from tiktoken._tiktoken import CoreBPE
+    try:
+        from tiktoken._tiktoken import CoreBPE
+    except ModuleNotFoundError:
+        return None
 
     model = json.loads(data)["model"]
     # ids ascend in the order of merges, so an id is a rank

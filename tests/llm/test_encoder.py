@@ -76,3 +76,13 @@ def test_the_table_of_chunks_is_bounded(monkeypatch):
     text = "a " + " ".join(f"w{k}" for k in range(500))
     assert tool.ids_of([text, text]) == [array("I", tool.library.encode(text).ids).tobytes()] * 2
     assert len(tool.kept) <= 50
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_other_vocabularies_keep_to_the_library(name, monkeypatch):
+    monkeypatch.setattr(subwords, "PROVEN", set())
+    tool = subwords.Encoder(vocabulary_path(name))
+    assert tool.joined is None
+    texts = ["Été d'enbeß,%%% ÀÉ\nword&&& Word.", "a b µª x!\nÿ"]
+    want = [array("I", e.ids).tobytes() for e in tool.library.encode_batch(texts, add_special_tokens=False)]
+    assert tool.ids_of(texts) == want

@@ -18,6 +18,7 @@ import hashlib
 import json
 import os
 import re
+import string
 from array import array
 from collections.abc import Callable
 
@@ -114,6 +115,8 @@ class Encoder:
             "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _SPACES.search(text)
         ):
             first, *rest = _BOUNDARY.split(text)
+        elif self.words:  # a newline is as good as a space
+            first, *rest = text.replace("\n", " ").split(" ")
         else:
             first, *rest = text.split(" ")
         return first, rest
@@ -125,6 +128,14 @@ class Encoder:
         word = word.translate(self.latin) if not word.isascii() or word[0] == " " else word
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
+    def _signs(self, tail: str) -> bytes:
+        signs = self.signs.get(tail)
+        if signs is None:
+            signs = self._library([tail])[0]
+            if len(self.signs) < SIGNS:
+                self.signs[tail] = signs
+        return signs
+
     def _plain(self, body: str, spaced: bool) -> bytes | None:
         """Ids of a chunk of Latin letters with signs after them, or of several such parted by newlines, else None."""
         parts = []
@@ -133,22 +144,23 @@ class Encoder:
             if not found:
                 return None
             stem, tail = found.groups()
-            signs = self.signs.get(tail)
-            if signs is None:
-                signs = self._library([tail])[0]
-                if len(self.signs) < SIGNS:
-                    self.signs[tail] = signs
             if self.words:
                 stem = stem.lower()
             if parts:
                 parts.append(self.newline)
             elif spaced:
                 stem = " " + stem
-            parts += [self._letters(stem), signs]
+            parts += [self._letters(stem), self._signs(tail)]
         return b"".join(parts)
 
     def _encode(self, body: str, first: bool = False) -> bytes:
         spaced = not first and not self.words
+        stem = body.rstrip(string.punctuation)
+        if stem.isascii() and stem.isalpha():
+            ids = self.kept.get(stem) if spaced or self.words else None
+            if ids is None:
+                ids = self._letters(" " + stem if spaced else stem.lower() if self.words else stem)
+            return ids + self._signs(body[len(stem) :])
         ids = self._plain(body, spaced)
         return self._library([" " + body if spaced else body])[0] if ids is None else ids
 

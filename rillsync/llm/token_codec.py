@@ -14,7 +14,8 @@ each order says about that id, by weights that learn; a miss of all is coded by
 A block is coded in up to 4,096 ways, each a run of neighbouring ids with a range coder of its own. All ways share the
 block's model and take a step at once, after which the model learns from all of them: every step is a handful of
 numpy operations over the ways, for the coder and for the decoder. Arithmetic is on integers only, so any machine
-decodes what another has written. The coder is a carry-less range coder on 64-bit registers that emits 16-bit words.
+decodes what another has written. Over tables TokenCodec.java codes and decodes, in the executors' JVM; a test holds its
+segments against those of the coder here. The coder is a carry-less range coder on 64-bit registers that emits 16-bit words.
 
 A segment holds whole documents, a directory of them and their blocks. Layout, little-endian: magic, blocks,
 documents, directory bytes; directory (zlib: null marks, document ids, lengths); per block: ids, ways, alphabet bytes,
@@ -31,10 +32,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillsync.llm.common import map_arrow, materialize
+from rillsync.llm import jvm
+from rillsync.llm.common import materialize
 from rillsync.llm.subwords import encoder
 
 # Fixed values of the format.
@@ -349,11 +351,15 @@ def decode_block(head: bytes, body: memoryview) -> np.ndarray:
     return ids
 
 
-def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
-    """One segment of documents with so many ids each."""
+def _directory(doc_ids: list[int | None], lengths: list[int]) -> bytes:
     null = np.array([i is None for i in doc_ids], np.uint8).tobytes()
     names = np.array([i or 0 for i in doc_ids], "<i8").tobytes()
-    directory = zlib.compress(null + names + np.array(lengths, "<u8").tobytes(), 6)
+    return null + names + np.array(lengths, "<u8").tobytes()
+
+
+def pack_segment(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
+    """One segment of documents with so many ids each."""
+    directory = zlib.compress(_directory(doc_ids, lengths), 6)
     size_ids = BLOCK_IDS if len(_alphabet(ids)) <= ALPHABET else min(ALPHABET, BLOCK_IDS)
     blocks = [code_block(ids[at : at + size_ids]) for at in range(0, len(ids), size_ids)]
     head = MAGIC + struct.pack("<III", len(blocks), len(doc_ids), len(directory))
@@ -380,6 +386,19 @@ def unpack_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarra
     return [None if z else int(i) for z, i in zip(null, doc_ids, strict=True)], lengths, flat
 
 
+_PACK, _UNPACK = "rillsync_pack_segment", "rillsync_unpack_segment"
+
+
+def _with_functions(spark: SparkSession) -> None:
+    """Registers _PACK(ids, directory, documents) and _UNPACK(segment), which gives the segment's documents."""
+    documents = "array<struct<doc_id: bigint, at: bigint, n_tokens: bigint, ids_crc32: bigint>>"
+    jvm.register(
+        spark, "TokenCodec.java", **{
+            _PACK: ("rillsync.llm.TokenCodec$Pack", "binary"), _UNPACK: ("rillsync.llm.TokenCodec$Unpack", documents)
+        }
+    )
+
+
 def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) -> DataFrame:
     """Segments (part, segment, before: ids of the part before it, n_ids, data) of all documents in ascending doc_id order: part, then segment.
 
@@ -390,21 +409,18 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, part, segment = encoder(vocabulary), TaskContext.get().partitionId(), 0
+        kinds = pa.schema([
+            ("part", pa.int32()), ("segment", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()),
+            ("documents", pa.int32()), ("directory", pa.binary()), ("ids", pa.binary()),
+        ])
         end = int(end_id).to_bytes(4, "little")
         names: list = []
         held: list[bytes] = []
         total = before = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            data = pack_segment(names, [len(h) // 4 for h in held], ids)
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array([part], pa.int32()), pa.array([segment], pa.int32()), pa.array([before], pa.int64()),
-                    pa.array([len(ids)], pa.int64()), pa.array([data], pa.binary())
-                ],
-                names=["part", "segment", "before", "n_ids", "data"]
-            )
+            row = (part, segment, before, total, len(names), _directory(names, [len(h) // 4 for h in held]), b"".join(held))
+            out = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, kinds, strict=True)], schema=kinds)
             names.clear(), held.clear()
             return out
 
@@ -428,7 +444,12 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
     ordered = documents.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text"
     ).repartitionByRange(partitions, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return ordered.mapInArrow(run, "part int, segment int, before long, n_ids long, data binary")
+    _with_functions(documents.sparkSession)
+    raw = ordered.mapInArrow(
+        run, "part int, segment int, before long, n_ids long, documents int, directory binary, ids binary"
+    )
+    data = F.call_function(_PACK, "ids", "directory", "documents").alias("data")
+    return raw.select("part", "segment", "before", "n_ids", data)
 
 
 def write_ids(documents: DataFrame, path: str, vocabulary: str, end_id: int = 1) -> None:
@@ -445,24 +466,9 @@ def read_segments(segments: DataFrame) -> DataFrame:
         total += r.n
     bases = F.broadcast(spark.createDataFrame(starts, "part int, base long"))
 
-    def run(table: pa.Table) -> pa.Table:
-        out = []
-        for part, before, data in zip(*(table.column(c).to_pylist() for c in ("part", "before", "data")), strict=True):
-            doc_ids, lengths, ids = unpack_segment(data)
-            raw, at = memoryview(ids.astype("<u4").tobytes()), 0
-            for i, n in zip(doc_ids, lengths.tolist(), strict=True):
-                out.append((part, i, before + at, n, zlib.crc32(raw[4 * at : 4 * (at + n)])))
-                at += n
-        kinds = [pa.int32(), *[pa.int64()] * 4]
-        return pa.table(
-            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-            names=["part", "doc_id", "at", "n_tokens", "ids_crc32"]
-        )
-
-    decoded = map_arrow(
-        segments.select("part", "before", "data"), run, "part int, doc_id long, at long, n_tokens long, ids_crc32 long",
-        rows=1
-    )
+    _with_functions(spark)
+    decoded = segments.select("part", "before", F.explode(F.call_function(_UNPACK, "data")).alias("d"))
+    decoded = decoded.select("part", "d.doc_id", (F.col("before") + F.col("d.at")).alias("at"), "d.n_tokens", "d.ids_crc32")
     return decoded.join(bases, "part").select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"
     )

@@ -174,6 +174,33 @@ def test_codec_blocks(monkeypatch):
     assert (token_codec.unpack_segment(token_codec.pack_segment([3], [len(ids)], ids))[2] == ids).all()
 
 
+def test_jvm_segments_are_those_of_the_codec(spark):
+    rng = np.random.default_rng(1)
+    common = np.repeat(rng.integers(0, 900, 60), 100)
+    cases = (
+        [], [7], [49_407] * 600, rng.integers(0, 49_408, 3000), rng.zipf(1.3, 90_001) % 5000, common,
+        rng.integers(0, 2, 70_000) * (2**31 - 1), rng.permutation(1 << 18), rng.zipf(1.1, 400_000) % 2,
+    )
+    token_codec._with_functions(spark)
+    for ids in cases:
+        ids = np.array(ids, np.uint32)
+        doc_ids, sizes = [-5, None, 2**40], [len(ids) // 3, 0, len(ids) - len(ids) // 3]
+        row = [(ids.tobytes(), token_codec._directory(doc_ids, sizes), 3)]
+        data = F.call_function(token_codec._PACK, "ids", "directory", "documents").alias("data")
+        packed = spark.createDataFrame(row, "ids binary, directory binary, documents int").select(data)
+        own = token_codec.pack_segment(doc_ids, sizes, ids)
+        assert bytes(packed.collect()[0].data) == own
+        damaged = own[:-30] + bytes([own[-30] ^ 1]) + own[-29:]
+        back, none = (
+            spark.createDataFrame([(data,)], "data binary").select(F.call_function(token_codec._UNPACK, "data").alias("d"))
+            for data in (own, damaged)
+        )
+        want = [(i, zlib.crc32(ids[a : a + n].tobytes())) for i, a, n in zip(doc_ids, [0, sizes[0], sizes[0]], sizes, strict=True)]
+        assert [(r.doc_id, r.ids_crc32) for r in back.collect()[0].d] == want
+        with pytest.raises(Exception, match="damaged"):
+            none.collect()
+
+
 def test_codec_finds_damage():
     ids = np.random.default_rng(1).integers(0, 49_408, 3000).astype(np.uint32)
     data = token_codec.pack_segment([1, None], [2000, 1000], ids)

@@ -174,6 +174,16 @@ def test_codec_blocks(monkeypatch):
     assert (token_codec.unpack_segment(token_codec.pack_segment([3], [len(ids)], ids))[2] == ids).all()
 
 
+def test_hex_is_sought_only_where_a_run_is(monkeypatch):
+    texts = ["0123456789abcdef", "x0123456789abcdefé", "0123456789abcde f", "é" * 9 + "f" * 40 + "\ud800", "", "F" * 20]
+    pattern = secret_scan._HEX
+    for text in texts:
+        want = [(m.start(), m.end(), 2) for m in pattern.finditer(text)]
+        assert [x for x in secret_scan.base_spans(text) if x[2] == 2] == want
+    monkeypatch.setattr(secret_scan, "_HEX", None)
+    assert secret_scan.base_spans("a faded facade " * 50) == []
+
+
 def test_jvm_segments_are_those_of_the_codec(spark):
     rng = np.random.default_rng(1)
     common = np.repeat(rng.integers(0, 900, 60), 100)

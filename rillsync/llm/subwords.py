@@ -20,12 +20,18 @@ import os
 import re
 import string
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 
 #: Chunks kept per worker; the table is emptied when it is full, so memory is bounded.
 CACHE_CHUNKS = 600_000
 #: Longer chunks are encoded without being kept.
 CACHE_CHARS = 64
+#: Characters of texts, besides one text's, whose words are told apart at once.
+AT_ONCE = 1 << 22
 #: Rows of signs that are kept.
 SIGNS = 10_000
 _SPACES = re.compile("[\t\v\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -61,11 +67,14 @@ class _Kept(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.encode(chunk)
+        self.keep(chunk, ids)
+        return ids
+
+    def keep(self, chunk: str, ids: bytes) -> None:
         if len(chunk) <= CACHE_CHARS:
             if len(self) >= CACHE_CHUNKS:
                 self.clear()
             self[chunk] = ids
-        return ids
 
 
 def token_bytes(token: str, ends: str | None) -> bytes:
@@ -91,6 +100,23 @@ def _joiner(path: str):
     return CoreBPE({token_bytes(t, model["end_of_word_suffix"]): i for t, i in model["vocab"].items()}, {}, r"\S+")
 
 
+def _row_joiner(path: str):
+    """As _joiner for rows of words, where the vocabulary marks the ends of words: (the BPE, in which a newline ends a
+    word, and by id whether it ends one), else None."""
+    with open(path, "rb") as f:
+        model = json.load(f)["model"]
+    ends = model.get("end_of_word_suffix")
+    if not ends or not _joiner(path):
+        return None
+    from tiktoken._tiktoken import CoreBPE
+
+    # words of ASCII letters hold neither this newline nor the byte that stands for ends otherwise
+    ranks = {token_bytes(t, ends).replace(_END, b"\n"): i for t, i in model["vocab"].items()}
+    last = np.zeros(max(model["vocab"].values()) + 1, bool)
+    last[[i for t, i in model["vocab"].items() if t.endswith(ends)]] = True
+    return CoreBPE(ranks, {}, r"[^\n]*\n"), last
+
+
 class Encoder:
     """ids_of(texts) gives each text's ids as little-endian unsigned 32-bit bytes."""
 
@@ -105,6 +131,7 @@ class Encoder:
         self.model = self.library.model
         joiner = _joiner(path)
         self.joined = joiner and joiner.encode_single_piece
+        self.rows = _row_joiner(path) if self.words else None
         self.signs: dict[str, bytes] = {"": b""}
         self.newline = b"" if self.words else self._library(["\n"])[0]
         self.kept = _Kept(self._encode)
@@ -115,8 +142,6 @@ class Encoder:
             "  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " " or _SPACES.search(text)
         ):
             first, *rest = _BOUNDARY.split(text)
-        elif self.words:  # a newline is as good as a space
-            first, *rest = text.replace("\n", " ").split(" ")
         else:
             first, *rest = text.split(" ")
         return first, rest
@@ -167,8 +192,63 @@ class Encoder:
     def _library(self, chunks: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
 
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words; new ones of ASCII letters, with signs after them at most, are joined in one go."""
+        if not self.rows:
+            return list(map(self.kept.__getitem__, words))
+        known = list(map(self.kept.get, words))
+        new, stems = [], []
+        for i in [i for i, ids in enumerate(known) if ids is None]:
+            word = words[i]
+            stem = word.rstrip(string.punctuation)
+            if stem.isascii() and stem.isalpha():
+                ids = self.kept.get(stem) if len(stem) < len(word) else None
+                if ids is None:
+                    new.append((i, len(stem)))
+                    stems.append(stem.lower())
+                    continue
+                known[i] = ids + self._signs(word[len(stem) :])
+            else:
+                known[i] = self._encode(word)
+            self.kept.keep(word, known[i])
+        tool, last = self.rows
+        ids = np.frombuffer(tool.encode_to_tiktoken_buffer("\n".join([*stems, ""]), set()), np.uint32)
+        raw, at = ids.astype("<u4").tobytes(), 0
+        for (i, n), end in zip(new, (4 * np.flatnonzero(last[ids]) + 4).tolist(), strict=True):
+            word = words[i]
+            known[i] = raw[at:end] + self._signs(word[n:]) if n < len(word) else raw[at:end]
+            self.kept.keep(word, known[i])
+            at = end
+        return known
+
+    def _ids_by_words(self, texts: list[str]) -> Iterator[bytes]:
+        """For a vocabulary that drops white space: each distinct word of the texts is looked up once."""
+        parts = pa.compute.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = parts.flatten().dictionary_encode()
+        known = self._known(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes, flat = np.fromiter(map(len, known), np.int64, len(known)) // 4, np.frombuffer(b"".join(known), "<u4")
+        codes = words.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        # where a word's ids begin, less how many ids stand before it in the texts
+        places = np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], n)
+        places += np.arange(len(places))
+        raw = flat[places].tobytes()
+        bounds = (4 * ends[parts.offsets.to_numpy()]).tolist()
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield raw[a:b]
+
     def ids_of(self, texts: list[str]) -> list[bytes]:
         out, get = [], self.kept.__getitem__
+        if self.words:
+            some, chars = [], 0
+            for text in texts:
+                if chars + len(text) > AT_ONCE and some:
+                    out += self._ids_by_words(some)
+                    some, chars = [], 0
+                some.append(text)
+                chars += len(text)
+            return [*out, *self._ids_by_words(some)]
         for text in texts:
             first, rest = self.chunks(text)
             head = self._encode(first, True) if first else b""

@@ -425,8 +425,8 @@ def encode_documents(documents: DataFrame, vocabulary: str, end_id: int = 1) ->
             return out
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                piece = batch.slice(at, 1024)
                 for i, ids in zip(
                     piece.column(0).to_pylist(), tool.ids_of([t or "" for t in piece.column(1).to_pylist()]),
                     strict=True

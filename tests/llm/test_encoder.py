@@ -86,3 +86,19 @@ def test_other_vocabularies_keep_to_the_library(name, monkeypatch):
     texts = ["Été d'enbeß,%%% ÀÉ\nword&&& Word.", "a b µª x!\nÿ"]
     want = [array("I", e.ids).tobytes() for e in tool.library.encode_batch(texts, add_special_tokens=False)]
     assert tool.ids_of(texts) == want
+
+
+def test_words_of_many_texts_are_looked_up_once(monkeypatch):
+    tool, rng = subwords.Encoder(vocabulary_path("word_bpe_49k.json")), random.Random(41)
+    letters = ["".join(rng.choices("abcdeEnrstT", k=rng.randint(1, 12))) for _ in range(300)]
+    pieces = [*letters, *(w + rng.choice([".", ",", '."', "'s"]) for w in letters[:100]), *PARTS]
+    texts = ["", *(rng.choice([" ", "\n", "\t", "  "]).join(rng.choices(pieces, k=rng.randint(0, 40))) for _ in range(600))]
+    want = [array("I", e.ids).tobytes() for e in tool.library.encode_batch(texts, add_special_tokens=False)]
+    met, get = [], tool._known
+    monkeypatch.setattr(tool, "_known", lambda words: met.append(words) or get(words))
+    assert tool.ids_of(texts) == want and all(len(w) == len(set(w)) for w in met) and len(met) == 1
+    monkeypatch.setattr(subwords, "AT_ONCE", 500)  # few texts at once, and a small table
+    monkeypatch.setattr(subwords, "CACHE_CHUNKS", 50)
+    tool.kept.clear()
+    assert tool.ids_of(texts) == want and len(met) > 10 and len(tool.kept) <= 50
+    assert tool.ids_of([]) == []

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -957,3 +958,73 @@ def test_plain_texts_are_told_without_cutting_them():
         assert not secret_scan.may_be_open(text)
     for text in ("a1", "²", "٣", "𝟘", "x_y", "camelCase", "ABCdef", "a" * 24):
         assert secret_scan.may_be_open(f"some {text} text")
+
+
+def test_features_are_hashed_from_few_strings(monkeypatch):
+    rng = random.Random(44)
+    signs = "+/=_$#%&@-.:~^"
+    words = ["/////////", "é" * 9 + "1", "ǅabc123456", "x" * 500 + "1"] + [
+        "".join(rng.choices(string.ascii_letters + string.digits + signs, k=rng.randint(8, 70))) for _ in range(2000)
+    ]
+    for word in words:
+        want = [secret_scan._hash(f) for f in secret_scan.shape_features(word)]
+        plain, own = secret_scan.shape_ids(word)
+        assert plain == want[:12] and sorted(own) == sorted(want[12:])
+
+    text = "the (first) One\nk3yk3yk3yk3yk3y k3yk3yk3yk3y, |"
+    tokens = secret_scan.tokens_of(text)
+    assert tokens.runs == [[3, 4]] and tokens.spans[4] == (32, 44)
+    around = ["c:3", "place:1", "line:in", "w1:k3yk3yk3yk3yk3y", "w2:one", "x1:", "b: ", "e:,", "q:y "]
+    own = [secret_scan._hash(f) for f in ["bias", *secret_scan.shape_features("k3yk3yk3yk3y"), *around]]
+    assert sorted(secret_scan._ids(tokens, 4, 1, 32, 44)) == sorted(own)
+
+    # words of known shapes need no strings but their own
+    calls, crc32 = [], zlib.crc32
+    monkeypatch.setattr(secret_scan.zlib, "crc32", lambda *a: calls.append(1) or crc32(*a))
+    fresh = "".join(rng.choices(string.ascii_letters, k=20)) + "+1"
+    secret_scan._ids(secret_scan.tokens_of(f"a {fresh} b"), 1, 0, 2, 24)
+    calls.clear()
+    again = fresh[::-1][2:] + "+1"
+    secret_scan._ids(secret_scan.tokens_of(f"a {again} b"), 1, 0, 2, 24)
+    assert len(calls) <= 10
+
+
+def test_runs_are_held_in_few_rows(monkeypatch):
+    rng = random.Random(45)
+    secret = lambda: "".join(rng.choices(string.ascii_letters + string.digits, k=30))
+    texts = [" ".join(rng.choice(["word", secret(), "user_name", "token=abcdef123456"]) for _ in range(rng.randint(1, 60))) for _ in range(120)]
+    table = secret_scan._taught(texts, 1)
+    assert table.num_rows <= 5  # two counts and a row for each use, not one for each run
+    with monkeypatch.context() as m:
+        m.setattr(secret_scan, "PIECE", 20)
+        small = secret_scan._taught(texts, 1)
+    assert small.num_rows > 50
+    lengths = [np.frombuffer(x, np.uint32) for x in small["lengths"].to_pylist() if x]
+    assert all(len(n) == 1 or n.sum() <= 20 for n in lengths) and any(len(n) == 1 and n[0] > 20 for n in lengths)
+    point = np.random.default_rng(46).normal(size=(2, secret_scan._SLOTS + 4, 3)) * 0.1
+    whole, cut = secret_scan._slope([table], point), secret_scan._slope([small], point)
+    assert np.abs(whole).max() > 100 and np.allclose(whole, cut, atol=1e-3)
+    # by differences: what a shift of all three scores of a feature changes
+    shifted = point.copy()
+    shifted[:, : secret_scan._SLOTS] += 0.25
+    assert np.allclose(whole, secret_scan._slope([table], shifted), atol=1e-2)
+    assert (secret_scan._false_spans([table], point) == secret_scan._false_spans([small], point)).all()
+
+
+def test_texts_are_tagged_together_as_alone(field, monkeypatch):
+    rng = random.Random(47)
+    secret = lambda: "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+    texts = [" ".join(rng.choice(["word", "the secret is " + secret()]) for _ in range(rng.randint(0, 30))) for _ in range(80)]
+    bases = [secret_scan.base_spans(t) for t in texts]
+    alone = [field.spans(t, b) for t, b in zip(texts, bases, strict=True)]
+    assert sum(map(len, alone)) > 100 and field.added(texts, bases) == alone
+    monkeypatch.setattr(secret_scan, "PIECE", 7)
+    assert field.added(texts, bases) == alone
+
+
+def test_tokens_are_counted_without_cutting():
+    rng = random.Random(48)
+    spaces = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+    for _ in range(5000):
+        text = "".join(rng.choice([*spaces, *["a", "é", "“", "\ud800", "x1"] * 6]) for _ in range(rng.randint(0, 12)))
+        assert secret_scan.count_tokens(text) == len(text.split())
